@@ -147,12 +147,8 @@ def schema_verdicts(source: DataFrame, target: DataFrame) -> DataFrame:
 # -- rows ----------------------------------------------------------------------
 
 
-def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
-    """Row hashes whose number of copies differs between the sides.
-
-    Only the 16-byte hash of a row is shuffled, never the row. A sample keeps
-    the same rows on both sides.
-    """
+def _hash_counts(pairs: Pairs, sample_percent: int) -> DataFrame:
+    """Copies of every distinct row hash on each side."""
 
     def rows(df: DataFrame, name: str, is_source: bool) -> DataFrame:
         first, second = row_hash_pair(df)
@@ -163,33 +159,25 @@ def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
         _sides(pairs, rows)
         .groupBy("table_name", "h1", "h2")
         .agg(F.sum("src_count").alias("src_count"), F.sum("tgt_count").alias("tgt_count"))
-        .where(F.col("src_count") != F.col("tgt_count"))
     )
 
 
-def multiset_verdicts(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
-    """One row per pair: rows compared, distinct rows that differ, verdict.
+def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
+    """Row hashes whose number of copies differs between the sides.
 
-    An empty pair passes.
+    Only the 16-byte hash of a row is shuffled, never the row. A sample keeps
+    the same rows on both sides.
     """
+    return _hash_counts(pairs, sample_percent).where(F.col("src_count") != F.col("tgt_count"))
 
-    def rows(df: DataFrame, name: str, is_source: bool) -> DataFrame:
-        first, second = row_hash_pair(df)
-        hashed = df.select(F.lit(name).alias("table_name"), first.alias("h1"), second.alias("h2"), *_marks(is_source))
-        return hashed if sample_percent >= 100 else hashed.where(in_sample(F.col("h1"), sample_percent))
 
-    per_hash = (
-        _sides(pairs, rows)
-        .groupBy("table_name", "h1", "h2")
-        .agg(F.sum("src_count").alias("src_count"), F.sum("tgt_count").alias("tgt_count"))
-    )
-    differ = F.col("src_count") != F.col("tgt_count")
-    totals = per_hash.groupBy("table_name").agg(
+def multiset_verdicts(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
+    """One row per pair: rows compared, distinct rows that differ, verdict. An empty pair passes."""
+    totals = _hash_counts(pairs, sample_percent).groupBy("table_name").agg(
         F.sum("src_count").alias("src_rows"), F.sum("tgt_count").alias("tgt_rows"),
-        F.count_if(differ).alias("mismatches"),
+        F.count_if(F.col("src_count") != F.col("tgt_count")).alias("mismatches"),
     )
-    spark = totals.sparkSession
-    names = spark.createDataFrame([(n,) for n in pairs], "table_name string")
+    names = totals.sparkSession.createDataFrame([(n,) for n in pairs], "table_name string")
     filled = names.join(totals, "table_name", "left").na.fill(0, ["src_rows", "tgt_rows", "mismatches"])
     return filled.select(
         "table_name", "src_rows", "tgt_rows", "mismatches",

@@ -201,8 +201,10 @@ def exclusion_hits(selections: DataFrame, rules: DataFrame) -> DataFrame:
         F.lower("source_catalog").alias("c"), F.lower("source_schema").alias("s")
     ).distinct()
     name = F.concat_ws("\u0001", "c", "s")
+    lengths = globs.agg(F.collect_set(F.length("prefix"))).scalar()
     per_schema = (
-        schemas.withColumn("n", F.explode(F.sequence(F.lit(0), F.length(name))))
+        schemas.withColumn("lengths", lengths)
+        .withColumn("n", F.explode(F.filter("lengths", lambda n: n <= F.length(name))))
         .withColumn("prefix", F.substring(name, F.lit(1), F.col("n")))
         .join(globs, "prefix")
         .where(F.rlike(name, F.col("name_regex")))
