@@ -20,8 +20,13 @@ from ..functions.sizing import within_tolerance
 
 Pairs = Mapping[str, tuple[DataFrame, DataFrame]]
 
-_ONE = F.lit(1).cast("bigint")
-_ZERO = F.lit(0).cast("bigint")
+
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -35,8 +40,8 @@ def _sides(pairs: Pairs, rows) -> DataFrame:
 
 def _marks(is_source: bool) -> list[Column]:
     return [
-        (_ONE if is_source else _ZERO).alias("src_count"),
-        (_ZERO if is_source else _ONE).alias("tgt_count"),
+        (_one() if is_source else _zero()).alias("src_count"),
+        (_zero() if is_source else _one()).alias("tgt_count"),
     ]
 
 
@@ -58,8 +63,8 @@ def row_count_parity(pairs: Pairs) -> DataFrame:
         n = df.agg(F.count("*").alias("n"))
         return n.select(
             F.lit(name).alias("table_name"),
-            (F.col("n") if is_source else _ZERO).alias("src_rows"),
-            (_ZERO if is_source else F.col("n")).alias("tgt_rows"),
+            (F.col("n") if is_source else _zero()).alias("src_rows"),
+            (_zero() if is_source else F.col("n")).alias("tgt_rows"),
         )
 
     counted = _sides(pairs, rows).groupBy("table_name").agg(
@@ -251,8 +256,8 @@ def checksum_verdicts(
         zero = F.lit(0).cast("decimal(38,0)")
         return one.select(
             F.lit(name).alias("table_name"),
-            (F.col("row_count") if is_source else _ZERO).alias("src_rows"),
-            (_ZERO if is_source else F.col("row_count")).alias("tgt_rows"),
+            (F.col("row_count") if is_source else _zero()).alias("src_rows"),
+            (_zero() if is_source else F.col("row_count")).alias("tgt_rows"),
             (F.col("checksum") if is_source else zero).alias("src_checksum"),
             (zero if is_source else F.col("checksum")).alias("tgt_checksum"),
         )

@@ -15,7 +15,9 @@ from ..functions.text import ERROR_CODE_CHARS, ERROR_MESSAGE_CHARS, VALIDATION_M
 from ..sources.schemas import ACTIVE, ALLOWED_EDGES, ATTEMPTS, PERMANENT_ERROR_CODES, RETRYABLE, conform
 from .merge import merge, update_where
 
-NULL = F.lit(None)
+
+def null() -> Column:
+    return F.lit(None)
 
 
 def in_batch(df: DataFrame, batch_id: str = "") -> DataFrame:
@@ -194,7 +196,7 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, now: Column) -> Data
 
     ``outcomes``: migration_id, success, duration_seconds, target_num_files,
     target_version, source_version, error_code, error_message. A known source
-    version is never replaced by NULL, and version 0 is a version.
+    version is never replaced by null(), and version 0 is a version.
     """
     ok = F.col("s.success")
     code = cut(F.coalesce("s.error_code", F.lit("CLONE_FAILED")), ERROR_CODE_CHARS)
@@ -213,8 +215,8 @@ def apply_outcomes(control: DataFrame, outcomes: DataFrame, now: Column) -> Data
             "target_num_files": either(F.col("s.target_num_files"), F.col("t.target_num_files")),
             "target_version": either(F.col("s.target_version"), F.col("t.target_version")),
             "source_version": either(F.coalesce("s.source_version", "t.source_version"), F.col("t.source_version")),
-            "error_code": either(NULL, code),
-            "error_message": either(NULL, cut(F.coalesce("s.error_message", F.lit("")), ERROR_MESSAGE_CHARS)),
+            "error_code": either(null(), code),
+            "error_message": either(null(), cut(F.coalesce("s.error_message", F.lit("")), ERROR_MESSAGE_CHARS)),
             "updated_at": now,
         },
         guard=F.col("t.status") == "IN_PROGRESS",
@@ -273,7 +275,7 @@ def reset_permanent(control: DataFrame, now: Column, batch_id: str = "") -> Data
     return update_where(
         control, (F.col("status") == "FAILED_PERMANENT") & batch_guard(batch_id),
         {
-            "status": F.lit("RETRY_PENDING"), "attempt_number": F.lit(0), "error_code": NULL,
+            "status": F.lit("RETRY_PENDING"), "attempt_number": F.lit(0), "error_code": null(),
             "error_message": F.lit("Reset from FAILED_PERMANENT by retry_permanent=true"), "updated_at": now,
         },
     )
@@ -296,9 +298,9 @@ def requeue_batch(control: DataFrame, batch_id: str, now: Column) -> DataFrame:
     return update_where(
         control, F.col("batch_id") == batch_id,
         {
-            "status": F.lit("QUEUED"), "attempt_number": F.lit(0), "error_code": NULL, "error_message": NULL,
-            "started_at": NULL, "completed_at": NULL, "failed_at": NULL,
-            "validation_status": NULL, "validation_message": NULL, "queued_at": now, "updated_at": now,
+            "status": F.lit("QUEUED"), "attempt_number": F.lit(0), "error_code": null(), "error_message": null(),
+            "started_at": null(), "completed_at": null(), "failed_at": null(),
+            "validation_status": null(), "validation_message": null(), "queued_at": now, "updated_at": now,
         },
     )
 

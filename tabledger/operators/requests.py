@@ -11,7 +11,10 @@ from ..functions.text import fqn_part
 from ..sources.schemas import REQUESTS, conform
 from .merge import merge, update_where
 
-NULL = F.lit(None)
+
+def null() -> Column:
+    return F.lit(None)
+
 
 # What each validation mode checks.
 VALIDATION_MODES = {
@@ -36,14 +39,14 @@ def new_requests(
         "onboarding_id": F.substring(key, 1, 32) if deterministic else F.uuid(),
         "request_name": F.lit(name), "scope_mode": F.lit(scope), "clone_mode": F.lit(clone_mode),
         "src_catalog": fqn_part(F.col("fqn"), 0),
-        "src_schema": fqn_part(F.col("fqn"), 1) if scope != "catalog" else NULL,
-        "src_table": F.col("fqn") if scope == "table" else NULL,
+        "src_schema": fqn_part(F.col("fqn"), 1) if scope != "catalog" else null(),
+        "src_table": F.col("fqn") if scope == "table" else null(),
         "tgt_catalog": F.lit(target_catalog),
-        "tgt_schema": fqn_part(F.col("fqn"), 1) if scope != "catalog" else NULL,
+        "tgt_schema": fqn_part(F.col("fqn"), 1) if scope != "catalog" else null(),
         "priority": F.lit(priority), "status": F.lit("PENDING"), "requested_by": F.lit(requested_by),
         "requested_at": now, "validation_mode": F.lit(validation_mode),
         "count_tolerance_pct": F.lit(0.0), "checksum_algorithm": F.lit("XXHASH64"), "notes": F.lit(notes),
-        "tags": F.create_map(*[F.lit(x) for kv in (tags or {}).items() for x in kv]) if tags else NULL,
+        "tags": F.create_map(*[F.lit(x) for kv in (tags or {}).items() for x in kv]) if tags else null(),
     }
     return conform(names.select(*[v.alias(k) for k, v in label.items()]), REQUESTS)
 
@@ -107,14 +110,14 @@ def requeue(requests: DataFrame, ids: Sequence[str] | DataFrame, now: Column) ->
         ids = requests.sparkSession.createDataFrame([(i,) for i in ids], "onboarding_id string")
     return merge(
         requests, ids.select("onboarding_id"), ["onboarding_id"],
-        {"status": F.lit("PENDING"), "execution_id": NULL, "completed_at": NULL, "notes": note},
+        {"status": F.lit("PENDING"), "execution_id": null(), "completed_at": null(), "notes": note},
     )
 
 
 def reset_stuck(requests: DataFrame, now: Column, days: int = 1) -> DataFrame:
     """Requests in progress for more than ``days`` days back to PENDING."""
     stuck = (F.col("status") == "IN_PROGRESS") & (F.datediff(now, "requested_at") > days)
-    return update_where(requests, stuck, {"status": F.lit("PENDING"), "execution_id": NULL})
+    return update_where(requests, stuck, {"status": F.lit("PENDING"), "execution_id": null()})
 
 
 def validation_plan(requests: DataFrame) -> DataFrame:

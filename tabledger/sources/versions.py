@@ -63,7 +63,9 @@ class VersionStore:
         # the leading underscore hides the folder from table scans, so its files are named here
         if not path_exists(self.spark, f"{self.manifest_path}/data"):
             return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.manifest_path}/data")
+        return (
+            self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(f"{self.manifest_path}/data")
+        )
 
     def latest_versions(self) -> DataFrame:
         """The newest version of every table."""
@@ -77,7 +79,10 @@ class VersionStore:
 
     def entry(self, table: str, version: int | None = None):
         """Manifest row of one version (the newest by default), or None."""
-        rows = self.manifest().where(F.col("table_name") == table)
+        folder = f"{self.manifest_path}/data/{table}"
+        if not path_exists(self.spark, folder):
+            return None
+        rows = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(folder)
         if version is not None:
             rows = rows.where(F.col("version") == version)
         return rows.orderBy(F.col("version").desc()).limit(1).first()
@@ -150,7 +155,8 @@ class VersionStore:
             F.array(*[F.lit(c) for c in partition_by]).cast("array<string>").alias("partition_columns"),
             F.lit(schema.json()).alias("schema_json"), F.lit(folder).alias("location"),
         )
-        row.coalesce(1).write.mode("append").parquet(f"{self.manifest_path}/data")
+        # a folder per row: writers that run side by side do not share a commit folder
+        row.coalesce(1).write.mode("errorifexists").parquet(f"{self.manifest_path}/data/{table}/{version}")
 
     def release(self, table: str, version: int) -> None:
         """Gives up the claim of a writer that died before its version became visible."""
