@@ -640,8 +640,8 @@ def _(spark, d):
     listing = view(spark, d, "listing")
     targets = listing.select(F.col("table_catalog").alias("target_catalog"), F.col("table_schema").alias("target_schema"),
                              F.col("table_name").alias("target_table"))
-    out = inventory.gate_verdicts(targets, view(spark, d, "settings"), listing)
-    return out.drop("gate_source", "gate_reason")
+    out = inventory.gate_verdicts(inventory.with_target_type(targets, listing), view(spark, d, "settings"))
+    return out.drop("target_type", "gate_source", "gate_reason")
 
 
 on_view("classify", "control",
@@ -1030,12 +1030,14 @@ def _(spark, d):
     return requests.finish(rows, done, lit_time(NOW)).select("onboarding_id", "status", "completed_at")
 
 
+# one execution per request, with the audit rows of one part: the result grows with the tables
 @query("failed_requests", """{requests, audit}
-SELECT r.execution_id, onboarding_id, requested_at, table_name, error_message FROM requests r JOIN audit a ON r.execution_id = a.execution_id
-WHERE r.status = 'FAILED' AND a.status = 'FAILED' AND r.priority = 1""")
+SELECT concat('exec-', onboarding_id) AS execution_id, onboarding_id, requested_at, table_name, error_message
+FROM requests r JOIN audit a ON r.onboarding_id = substr(a.table_name, 3) WHERE r.status = 'FAILED' AND a.status = 'FAILED'""")
 def _(spark, d):
-    urgent = view(spark, d, "requests").where("priority = 1")
-    return requests.failed_with_errors(urgent, view(spark, d, "audit"))
+    own = view(spark, d, "requests").withColumn("execution_id", F.concat(F.lit("exec-"), "onboarding_id"))
+    audit = view(spark, d, "audit").withColumn("execution_id", F.concat(F.lit("exec-"), F.substring("table_name", 3, 20)))
+    return requests.failed_with_errors(own, audit)
 
 
 @query("validation_plan", """{requests}

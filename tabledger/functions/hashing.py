@@ -51,9 +51,35 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# A value that arrays rarely hold; finding it only costs the fast path.
+_PROBES = {
+    T.FloatType: -3.4e38, T.DoubleType: -1.7e308, T.StringType: "\u0000",
+    T.ByteType: -(2**7), T.ShortType: -(2**15), T.IntegerType: -(2**31), T.LongType: -(2**63),
+}
+
+
+def _hash_form(value: Column, dtype: T.DataType) -> Column:
+    """As :func:`canonical`, for the built-in hash, which treats zeros alike already.
+
+    The hash walks a flat array itself. Only the places of NULL elements are
+    added, and only for arrays that hold any: looking for a value that is not
+    there yields NULL exactly then.
+    """
+    if isinstance(dtype, _FLOATS):
+        return value
+    if isinstance(dtype, T.ArrayType) and type(dtype.elementType) in _PROBES:
+        probe = F.lit(_PROBES[type(dtype.elementType)]).cast(dtype.elementType)
+        no_nulls = F.array_contains(value, probe).eqNullSafe(F.lit(False))
+        places = F.when(~no_nulls, F.transform(value, lambda x: x.isNull()))
+        return F.struct(
+            F.size(value).alias("size"), no_nulls.alias("full"), places.alias("nulls"), value.alias("items")
+        )
+    return canonical(value, dtype)
+
+
 def _hash_input(df: DataFrame, columns: Sequence[str] | None) -> list[Column]:
     fields = _fields(df, columns)
-    values = [canonical(_quoted(f.name), f.dataType) for f in fields]
+    values = [_hash_form(_quoted(f.name), f.dataType) for f in fields]
     return values + [_quoted(f.name).isNull() for f in fields]
 
 

@@ -273,43 +273,46 @@ def checksum_verdicts(
 # -- column profiles -----------------------------------------------------------
 
 _EXACT = "decimal(38,6)"
+_MICRO = 1_000_000
+# below this, a double times a million is an exact integer
+_FAST_LIMIT = float(2**53 // _MICRO)
 
+# Columns measured by one aggregate; more would not fit into compiled code.
+PROFILE_GROUP = 8
 
-def _profiled(field: T.StructField) -> tuple[Column, bool] | None:
-    """The comparable form of a column and whether it has an average."""
-    col, dtype = F.col("`" + field.name.replace("`", "``") + "`"), field.dataType
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return (col + F.lit(0.0)).cast(_EXACT), True
-    if isinstance(dtype, T.NumericType):
-        return col, True
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
-        return None
-    return col, False
 
+def _exact_sum(value: Column) -> Column:
+    """Sum of doubles to six decimals as a double, the same in any order of the rows.
 
-def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, nulls, minimum, maximum and average of every column, one row per column.
-
-    All columns are measured in one pass. Doubles are taken as exact decimals,
-    so the result does not depend on the order of the rows. Nested columns have
-    counts only.
+    Common values are summed as whole millionths; very large ones as decimals.
     """
-    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    common = F.abs(value) < F.lit(_FAST_LIMIT)
+    millionths = hash_sum(F.when(common, F.rint(value * F.lit(float(_MICRO))).cast("bigint")))
+    rest = F.sum(F.when(~common, value).try_cast(_EXACT))
+    return millionths.cast("double") / F.lit(float(_MICRO)) + F.coalesce(rest.cast("double"), F.lit(0.0))
+
+
+def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
     aggs, shapes = [F.count("*").alias("n")], []
     for i, field in enumerate(fields):
-        quoted = F.col("`" + field.name.replace("`", "``") + "`")
-        aggs.append(F.count(quoted).alias(f"c{i}"))
+        value, dtype = F.col("`" + field.name.replace("`", "``") + "`"), field.dataType
         none = F.lit(None)
         low = high = none.cast("string")
         mean = none.cast("double")
-        profiled = _profiled(field)
-        if profiled is not None:
-            value, numeric = profiled
+        aggs.append(F.count(value).alias(f"c{i}"))
+        if not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
             aggs += [F.min(value).alias(f"l{i}"), F.max(value).alias(f"h{i}")]
             low, high = F.col(f"l{i}").cast("string"), F.col(f"h{i}").cast("string")
-            if numeric:
-                aggs.append(F.sum(value).alias(f"s{i}"))
-                mean = F.col(f"s{i}").cast("double") / F.nullif(F.col(f"c{i}"), F.lit(0))
+        if isinstance(dtype, (T.DoubleType, T.FloatType)):
+            low, high = (F.coalesce((F.col(f"{e}{i}") + F.lit(0.0)).try_cast(_EXACT).cast("string"), text)
+                         for e, text in (("l", low), ("h", high)))
+            aggs.append(_exact_sum(value.cast("double")).alias(f"s{i}"))
+        elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            aggs.append(hash_sum(value.cast("bigint")).cast("double").alias(f"s{i}"))
+        elif isinstance(dtype, T.DecimalType):
+            aggs.append(F.sum(value).cast("double").alias(f"s{i}"))
+        if isinstance(dtype, T.NumericType):
+            mean = F.col(f"s{i}") / F.nullif(F.col(f"c{i}"), F.lit(0))
         shapes.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
@@ -321,6 +324,23 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.agg(*aggs).select(F.inline(F.array(*shapes)))
 
 
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, nulls, minimum, maximum and average of every column, one row per column.
+
+    Doubles are taken as exact decimals, so the result does not depend on the
+    order of the rows. Nested columns have counts only.
+
+    Every column is read once: texts and numbers are measured by separate
+    aggregates, since one text would take all numbers out of the compiled path,
+    and so are groups of columns of a wide table.
+    """
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    texts = [f for f in fields if isinstance(f.dataType, T.StringType)]
+    others = [f for f in fields if not isinstance(f.dataType, T.StringType)]
+    groups = [kind[i : i + PROFILE_GROUP] for kind in (others, texts) for i in range(0, len(kind), PROFILE_GROUP)]
+    return _union([_profile_pass(df, group) for group in groups])
+
+
 PROFILE = ("value_count", "null_count", "min_value", "max_value", "avg_value")
 
 

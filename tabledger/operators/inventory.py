@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.sizing import gib, workload_class, workload_weight
 from ..functions.text import ERROR_MESSAGE_CHARS, cut, fqn
 from .merge import CONTROL_KEY, merge
+from .report import single_row
 
 SOURCE = ("source_catalog", "source_schema", "source_table")
 TARGET = ("target_catalog", "target_schema", "target_table")
@@ -18,37 +19,37 @@ GATE_UNKNOWN = "PREDICTIVE_OPTIMIZATION_UNKNOWN"
 GATE_SKIPPED = "PREDICTIVE_OPTIMIZATION_SKIPPED"
 
 
-def gate_verdicts(
-    targets: DataFrame, settings: DataFrame, listing: DataFrame | None = None, unknown: str = "allow"
-) -> DataFrame:
+def with_target_type(rows: DataFrame, listing: DataFrame) -> DataFrame:
+    """Adds ``target_type``, NULL where the target table does not exist."""
+    types = listing.select(
+        F.col("table_catalog").alias(TARGET[0]), F.col("table_schema").alias(TARGET[1]),
+        F.col("table_name").alias(TARGET[2]), F.coalesce(F.upper("table_type"), F.lit("")).alias("target_type"),
+    )
+    return rows.join(types, list(TARGET), "left")
+
+
+def gate_verdicts(targets: DataFrame, settings: DataFrame, unknown: str = "allow") -> DataFrame:
     """Effective inherited setting per target table and whether it blocks the copy.
 
-    ``targets``: target_catalog, target_schema, target_table.
+    ``targets``: target_catalog, target_schema, target_table and, if the type
+    of existing targets is known, target_type; further columns are kept.
     ``settings``: level (table, schema, catalog), fqn, value (ENABLE, DISABLE,
-    INHERIT or NULL). ``listing`` tells the type of target tables that exist.
+    INHERIT or NULL), one row per level and name.
 
     The nearest explicit value counts. A table without any level, or of a type
     the setting does not apply to, is skipped; all levels INHERIT means
     DISABLE; no readable value is unknown.
     """
 
-    def level(name: str, parts: int) -> DataFrame:
+    def level(name: str) -> DataFrame:
         rows = settings.where(F.col("level") == name)
         return rows.select(F.col("fqn").alias(f"{name}_fqn"), F.col("value").alias(f"{name}_value"),
                            F.lit(True).alias(f"{name}_found"))
 
     out = targets
     for name, parts in (("table", 3), ("schema", 2), ("catalog", 1)):
-        out = out.join(level(name, parts), F.col(f"{name}_fqn") == fqn(*TARGET[:parts]), "left")
-    if listing is None:
-        kind = F.lit(None).cast("string")
-    else:
-        types = listing.select(
-            F.col("table_catalog").alias(TARGET[0]), F.col("table_schema").alias(TARGET[1]),
-            F.col("table_name").alias(TARGET[2]), F.upper("table_type").alias("_kind"),
-        )
-        out = out.join(types, list(TARGET), "left")
-        kind = F.col("_kind")
+        out = out.join(level(name), F.col(f"{name}_fqn") == fqn(*TARGET[:parts]), "left")
+    kind = F.nullif(F.col("target_type"), F.lit("")) if "target_type" in targets.columns else F.lit(None).cast("string")
 
     def explicit(name: str) -> Column:
         value = F.col(f"{name}_value")
@@ -135,23 +136,17 @@ def inventory_outcomes(
     class is UNKNOWN.
     """
     rows = existing_rows(selections, control, batch_id)
+    if target_listing is not None:
+        rows = with_target_type(rows, target_listing)
+    elif require_target:
+        raise ValueError("require_target needs a target listing")
     if settings is not None:
-        targets = rows.select(*TARGET).distinct()
-        rows = rows.join(gate_verdicts(targets, settings, target_listing, unknown_setting), list(TARGET), "left")
+        rows = gate_verdicts(rows, settings, unknown_setting)
     else:
         rows = rows.withColumns(
             {"gate_blocked": F.lit(False), "gate_code": F.lit(""), "gate_reason": F.lit("")}
         )
-    if require_target:
-        if target_listing is None:
-            raise ValueError("require_target needs a target listing")
-        present = target_listing.select(
-            F.col("table_catalog").alias(TARGET[0]), F.col("table_schema").alias(TARGET[1]),
-            F.col("table_name").alias(TARGET[2]), F.lit(True).alias("_target_found"),
-        ).distinct()
-        rows = rows.join(present, list(TARGET), "left")
-    else:
-        rows = rows.withColumn("_target_found", F.lit(True))
+    target_missing = F.col("target_type").isNull() if require_target else F.lit(False)
     measured = ("size_in_bytes", "source_num_files", "source_path", "source_version")
     if detail is not None:
         have = set(detail.columns)
@@ -174,7 +169,7 @@ def inventory_outcomes(
     outcome = (
         F.when(F.col("gate_blocked"), "PO_BLOCKED")
         .when(done, "ALREADY_DONE")
-        .when(F.col("_target_found").isNull(), "SKIPPED")
+        .when(target_missing, "SKIPPED")
         .when(~usable, "FAILED_PERMANENT")
         .otherwise("QUEUED")
     )
@@ -322,8 +317,7 @@ def dry_run_signoff(targets: DataFrame, groups: DataFrame) -> DataFrame:
     balance = groups.agg(
         F.max("total_bytes").alias("largest_group"), F.min("total_bytes").alias("smallest_group")
     )
-    # both sides are single rows of a global aggregate
-    joined = found.withColumn("_one", F.lit(1)).join(balance.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    joined = single_row(found, balance)
     balanced = F.coalesce(F.col("largest_group") <= 2 * F.col("smallest_group"), F.lit(True))
     return joined.select(
         "*",

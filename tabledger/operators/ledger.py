@@ -108,20 +108,39 @@ def kept_attempts(attempts: DataFrame, control: DataFrame) -> DataFrame:
     return attempts.join(control.select("migration_id"), "migration_id", "left_semi")
 
 
+def previous_status(status_log: DataFrame, slice_seconds: int = 3600) -> DataFrame:
+    """Adds ``from_status``, the state before each row of the same table.
+
+    The history of a table is cut into slices of time that are ordered side by
+    side; the first row of a slice takes the last state of the slice before. A
+    table that holds a third of the log is thus ordered by many tasks.
+    """
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("changed_at").cast("timestamp_ntz"))
+    rows = status_log.withColumn("slice", F.floor(seconds / F.lit(slice_seconds)))
+    inside = Window.partitionBy("migration_id", "slice").orderBy("changed_at", "seq")
+    ends = rows.groupBy("migration_id", "slice").agg(
+        F.max_by("status", F.struct("changed_at", "seq")).alias("last")
+    )
+    slices = Window.partitionBy("migration_id").orderBy("slice")
+    before = ends.withColumn("before", F.lag("last").over(slices)).drop("last")
+    return (
+        rows.withColumns({"prev": F.lag("status").over(inside), "rn": F.row_number().over(inside)})
+        .join(before, ["migration_id", "slice"])
+        .withColumn("from_status", F.when(F.col("rn") == 1, F.col("before")).otherwise(F.col("prev")))
+        .drop("slice", "prev", "rn", "before")
+    )
+
+
 def illegal_transitions(status_log: DataFrame) -> DataFrame:
     """Consecutive states of one table that no declared edge allows.
 
     Expects migration_id, seq, changed_at and status. Staying in a state is no
     transition.
     """
-    w = Window.partitionBy("migration_id").orderBy("changed_at", "seq")
     edge = F.concat_ws(">", "from_status", "to_status")
     return (
-        status_log.select(
-            "migration_id", "seq", "changed_at",
-            F.lag("status").over(w).alias("from_status"),
-            F.col("status").alias("to_status"),
-        )
+        previous_status(status_log)
+        .select("migration_id", "seq", "changed_at", "from_status", F.col("status").alias("to_status"))
         .where(F.col("from_status").isNotNull() & (F.col("from_status") != F.col("to_status")))
         .where(~edge.isin(*[f"{a}>{b}" for a, b in ALLOWED_EDGES]))
     )

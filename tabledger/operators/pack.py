@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,9 +30,12 @@ _PLACED = (
 
 def count_caps(records: DataFrame, max_chunks: int | None) -> DataFrame:
     """Per batch: number of tables and the cap ceil(tables / max_chunks), NULL without a maximum."""
-    n = F.count("*")
-    cap = F.ceil(n / F.lit(max_chunks)) if max_chunks and max_chunks > 0 else F.lit(None)
-    return records.groupBy("batch_id").agg(n.alias("n"), cap.cast("bigint").alias("count_cap"))
+    return _caps(records.groupBy("batch_id"), F.count("*"), max_chunks).withColumnRenamed("total", "n")
+
+
+def _caps(grouped: GroupedData, total: Column, max_chunks: int | None) -> DataFrame:
+    cap = F.ceil(total / F.lit(max_chunks)) if max_chunks and max_chunks > 0 else F.lit(None)
+    return grouped.agg(total.alias("total"), cap.cast("bigint").alias("count_cap"))
 
 
 def _place(runs: pd.DataFrame, state: pd.DataFrame, capacity: int) -> pd.DataFrame:
@@ -186,8 +189,10 @@ def pack_chunks(
         "batch_id", "migration_id", "size_in_bytes",
         F.coalesce("size_in_bytes", F.lit(0)).cast("bigint").alias("size"),
     )
-    caps = count_caps(rows, max_chunks)
-    runs = rows.groupBy("batch_id", "size").agg(F.count("*").alias("n")).join(caps.drop("n"), "batch_id")
+    runs = rows.groupBy("batch_id", "size").agg(F.count("*").alias("n"))
+    runs = runs.join(_caps(runs.groupBy("batch_id"), F.sum("n"), max_chunks).drop("total"), "batch_id")
+    # far fewer rows than records, and read by every later step
+    runs = checkpointed(runs)
     longest = runs.where(F.col("size") > 0).groupBy("batch_id").count().agg(F.max("count")).first()[0] or 0
     blocks = -(-longest // runs_per_block)
     placed = _placements(runs.where(F.col("size") > 0), capacity, blocks)

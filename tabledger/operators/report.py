@@ -214,21 +214,25 @@ def run_summary(metrics: DataFrame, tally: DataFrame | None = None, inventory: D
 
     Inventory counts, when given, replace total, skipped, failed and queued.
     """
-    one = F.lit(1).alias("_one")
-    out = metrics.select("*", one)
+    parts = [metrics]
     if tally is not None:
-        out = out.join(tally.select("*", one), "_one")
-    else:
-        out = out.withColumns({f"row_count_{x}": F.lit(0).cast("bigint") for x in ("checked", "matched", "mismatched")})
+        parts.append(tally)
     if inventory is not None:
-        shown = inventory.select(
-            F.col("total").alias("i_total"), F.col("skipped").alias("i_skipped"),
-            F.col("failed").alias("i_failed"), F.col("inserted").alias("i_queued"), one,
-        )
-        out = out.join(shown, "_one").withColumns(
-            {c: F.col(f"i_{c}") for c in ("total", "skipped", "failed", "queued")}
-        ).drop("i_total", "i_skipped", "i_failed", "i_queued")
-    return out.drop("_one").select(*[F.lit(v).alias(k) for k, v in labels.items()], "*")
+        shown = {"total": "total", "skipped": "skipped", "failed": "failed", "queued": "inserted"}
+        parts[0] = metrics.drop(*shown)
+        parts.append(inventory.select(*[F.col(v).alias(k) for k, v in shown.items()]))
+    out = single_row(*parts)
+    if tally is None:
+        out = out.withColumns({f"row_count_{x}": F.lit(0).cast("bigint") for x in ("checked", "matched", "mismatched")})
+    return out.select(*[F.lit(v).alias(k) for k, v in labels.items()], "*")
+
+
+def single_row(*parts: DataFrame) -> DataFrame:
+    """The columns of several one-row frames in one row, without a join."""
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def signoff_rows(control: DataFrame, batch_id: str = "") -> DataFrame:
@@ -370,6 +374,6 @@ def latest_execution(audit: DataFrame) -> DataFrame:
 
 def latest_results(audit: DataFrame) -> DataFrame:
     """Rows of the latest execution, with throughput in MB/s."""
-    rows = audit.join(F.broadcast(latest_execution(audit)), "execution_id", "left_semi")
+    rows = audit.where(F.col("execution_id") == latest_execution(audit).scalar())
     rate = F.round(F.col("size_bytes") / F.lit(1e6) / F.nullif(F.col("duration_seconds"), F.lit(0)), 3)
     return rows.withColumn("throughput_mbps", rate)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fqn_part
 from ..sources.schemas import REQUESTS, conform
@@ -153,8 +154,14 @@ def remap_locations(tables: DataFrame, prefixes: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct("src_prefix", "tgt_prefix"), F.length("src_prefix")).alias("m"))
         .select("location", F.concat(F.col("m.tgt_prefix"), F.col("location").substr(F.length("m.src_prefix") + 1, F.length("location"))).alias("target_location"))
     )
-    return tables.join(best, "location", "left").withColumn(
-        "unmapped", F.col("location").isNotNull() & F.col("target_location").isNull()
+    flat = [F.lit(0)] + [F.col(f.name) for f in tables.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
+    # tables without a location match nothing; spread them instead of sending them to one task
+    spread = F.concat(F.lit("\u0001"), F.pmod(F.xxhash64(*flat), F.lit(1000)).cast("string"))
+    keyed = tables.withColumn("_key", F.coalesce("location", spread))
+    return (
+        keyed.join(best.withColumnRenamed("location", "_key"), "_key", "left")
+        .drop("_key")
+        .withColumn("unmapped", F.col("location").isNotNull() & F.col("target_location").isNull())
     )
 
 
@@ -168,5 +175,5 @@ def save_plan(plan: DataFrame, execution_id: str, now: Column) -> DataFrame:
 
 def latest_plan(plans: DataFrame) -> DataFrame:
     """The rows of the plan that was generated last."""
-    last = plans.agg(F.max(F.struct("generated_at", "execution_id")).alias("m")).select("m.generated_at", "m.execution_id")
-    return plans.join(F.broadcast(last), ["generated_at", "execution_id"], "left_semi")
+    key = F.struct("generated_at", "execution_id")
+    return plans.where(key == plans.agg(F.max(key)).scalar())
