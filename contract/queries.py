@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabledger.functions import text
 from tabledger.functions.text import list_literal
 from tabledger.operators import checks, compare, inventory, ledger, pack, report, requests, select
 from tabledger.operators.ledger import lit_time
@@ -1081,3 +1082,92 @@ def _(spark, d):
     rows = whole_listing(spark, d)
     old = requests.save_plan(rows, "exec-1", lit_time("2024-01-01 00:00:00"))
     return requests.latest_plan(old.unionByName(requests.save_plan(rows, "exec-2", lit_time(NOW))))
+
+
+# -- remaining checks, names and cells -----------------------------------------
+
+
+@query("partition_columns_check", """{listing}
+WITH s AS (SELECT concat_ws('.', table_catalog, table_schema, table_name) AS n, num_files % 4 AS a, num_files % 9 AS b, num_files % 13 AS c FROM listing)
+SELECT n AS table_name, c <> 0 AND (a = 0) = (b = 0) AS passed,
+  concat('src=', CASE WHEN a = 0 THEN '[day]' ELSE '[day, region]' END, ' tgt=', CASE WHEN c = 0 THEN 'none' WHEN b = 0 THEN '[day]' ELSE '[day, region]' END) AS detail FROM s""")
+def _(spark, d):
+    listing = view(spark, d, "listing")
+    name = F.concat_ws(".", "table_catalog", "table_schema", "table_name").alias("table_name")
+    one, two = F.array(F.lit("day")), F.array(F.lit("region"), F.lit("day"))
+    source = listing.select(name, F.when(F.col("num_files") % 4 == 0, one).otherwise(two).alias("partition_columns"))
+    target = listing.where("num_files % 13 <> 0").select(
+        name, F.when(F.col("num_files") % 9 == 0, one).otherwise(F.reverse(two)).alias("partition_columns"))
+    return compare.partition_columns_check(source, target)
+
+
+@query("history_check", """{audit, listing}
+WITH t AS (SELECT DISTINCT table_name FROM audit), h AS (SELECT concat('t_', regexp_extract(table_name, '[0-9]+$', 0)) AS table_name FROM listing WHERE num_files % 3 <> 0)
+SELECT table_name, table_name IN (SELECT table_name FROM h) AS passed, concat('latest_op=', CASE WHEN table_name IN (SELECT table_name FROM h) THEN 'CLONE' ELSE 'n/a' END) AS detail FROM t""")
+def _(spark, d):
+    manifest = view(spark, d, "listing").where("num_files % 3 <> 0").select(
+        F.concat(F.lit("t_"), F.regexp_extract("table_name", "[0-9]+$", 0)).alias("table_name"),
+        F.lit(1).alias("version"), F.lit("CLONE").alias("operation"))
+    first = manifest.withColumns({"version": F.lit(0), "operation": F.lit("CREATE")})
+    return compare.history_check(view(spark, d, "audit"), manifest.unionByName(first))
+
+
+@query("requested_checks", f"""{{tgt_lineitem}}
+WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS s, (SELECT count(*) FROM tgt_lineitem) AS t),
+  p AS (SELECT {' , '.join(f"(SELECT (count({c}), count(*) - count({c}), min({c}), max({c}), sum(CAST(floor({c} * 100 + 0.5) AS BIGINT))) FROM lineitem) = (SELECT (count({c}), count(*) - count({c}), min({c}), max({c}), sum(CAST(floor({c} * 100 + 0.5) AS BIGINT))) FROM tgt_lineitem) AS {c}" for c in ("l_quantity", "l_discount"))})
+SELECT 'COUNT' AS check_name, 'lineitem' AS table_name, abs(s - t) / CAST(s AS DOUBLE) * 100 <= 5 AS passed,
+  format('src={{:,}} tgt={{:,}} DELTA={{}}{{:,}}', s, t, CASE WHEN t > s THEN '+' ELSE '' END, t - s) AS detail FROM c
+UNION ALL SELECT 'COLUMN_SAMPLE', 'lineitem', l_quantity AND l_discount,
+  concat('differing: ', concat_ws(', ', CASE WHEN NOT l_discount THEN 'l_discount' END, CASE WHEN NOT l_quantity THEN 'l_quantity' END)) FROM p""")
+def _(spark, d):
+    pair = {"lineitem": line_pair(spark, d)}
+    out = compare.requested_checks(pair, "ALL", ["l_quantity", "l_discount"], tolerance_pct=5.0)
+    return out.where("check_name <> 'CHECKSUM'")
+
+
+on_view("work_counts", "control", lambda c: ledger.work_counts(c, lit_time(STALE_NOW)), f"""
+SELECT count(*) FILTER (WHERE {_STALE}) AS stale, count(*) FILTER (WHERE status IN {RETRY} AND attempt_number < max_attempts) AS retryable,
+  count(*) FILTER (WHERE status = 'QUEUED') AS queued, count(*) FILTER (WHERE status = 'QUEUED' AND coalesce(chunk_id, 0) = 0) AS unplanned FROM control""")
+
+
+@query("copy_result_counts", """{attempts}
+WITH l AS (SELECT migration_id, attempt_number, source_size_bytes, duration_seconds AS n, CASE WHEN duration_seconds % 3 = 0 THEN 'c' WHEN status = 'SUCCESS' THEN 's' ELSE 'f' END AS k FROM attempts)
+SELECT migration_id, attempt_number, source_size_bytes, CASE k WHEN 'c' THEN n WHEN 's' THEN 7 ELSE 0 END AS ok, CASE k WHEN 'c' THEN 1 WHEN 's' THEN 0 ELSE 7 END AS fail FROM l""")
+def _(spark, d):
+    rows = view(spark, d, "attempts")
+    counted = F.concat(F.lit("SUCCESS:batch=b,chunk=1,ok="), F.col("duration_seconds").cast("string"), F.lit(",fail=1"))
+    line = F.when(F.col("duration_seconds") % 3 == 0, counted).otherwise(F.col("status"))
+    out = rows.withColumn("line", line).withColumn("r", text.result_counts(F.col("line"), F.lit(7)))
+    return out.select("migration_id", "attempt_number", "source_size_bytes", "r.ok", "r.fail")
+
+
+@query("error_codes", """{audit}
+WITH m AS (SELECT execution_id, CASE CAST(duration_seconds % 5 AS INT) WHEN 0 THEN 'TABLE_OR_VIEW_NOT_FOUND' WHEN 1 THEN 'LOCATION_OVERLAP' WHEN 2 THEN 'PERMISSION_DENIED'
+  WHEN 3 THEN 'ANALYSIS_EXCEPTION' ELSE 'CLONE_FAILED' END AS error_code FROM audit)
+SELECT execution_id, error_code, count(*) AS n FROM m GROUP BY 1, 2""")
+def _(spark, d):
+    k = F.col("duration_seconds") % 5
+    message = (F.when(k == 0, "[TABLE_OR_VIEW_NOT_FOUND] x PERMISSION_DENIED").when(k == 1, "a LOCATION_OVERLAP b")
+               .when(k == 2, "PermissionDenied").when(k == 3, "AnalysisException: y").otherwise("lost"))
+    rows = view(spark, d, "audit").withColumn("error_code", text.error_code_of(message))
+    return rows.groupBy("execution_id", "error_code").agg(F.count("*").alias("n"))
+
+
+@query("list_cells", """{listing}
+SELECT table_catalog, table_schema, table_name, CASE WHEN num_files % 2 = 0 THEN concat(table_schema, '+*', table_name, '*') ELSE '' END AS globs,
+  concat(table_catalog, '+', table_schema) AS names, concat('`', table_catalog, '`.`', table_schema, '`.`', table_name, '`') AS quoted FROM listing""")
+def _(spark, d):
+    cell = F.when(F.col("num_files") % 2 == 0, F.concat(F.lit("['"), "table_schema", F.lit("', ' *"), "table_name", F.lit("*']"))).otherwise("[broken")
+    names = F.when(F.col("num_files") % 3 == 0, F.to_json(F.array("table_catalog", "table_schema"))).otherwise(
+        F.concat("table_catalog", F.lit(" , "), "table_schema", F.lit(",")))
+    return view(spark, d, "listing").select(
+        "table_catalog", "table_schema", "table_name", F.array_join(text.list_literal(cell), "+").alias("globs"),
+        F.array_join(text.string_list(names), "+").alias("names"),
+        text.quoted_fqn("table_catalog", "table_schema", "table_name").alias("quoted"))
+
+
+@query("table_detail")
+def _(spark, d):
+    from tabledger.sources.listing import table_detail
+
+    return table_detail(spark, d).drop("last_modified")

@@ -159,3 +159,9 @@ def result_counts(line: Column, total: Column) -> Column:
         F.when(whole, ok).when(success, total).otherwise(zero).alias("ok"),
         F.when(whole, fail).when(success, zero).otherwise(total).alias("fail"),
     )
+
+
+def generated_id(prefix: str, now: Column, key: Column | None = None, pattern: str = "yyyyMMdd") -> Column:
+    """``prefix-<time>-<6 hex>``; with a key the same key always gets the same id."""
+    tail = F.uuid() if key is None else F.sha2(key.cast("string"), 256)
+    return F.concat_ws("-", F.lit(prefix), F.date_format(now, pattern), F.substring(F.replace(tail, F.lit("-")), 1, 6))

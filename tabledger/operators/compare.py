@@ -56,7 +56,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def row_count_parity(pairs: Pairs) -> DataFrame:
+def row_count_parity(pairs: Pairs, tolerance_pct: float = 0.0) -> DataFrame:
     """Source and target row counts of every pair, with the difference spelled out."""
 
     def rows(df: DataFrame, name: str, is_source: bool) -> DataFrame:
@@ -77,7 +77,8 @@ def row_count_parity(pairs: Pairs) -> DataFrame:
         F.when(delta != 0, F.concat(F.lit(" DELTA="), signed)).otherwise(""),
     )
     return counted.select(
-        "table_name", "src_rows", "tgt_rows", (delta == 0).alias("passed"), detail.alias("detail")
+        "table_name", "src_rows", "tgt_rows",
+        within_tolerance(F.col("src_rows"), F.col("tgt_rows"), tolerance_pct).alias("passed"), detail.alias("detail"),
     )
 
 
@@ -352,6 +353,41 @@ def profile_compare(source: DataFrame, target: DataFrame, columns: Sequence[str]
     return s.join(t, "column_name", "full").withColumn("passed", same)
 
 
+# -- checks by request ---------------------------------------------------------
+
+# What each validation mode checks.
+VALIDATION_MODES = {
+    "NONE": (),
+    "COUNT": ("COUNT",),
+    "CHECKSUM": ("CHECKSUM",),
+    "COLUMN_SAMPLE": ("COLUMN_SAMPLE",),
+    "ALL": ("COUNT", "CHECKSUM", "COLUMN_SAMPLE"),
+}
+
+
+def requested_checks(
+    pairs: Pairs, mode: str, columns: Sequence[str] | None = None, tolerance_pct: float = 0.0,
+    algorithm: str = "XXHASH64",
+) -> DataFrame | None:
+    """Results (check_name, table_name, passed, detail) of one validation mode; None for NONE."""
+    results = []
+    for check in VALIDATION_MODES[mode.upper()]:
+        if check == "COUNT":
+            rows = row_count_parity(pairs, tolerance_pct)
+        elif check == "CHECKSUM":
+            chosen = {name: columns for name in pairs} if columns else None
+            rows = checksum_verdicts(pairs, chosen, algorithm).withColumn(
+                "detail", F.concat(F.lit("src="), F.col("src_checksum").cast("string"),
+                                   F.lit(" tgt="), F.col("tgt_checksum").cast("string")))
+        else:
+            per_table = [profile_compare(s, t, columns).withColumn("table_name", F.lit(n)) for n, (s, t) in pairs.items()]
+            differing = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("column_name"))))
+            rows = _union([p.select("table_name", "column_name", "passed") for p in per_table]).groupBy("table_name").agg(
+                F.every("passed").alias("passed"), F.concat(F.lit("differing: "), F.array_join(differing, ", ")).alias("detail"))
+        results.append(rows.select(F.lit(check).alias("check_name"), "table_name", "passed", "detail"))
+    return _union(results) if results else None
+
+
 # -- table properties ----------------------------------------------------------
 
 

@@ -92,6 +92,18 @@ def stale(control: DataFrame, now: Column, minutes: int = 120, batch_id: str = "
     return in_batch(control, batch_id).where(stale_guard(now, minutes))
 
 
+def work_counts(control: DataFrame, now: Column, minutes: int = 120) -> DataFrame:
+    """One row: how many rows are stale, can be retried, are queued, lack a group."""
+    can_retry = F.col("status").isin(*RETRYABLE) & (F.col("attempt_number") < F.col("max_attempts"))
+    is_queued = F.col("status") == "QUEUED"
+    return control.agg(
+        F.count_if(stale_guard(now, minutes)).alias("stale"),
+        F.count_if(can_retry).alias("retryable"),
+        F.count_if(is_queued).alias("queued"),
+        F.count_if(is_queued & (F.coalesce("chunk_id", F.lit(0)) == 0)).alias("unplanned"),
+    )
+
+
 def attempt_history(attempts: DataFrame, control: DataFrame, source_table: str | None = None) -> DataFrame:
     """Attempts with the table they belong to."""
     tables = control.select("migration_id", "batch_id", "source_catalog", "source_schema", "source_table")

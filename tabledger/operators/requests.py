@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import fqn_part
 from ..sources.schemas import REQUESTS, conform
+from .compare import VALIDATION_MODES
 from .merge import merge, update_where
 
 
@@ -17,16 +18,6 @@ def null() -> Column:
     return F.lit(None)
 
 
-# What each validation mode checks.
-VALIDATION_MODES = {
-    "NONE": (),
-    "COUNT": ("COUNT",),
-    "CHECKSUM": ("CHECKSUM",),
-    "COLUMN_SAMPLE": ("COLUMN_SAMPLE",),
-    "ALL": ("COUNT", "CHECKSUM", "COLUMN_SAMPLE"),
-}
-
-
 def new_requests(
     names: DataFrame, scope: str, name: str, clone_mode: str, target_catalog: str, requested_by: str, now: Column,
     priority: int = 2, notes: str | None = None, tags: Mapping[str, str] | None = None,
