@@ -9,8 +9,11 @@ inside a run, are distributed joins.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,12 +21,15 @@ from pyspark.sql.window import Window
 from ..functions.sizing import GIB
 from ..sources.checkpoints import checkpointed
 
+# The placing function travels with its code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RUNS_PER_BLOCK = 50_000
 RANK_BUCKETS = 64
 RANKS_PER_PIECE = 10_000
 
 _PLACED = (
-    "batch_id string, kind string, size bigint, first_rank bigint, last_rank bigint,"
+    "batch_id string, kind string, size bigint, n bigint, first_rank bigint, last_rank bigint,"
     "chunk_id bigint, used bigint, tables bigint"
 )
 
@@ -58,7 +64,7 @@ def _place(runs: pd.DataFrame, state: pd.DataFrame, capacity: int) -> pd.DataFra
         fit = np.minimum((capacity - used) // size, cap - tables)
         for at in np.flatnonzero(fit > 0):
             take = min(int(fit[at]), n - rank)
-            placed.append((size, rank, rank + take - 1, int(ids[at])))
+            placed.append((size, n, rank, rank + take - 1, int(ids[at])))
             used[at] += take * size
             tables[at] += take
             rank += take
@@ -70,18 +76,18 @@ def _place(runs: pd.DataFrame, state: pd.DataFrame, capacity: int) -> pd.DataFra
             takes = np.minimum(per_chunk, n - starts)
             new_ids = opened + 1 + np.arange(len(starts))
             opened += len(starts)
-            placed.extend((size, int(a), int(a + k - 1), int(c)) for a, k, c in zip(starts, takes, new_ids))
+            placed.extend((size, n, int(a), int(a + k - 1), int(c)) for a, k, c in zip(starts, takes, new_ids))
             ids = np.concatenate([ids, new_ids])
             used = np.concatenate([used, takes * size])
             tables = np.concatenate([tables, takes])
         room = (used < capacity) & (tables < cap)
         if not room.all():
             ids, used, tables = ids[room], used[room], tables[room]
-    out = pd.DataFrame(placed, columns=["size", "first_rank", "last_rank", "chunk_id"]).assign(kind="run")
+    out = pd.DataFrame(placed, columns=["size", "n", "first_rank", "last_rank", "chunk_id"]).assign(kind="run")
     left = pd.DataFrame({"chunk_id": ids, "used": used, "tables": tables}).assign(kind="open")
     end = pd.DataFrame({"chunk_id": [opened]}).assign(kind="next")
     rows = pd.concat([out, left, end], ignore_index=True).assign(batch_id=batch)
-    fields = ["batch_id", "kind", "size", "first_rank", "last_rank", "chunk_id", "used", "tables"]
+    fields = ["batch_id", "kind", "size", "n", "first_rank", "last_rank", "chunk_id", "used", "tables"]
     return rows[fields].astype({f: "Int64" for f in fields[2:]})
 
 
@@ -125,7 +131,7 @@ def _zero_placements(placed: DataFrame, zeros: DataFrame) -> DataFrame:
     slots = fill.join(zeros, "batch_id").where(F.col("count_cap").isNotNull()).withColumn("free", free)
     slots = slots.withColumn("before", F.coalesce(F.sum("free").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = slots.where((F.col("free") > 0) & (F.col("before") < F.col("n"))).select(
-        "batch_id", F.col("before").alias("first_rank"),
+        "batch_id", "n", F.col("before").alias("first_rank"),
         (F.least(F.col("before") + F.col("free"), F.col("n")) - 1).alias("last_rank"), "chunk_id",
     )
     totals = fill.groupBy("batch_id").agg(F.max("chunk_id").alias("opened"))
@@ -137,7 +143,7 @@ def _zero_placements(placed: DataFrame, zeros: DataFrame) -> DataFrame:
     )
     # without a cap everything goes to the first chunk
     uncapped = rest.where(F.col("count_cap").isNull()).select(
-        "batch_id", F.lit(0).cast("bigint").alias("first_rank"), (F.col("n") - 1).alias("last_rank"),
+        "batch_id", "n", F.lit(0).cast("bigint").alias("first_rank"), (F.col("n") - 1).alias("last_rank"),
         F.lit(1).cast("bigint").alias("chunk_id"),
     )
     start = F.col("room") + F.col("i") * F.col("count_cap")
@@ -145,7 +151,7 @@ def _zero_placements(placed: DataFrame, zeros: DataFrame) -> DataFrame:
         rest.where(F.col("count_cap").isNotNull() & (F.col("room") < F.col("n")))
         .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil((F.col("n") - F.col("room")) / F.col("count_cap")) - 1)))
         .select(
-            "batch_id", start.alias("first_rank"),
+            "batch_id", "n", start.alias("first_rank"),
             (F.least(start + F.col("count_cap"), F.col("n")) - 1).alias("last_rank"),
             (F.col("opened") + 1 + F.col("i")).alias("chunk_id"),
         )
@@ -193,30 +199,33 @@ def pack_chunks(
     runs = runs.join(_caps(runs.groupBy("batch_id"), F.sum("n"), max_chunks).drop("total"), "batch_id")
     # far fewer rows than records, and read by every later step
     runs = checkpointed(runs)
-    longest = runs.where(F.col("size") > 0).groupBy("batch_id").count().agg(F.max("count")).first()[0] or 0
-    blocks = -(-longest // runs_per_block)
-    placed = _placements(runs.where(F.col("size") > 0), capacity, blocks)
-    placed = checkpointed(placed.select("batch_id", "size", "first_rank", "last_rank", "chunk_id"))
-    zeros = runs.where(F.col("size") == 0).select("batch_id", "n", "count_cap")
-    stretches = placed.unionByName(_zero_placements(placed, zeros)).join(
-        runs.select("batch_id", "size", "n"), ["batch_id", "size"]
+    per_batch = runs.groupBy("batch_id").agg(
+        F.count_if(F.col("size") > 0).alias("runs"), F.count_if(F.col("size") == 0).alias("zeros")
     )
+    shape = per_batch.agg(F.max("runs").alias("longest"), F.max("zeros").alias("zeros")).first()
+    blocks = -(-(shape.longest or 0) // runs_per_block)
+    fields = ["batch_id", "size", "n", "first_rank", "last_rank", "chunk_id"]
+    stretches = checkpointed(_placements(runs.where(F.col("size") > 0), capacity, blocks).select(*fields))
+    if shape.zeros:
+        zeros = runs.where(F.col("size") == 0).select("batch_id", "n", "count_cap")
+        stretches = checkpointed(stretches.unionByName(_zero_placements(stretches, zeros)))
     complete: Column = F.col("last_rank") - F.col("first_rank") + 1 == F.col("n")
+    result = ["batch_id", "migration_id", "size_in_bytes", F.col("chunk_id").cast("int").alias("chunk_id")]
     whole = stretches.where(complete).select("batch_id", "size", "chunk_id")
+    packed = rows.join(whole, ["batch_id", "size"]).select(*result)
+    parts = stretches.where(~complete)
+    if parts.isEmpty():
+        return packed
     # stretches of a split run, one row per rank, met by equality
     split = (
-        stretches.where(~complete)
+        parts
         .withColumn("piece", F.explode(F.sequence("first_rank", "last_rank", F.lit(RANKS_PER_PIECE).cast("bigint"))))
         .withColumn("rank", F.explode(F.sequence("piece", F.least(F.col("piece") + RANKS_PER_PIECE - 1, F.col("last_rank")))))
         .select("batch_id", "size", "rank", "chunk_id")
     )
-    split_keys = stretches.where(~complete).select("batch_id", "size").distinct()
-    in_whole = rows.join(whole, ["batch_id", "size"])
-    in_split = run_ranks(rows.join(split_keys, ["batch_id", "size"], "left_semi")).join(
-        split, ["batch_id", "size", "rank"]
-    )
-    fields = ["batch_id", "migration_id", "size_in_bytes", F.col("chunk_id").cast("int").alias("chunk_id")]
-    return in_whole.select(*fields).unionByName(in_split.select(*fields))
+    in_split = rows.join(parts.select("batch_id", "size").distinct(), ["batch_id", "size"], "left_semi")
+    placed = run_ranks(in_split).join(split, ["batch_id", "size", "rank"])
+    return packed.unionByName(placed.select(*result))
 
 
 def chunk_summary(rows: DataFrame) -> DataFrame:

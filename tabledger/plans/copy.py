@@ -50,10 +50,7 @@ def run_chunk(
 
     def copy(row) -> tuple:
         began = time.monotonic()
-        location = None
-        if target_root is not None:
-            number = target.latest(row.target)
-            location = f"{target_root.rstrip('/')}/{row.target}/v={0 if number is None else number + 1}"
+        location = None if target_root is None else f"{target_root.rstrip('/')}/{row.target}"
         try:
             done = copy_table(source, target, row.source, row.target, now, location)
         except Exception as e:  # a failed table must not stop the others

@@ -8,7 +8,9 @@ write leaves nothing behind that counts, and any earlier version can be read.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written aside, then renamed."""
+    aside, fs = _hadoop_path(spark, f"{path}.tmp")
+    stream = fs.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(aside, _hadoop_path(spark, path)[0]):
+        raise OSError(f"cannot create {path}")
+
+
 class VersionStore:
     """Versioned tables below one folder. A table is named by its dotted name."""
 
@@ -54,18 +80,14 @@ class VersionStore:
 
     @property
     def manifest_path(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def folder(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
+        return f"{self.root}/_manifest/rows"
 
     def manifest(self) -> DataFrame:
-        # the leading underscore hides the folder from table scans, so its files are named here
-        if not path_exists(self.spark, f"{self.manifest_path}/data"):
+        """One row per version of every table."""
+        if not path_exists(self.spark, self.manifest_path):
             return self.spark.createDataFrame([], MANIFEST)
-        return (
-            self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(f"{self.manifest_path}/data")
-        )
+        reader = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        return reader.json(self.manifest_path)
 
     def latest_versions(self) -> DataFrame:
         """The newest version of every table."""
@@ -77,19 +99,17 @@ class VersionStore:
             .select("table_name", "m.*")
         )
 
-    def entry(self, table: str, version: int | None = None):
+    def latest(self, table: str) -> int | None:
+        names = _names(self.spark, f"{self.manifest_path}/{table}")
+        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=None)
+
+    def entry(self, table: str, version: int | None = None) -> SimpleNamespace | None:
         """Manifest row of one version (the newest by default), or None."""
-        folder = f"{self.manifest_path}/data/{table}"
-        if not path_exists(self.spark, folder):
+        version = self.latest(table) if version is None else version
+        path = f"{self.manifest_path}/{table}/{version}.json"
+        if version is None or not path_exists(self.spark, path):
             return None
-        rows = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(folder)
-        if version is not None:
-            rows = rows.where(F.col("version") == version)
-        return rows.orderBy(F.col("version").desc()).limit(1).first()
-
-    def latest(self, table: str) -> int | None:
-        row = self.entry(table)
-        return None if row is None else row.version
+        return SimpleNamespace(**json.loads(_read_text(self.spark, path)))
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         """One version of a table; the newest when no version is given."""
@@ -116,7 +136,7 @@ class VersionStore:
         ``base`` is the version the rows were built from (None for a new
         table); when another writer went first, :class:`VersionTaken` is raised
         and nothing is written. By default the newest version is replaced
-        whatever it is.
+        whatever it is. ``location`` puts the data below another folder.
         """
         newest = self.latest(table)
         if base == -1:
@@ -124,7 +144,8 @@ class VersionStore:
         if base != newest:
             raise VersionTaken(f"{table} is at version {newest}, not {base}")
         version = 0 if newest is None else newest + 1
-        folder = location or self.folder(table, version)
+        # a name of its own: what a writer that died left behind is never met again
+        folder = f"{location or f'{self.root}/{table}'}/v={version}-{uuid.uuid4().hex[:8]}"
         claim, fs = _hadoop_path(self.spark, f"{self.root}/_claims/{table}/v={version}")
         try:
             # creating a file that must not exist is atomic, so one writer wins
@@ -147,16 +168,15 @@ class VersionStore:
             self.spark.read.format("binaryFile").option("recursiveFileLookup", True)
             .option("pathGlobFilter", f"*.{self.data_format}").load(folder)
             .agg(F.count("*").alias("num_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_in_bytes"))
+            .select("*", now.cast("timestamp_ntz").cast("string").alias("at"))
+            .first()
         )
-        row = files.select(
-            F.lit(table).alias("table_name"), F.lit(version).cast("long").alias("version"),
-            F.lit(operation).alias("operation"), now.cast("timestamp_ntz").alias("committed_at"),
-            F.lit(source_version).cast("long").alias("source_version"), "num_files", "size_in_bytes",
-            F.array(*[F.lit(c) for c in partition_by]).cast("array<string>").alias("partition_columns"),
-            F.lit(schema.json()).alias("schema_json"), F.lit(folder).alias("location"),
-        )
-        # a folder per row: writers that run side by side do not share a commit folder
-        row.coalesce(1).write.mode("errorifexists").parquet(f"{self.manifest_path}/data/{table}/{version}")
+        row = {
+            "table_name": table, "version": version, "operation": operation, "committed_at": files["at"].replace(" ", "T"),
+            "source_version": source_version, "num_files": files["num_files"], "size_in_bytes": files["size_in_bytes"],
+            "partition_columns": list(partition_by), "schema_json": schema.json(), "location": folder,
+        }
+        _write_text(self.spark, f"{self.manifest_path}/{table}/{version}.json", json.dumps(row))
 
     def release(self, table: str, version: int) -> None:
         """Gives up the claim of a writer that died before its version became visible."""
@@ -194,7 +214,7 @@ class VersionStore:
                 .option("recursiveFileLookup", True).load(folders)
             )
             file = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z0-9]+:/+", "/")
-            place = F.regexp_extract(file, r"^(.*/v=\d+)/", 1)
+            place = F.regexp_extract(file, r"^(.*/v=\d+-[0-9a-f]+)/", 1)
             counted = scan.select(place.alias("place")).groupBy("place").agg(F.count("*").alias("n"))
             counted = counted.withColumnRenamed("place", "location")
         plain = F.regexp_replace("location", r"^[a-z0-9]+:/+", "/")
