@@ -366,14 +366,15 @@ def _(spark, d):
 
 
 # -- reports -------------------------------------------------------------------
+# Rounding is half-up on the shortest decimal form of the double, as Spark does it.
 
 on_view("kpis", "control", report.kpis, f"""
 SELECT count(*) AS total_tables, count(*) FILTER (WHERE status IN {DONE}) AS done_tables,
   count(*) FILTER (WHERE status IN {ACTIVE}) AS active_tables, count(*) FILTER (WHERE status = 'QUEUED') AS queued_tables,
   count(*) FILTER (WHERE status IN {FAILED}) AS failed_tables,
-  round(100.0::DOUBLE * count(*) FILTER (WHERE status IN {DONE}) / nullif(count(*), 0), 1) AS pct_complete,
-  round(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE, 2) AS total_gb,
-  round(coalesce(CAST(sum(size_in_bytes) FILTER (WHERE status IN {DONE}) AS BIGINT), 0) / {GIB}.0::DOUBLE, 2) AS gb_done
+  CAST(round(CAST(CAST(100.0::DOUBLE * count(*) FILTER (WHERE status IN {DONE}) / nullif(count(*), 0) AS VARCHAR) AS DECIMAL(38,18)), 1) AS DOUBLE) AS pct_complete,
+  CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total_gb,
+  CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) FILTER (WHERE status IN {DONE}) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS gb_done
 FROM control""")
 on_view("control_status", "control",
         lambda c: report.row_count_status(c).select("migration_id", "source_row_count", "target_row_count", "row_count_status"), """
@@ -384,7 +385,7 @@ on_view("cumulative_done", "control", report.cumulative_done, f"""
 SELECT hour, CAST(sum(n) OVER (ORDER BY hour) AS BIGINT) AS cumulative_done FROM h""")
 on_view("hourly_throughput", "control", report.hourly_throughput, f"""
 SELECT date_trunc('hour', completed_at) AS hour, count(*) AS tables_done,
-  round(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE, 2) AS gb_done, round(avg(duration_seconds), 1) AS avg_duration_s
+  CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS gb_done, CAST(round(CAST(CAST(avg(duration_seconds) AS VARCHAR) AS DECIMAL(38,18)), 1) AS DOUBLE) AS avg_duration_s
 FROM control WHERE status IN {DONE} AND completed_at IS NOT NULL GROUP BY 1""")
 on_view("fail_codes", "control", report.fail_codes,
         f"SELECT coalesce(error_code, '(none)') AS error_code, count(*) AS n FROM control WHERE status IN {FAILED} GROUP BY 1")
@@ -407,7 +408,7 @@ _LONGEST = ["migration_id", "source_schema", "source_table", "size_in_bytes", "d
 on_view("longest_copies", "control", lambda c: report.longest_copies(c).select(*_LONGEST), f"""
 SELECT {', '.join(_LONGEST)} FROM control WHERE duration_seconds IS NOT NULL ORDER BY duration_seconds DESC, migration_id LIMIT 50""")
 on_view("chunk_fanout", "control", report.chunk_fanout, f"""
-SELECT batch_id, chunk_id, count(*) AS tables, round(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE, 2) AS gb,
+SELECT batch_id, chunk_id, count(*) AS tables, CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS gb,
   count(*) FILTER (WHERE status IN {DONE}) AS done FROM control WHERE chunk_id IS NOT NULL GROUP BY 1, 2""")
 on_view("status_totals", "control", report.status_totals, f"""
 SELECT status, count(*) AS n, coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS total_gb FROM control GROUP BY 1""")
@@ -436,7 +437,7 @@ SELECT CASE WHEN source_row_count IS NULL OR target_row_count IS NULL THEN 'NOT
 on_view("size_histogram", "control", report.size_histogram, f"""
 SELECT CAST(floor(size_in_bytes / {100 * GIB}.0::DOUBLE) AS BIGINT) * 100 AS from_gb, count(*) AS tables FROM control GROUP BY 1""")
 on_view("batch_summary", "control", report.batch_summary, f"""
-SELECT batch_id, chunk_id, status, count(*) AS tables, round(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE, 2) AS total_gb,
+SELECT batch_id, chunk_id, status, count(*) AS tables, CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total_gb,
   avg(duration_seconds) AS avg_duration_s FROM control GROUP BY 1, 2, 3""")
 _METRICS = f"""SELECT count(*) AS total, {_PER_STATE}, CAST(coalesce(sum(size_in_bytes), 0) AS BIGINT) AS total_bytes,
   CAST(coalesce(sum(size_in_bytes) FILTER (WHERE status IN {DONE}), 0) AS BIGINT) AS bytes_done,
@@ -458,7 +459,7 @@ on_view("signoff_rows", "control",
         lambda c: report.signoff_rows(c).select("migration_id", "batch_id", "chunk_id", "source_table", "size_in_bytes"),
         "SELECT migration_id, batch_id, chunk_id, source_table, size_in_bytes FROM control WHERE status = 'QUEUED'")
 on_view("table_snapshot", "control", report.table_snapshot, """
-SELECT migration_id, batch_id, source_schema, source_table, status, round(duration_seconds / 60.0::DOUBLE, 1) AS duration_min,
+SELECT migration_id, batch_id, source_schema, source_table, status, CAST(round(CAST(CAST(duration_seconds / 60.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 1) AS DOUBLE) AS duration_min,
   source_row_count, target_row_count, validation_status FROM control""")
 on_view("cross_filter", "control",
         lambda c: report.status_by_batch(report.cross_filter(c, ["batch-a", "batch-b"], ["QUEUED", "FAILED", "VALIDATED"], ["delta_share"])),
@@ -469,11 +470,11 @@ SELECT cluster_id, count(*) AS tables_assigned, count(*) FILTER (WHERE status =
   min(run_timestamp) AS started_at, max(run_timestamp) AS last_update FROM audit WHERE execution_id = 'exec-3' GROUP BY 1""")
 on_view("live_progress", "audit", lambda a: report.live_progress(a, "exec-3"), """
 SELECT status, count(*) AS table_count, CAST(sum(records_cloned) AS BIGINT) AS total_records, CAST(sum(size_bytes) AS BIGINT) / 1e9::DOUBLE AS total_gb,
-  round(avg(duration_seconds) / 60.0::DOUBLE, 1) AS avg_duration_min FROM audit WHERE execution_id = 'exec-3' GROUP BY 1""")
+  CAST(round(CAST(CAST(avg(duration_seconds) / 60.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 1) AS DOUBLE) AS avg_duration_min FROM audit WHERE execution_id = 'exec-3' GROUP BY 1""")
 on_view("execution_summary", "audit", lambda a: report.execution_summary(a, "exec-3"), """
 SELECT count(*) AS total_tables, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, count(*) FILTER (WHERE status = 'FAILED') AS failed,
-  CAST(sum(records_cloned) AS BIGINT) AS total_records, round(CAST(sum(size_bytes) AS BIGINT) / 1e9::DOUBLE, 2) AS total_gb,
-  round(avg(duration_seconds) / 60.0::DOUBLE, 1) AS avg_min_per_table FROM audit WHERE execution_id = 'exec-3'""")
+  CAST(sum(records_cloned) AS BIGINT) AS total_records, CAST(round(CAST(CAST(CAST(sum(size_bytes) AS BIGINT) / 1e9::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total_gb,
+  CAST(round(CAST(CAST(avg(duration_seconds) / 60.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 1) AS DOUBLE) AS avg_min_per_table FROM audit WHERE execution_id = 'exec-3'""")
 on_view("failed_tables", "audit",
         lambda a: report.failed_tables(a, "exec-3").select("table_name", "table_type", "error_message"),
         "SELECT table_name, table_type, error_message FROM audit WHERE execution_id = 'exec-3' AND status = 'FAILED'")
@@ -482,13 +483,13 @@ SELECT CAST(run_timestamp AS DATE) AS run_date, execution_id, count(*) AS total_
   count(*) FILTER (WHERE status = 'FAILED') AS failures FROM audit GROUP BY 1, 2""")
 on_view("execution_performance", "audit", report.execution_performance, f"""
 SELECT execution_id, count(*) AS tables_attempted, count(*) FILTER (WHERE status = 'SUCCESS') AS success, count(*) FILTER (WHERE status = 'FAILED') AS failed,
-  round(CAST(sum(size_bytes) AS BIGINT) / {GIB}.0::DOUBLE, 3) AS total_gb, CAST(sum(duration_seconds) AS BIGINT) AS total_seconds, min(run_timestamp) AS started_at
+  CAST(round(CAST(CAST(CAST(sum(size_bytes) AS BIGINT) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 3) AS DOUBLE) AS total_gb, CAST(sum(duration_seconds) AS BIGINT) AS total_seconds, min(run_timestamp) AS started_at
 FROM audit GROUP BY 1 ORDER BY started_at DESC, execution_id LIMIT 10""")
 on_view("latest_execution", "audit", report.latest_execution,
         "SELECT execution_id FROM audit ORDER BY run_timestamp DESC, execution_id DESC LIMIT 1")
 on_view("latest_results", "audit",
         lambda a: report.latest_results(a).select("execution_id", "table_name", "status", "duration_seconds", "throughput_mbps", "error_message"), """
-SELECT execution_id, table_name, status, duration_seconds, round(size_bytes / 1e6::DOUBLE / nullif(duration_seconds, 0), 3) AS throughput_mbps, error_message
+SELECT execution_id, table_name, status, duration_seconds, CAST(round(CAST(CAST(size_bytes / 1e6::DOUBLE / nullif(duration_seconds, 0) AS VARCHAR) AS DECIMAL(38,18)), 3) AS DOUBLE) AS throughput_mbps, error_message
 FROM audit WHERE execution_id = (SELECT execution_id FROM audit ORDER BY run_timestamp DESC, execution_id DESC LIMIT 1)""")
 on_view("validation_listing", "validation_history", report.validation_listing, "SELECT * FROM validation_history")
 
