@@ -163,18 +163,20 @@ def run_ranks(rows: DataFrame) -> DataFrame:
     """Adds ``rank`` (from 0) among the tables of one batch and size.
 
     Each run is split by a hash of the id, so a run that holds a third of all
-    tables is still numbered by many tasks.
+    tables is still numbered by many tasks. The part is one text, which no
+    earlier partitioning by batch and size can stand in for.
     """
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("migration_id"), F.lit(RANK_BUCKETS)))
-    counts = rows.groupBy("batch_id", "size", "bucket").agg(F.count("*").alias("c"))
+    bucket = F.pmod(F.xxhash64("migration_id"), F.lit(RANK_BUCKETS)).cast("int")
+    rows = rows.withColumn("bucket", bucket).withColumn("part", F.concat_ws("|", "batch_id", "size", "bucket"))
+    counts = rows.groupBy("part", "batch_id", "size", "bucket").agg(F.count("*").alias("c"))
     before = Window.partitionBy("batch_id", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
-    inside = Window.partitionBy("batch_id", "size", "bucket").orderBy("migration_id")
-    numbered = rows.withColumn("rn", F.row_number().over(inside))
+    offsets = counts.withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).select("part", "offset")
+    inside = Window.partitionBy("part").orderBy("migration_id")
     return (
-        numbered.join(offsets, ["batch_id", "size", "bucket"])
+        rows.withColumn("rn", F.row_number().over(inside))
+        .join(offsets, "part")
         .withColumn("rank", F.col("offset") + F.col("rn") - 1)
-        .drop("bucket", "offset", "rn")
+        .drop("part", "bucket", "offset", "rn")
     )
 
 
