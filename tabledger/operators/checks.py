@@ -25,13 +25,26 @@ REQUIRED_PASS_RATE = {
 }
 
 
+# Marks and texts of stored validation messages. {f} is the format that is required.
+PASS_MARK, FAIL_MARK = "✓ ", "✗ "
+LINE_SEPARATOR = " | "
+SOURCE_GONE = "SOURCE_MISSING: source table not found after clone"
+TARGET_GONE = "TARGET_MISSING: target table was not created"
+NO_FILES = "Both source and target have 0 files (empty table)"
+WRONG_FORMAT = " (expected {f})"
+EMPTY_SOURCE = " (target non-zero when source is 0)"
+WITHIN, BEYOND = " ✓", " ✗ EXCEEDS TOLERANCE"
+UNVERSIONED = " (unversioned — live count; no source_version/target_version on record)"
+COUNTS_DIFFER = " ✗ MISMATCH"
+
+
 def _number(value: Column) -> Column:
     return F.format_number(value, 0)
 
 
 def check_line(name: str, passed: Column, message: Column) -> Column:
-    """``✓ name: message`` or ``✗ name: message``."""
-    return F.concat(F.when(passed, F.lit("✓ ")).otherwise(F.lit("✗ ")), F.lit(f"{name}: "), message)
+    """One line of a validation message: mark, check, text."""
+    return F.concat(F.when(passed, F.lit(PASS_MARK)).otherwise(F.lit(FAIL_MARK)), F.lit(f"{name}: "), message)
 
 
 def metric_message(name: str, source: Column, target: Column, tolerance: float) -> Column:
@@ -41,10 +54,10 @@ def metric_message(name: str, source: Column, target: Column, tolerance: float)
     return F.when(
         source == 0,
         F.concat(F.lit(f"{name} src=0 tgt="), target.cast("string"),
-                 F.when(passed, "").otherwise(" (target non-zero when source is 0)")),
+                 F.when(passed, "").otherwise(EMPTY_SOURCE)),
     ).otherwise(
         F.concat(*both, F.lit(" diff="), F.format_string("%.2f", diff), F.lit(f"% (tol={tolerance}%)"),
-                 F.when(passed, " ✓").otherwise(" ✗ EXCEEDS TOLERANCE"))
+                 F.when(passed, WITHIN).otherwise(BEYOND))
     )
 
 
@@ -53,12 +66,12 @@ def row_count_message(source: Column, target: Column, source_version: Column, ta
         return F.coalesce(v.cast("string"), F.lit("None"))
 
     unversioned = source_version.isNull() & target_version.isNull()
-    note = F.when(unversioned, " (unversioned — live count; no source_version/target_version on record)").otherwise(
+    note = F.when(unversioned, UNVERSIONED).otherwise(
         F.concat(F.lit(" (src@v"), version(source_version), F.lit(", tgt@v"), version(target_version), F.lit(")"))
     )
     return F.concat(
         F.lit("row_count src="), _number(source), F.lit(" tgt="), _number(target), note,
-        F.when(source == target, "").otherwise(" ✗ MISMATCH"),
+        F.when(source == target, "").otherwise(COUNTS_DIFFER),
     )
 
 
@@ -126,11 +139,11 @@ def validation_verdicts(
         check_line("target_exists", F.lit(True), F.concat(F.lit("Target "), tgt, F.lit(" exists"))),
         check_line("target_format", format_ok,
                    F.concat(F.lit("Target format="), F.coalesce("tgt_format", F.lit("")),
-                            F.when(format_ok, "").otherwise(f" (expected {required_format})"))),
+                            F.when(format_ok, "").otherwise(WRONG_FORMAT.format(f=required_format)))),
         check_line("size_bytes", within_tolerance(F.col("src_bytes"), F.col("tgt_bytes"), size_tolerance),
                    metric_message("size_bytes", F.col("src_bytes"), F.col("tgt_bytes"), size_tolerance)),
         F.when(no_files, check_line("file_count", F.lit(True),
-                                    F.lit("Both source and target have 0 files (empty table)")))
+                                    F.lit(NO_FILES)))
         .otherwise(check_line("file_count", within_tolerance(F.col("src_files"), F.col("tgt_files"), file_tolerance),
                               metric_message("file_count", F.col("src_files"), F.col("tgt_files"), file_tolerance))),
         check_line("delta_version_present", F.col("tgt_modified").isNotNull(),
@@ -143,9 +156,9 @@ def validation_verdicts(
         )),
     ]
     message = (
-        F.when(missing_source, "SOURCE_MISSING: source table not found after clone")
-        .when(missing_target, "TARGET_MISSING: target table was not created")
-        .otherwise(F.concat_ws(" | ", *lines))
+        F.when(missing_source, SOURCE_GONE)
+        .when(missing_target, TARGET_GONE)
+        .otherwise(F.concat_ws(LINE_SEPARATOR, *lines))
     )
     failed = gone | (checked & ~F.coalesce(matched, F.lit(False)))
     return rows.select(

@@ -16,6 +16,13 @@ from ..sources.schemas import ACTIVE, ALLOWED_EDGES, ATTEMPTS, PERMANENT_ERROR_C
 from .merge import merge, update_where
 
 
+# Texts stored with a state change.
+STALE_TEXT = "Record was IN_PROGRESS/ASSIGNED beyond stale threshold; requeued"
+RESET_TEXT = "Reset from FAILED_PERMANENT by retry_permanent=true"
+PERMANENT_TEXT = "Non-retryable error: "
+EXHAUSTED_TEXT = ("Max attempts (", ") exhausted")
+
+
 def null() -> Column:
     return F.lit(None)
 
@@ -165,6 +172,14 @@ def permanent_code(code: Column) -> Column:
     return F.coalesce(F.upper(code).isin(*PERMANENT_ERROR_CODES), F.lit(False))
 
 
+def end_reason() -> Column:
+    """Why a failed row is not tried again."""
+    limit = F.coalesce("max_attempts", F.lit(3)).cast("string")
+    exhausted = F.concat(F.lit(EXHAUSTED_TEXT[0]), limit, F.lit(EXHAUSTED_TEXT[1]))
+    named = F.concat(F.lit(PERMANENT_TEXT), F.upper("error_code"))
+    return F.when(permanent_code(F.col("error_code")), named).otherwise(exhausted)
+
+
 def retry_disposition(control: DataFrame, now: Column, base_seconds: int = 30, batch_id: str = "") -> DataFrame:
     """What a retry run does with each failed row, and not before when."""
     attempt = F.coalesce("attempt_number", F.lit(0))
@@ -174,11 +189,7 @@ def retry_disposition(control: DataFrame, now: Column, base_seconds: int = 30, b
         .otherwise("REQUEUE")
     )
     wait = backoff_seconds(attempt, base_seconds)
-    reason = (
-        F.when(F.col("action") == "PERMANENT_CODE", F.concat(F.lit("Non-retryable error: "), F.upper("error_code")))
-        .when(F.col("action") == "EXHAUSTED",
-              F.concat(F.lit("Max attempts ("), F.coalesce("max_attempts", F.lit(3)).cast("string"), F.lit(") exhausted")))
-    )
+    reason = F.when(F.col("action") != "REQUEUE", end_reason())
     requeue = F.col("action") == "REQUEUE"
     return (
         in_batch(control, batch_id)
@@ -307,7 +318,7 @@ def reset_permanent(control: DataFrame, now: Column, batch_id: str = "") -> Data
         control, (F.col("status") == "FAILED_PERMANENT") & batch_guard(batch_id),
         {
             "status": F.lit("RETRY_PENDING"), "attempt_number": F.lit(0), "error_code": null(),
-            "error_message": F.lit("Reset from FAILED_PERMANENT by retry_permanent=true"), "updated_at": now,
+            "error_message": F.lit(RESET_TEXT), "updated_at": now,
         },
     )
 
@@ -318,7 +329,7 @@ def reconcile_stale(control: DataFrame, now: Column, minutes: int = 120, batch_i
         control, stale_guard(now, minutes) & batch_guard(batch_id),
         {
             "status": F.lit("RETRY_PENDING"), "error_code": F.lit("STALE_EXECUTION"),
-            "error_message": F.lit("Record was IN_PROGRESS/ASSIGNED beyond stale threshold; requeued"),
+            "error_message": F.lit(STALE_TEXT),
             "updated_at": now,
         },
     )
@@ -354,12 +365,9 @@ def retry_run(
     limit = F.coalesce("max_attempts", F.lit(3))
     code = permanent_code(F.col("error_code"))
     ends = code | (attempt >= limit)
-    message = F.when(code, F.concat(F.lit("Non-retryable error: "), F.upper("error_code"))).otherwise(
-        F.concat(F.lit("Max attempts ("), limit.cast("string"), F.lit(") exhausted"))
-    )
     values = {
         "status": F.when(ends, "FAILED_PERMANENT").otherwise("QUEUED"),
-        "error_message": F.when(ends, cut(message, ERROR_MESSAGE_CHARS)).otherwise(F.col("error_message")),
+        "error_message": F.when(ends, cut(end_reason(), ERROR_MESSAGE_CHARS)).otherwise(F.col("error_message")),
         "queued_at": F.when(ends, F.col("queued_at")).otherwise(now),
         "updated_at": now,
     }

@@ -91,3 +91,26 @@ def acceptance(
     for rows in stored[1:]:
         out = out.unionByName(rows)
     return out
+
+
+def run_acceptance(
+    ledger: Ledger, pairs: compare.Pairs, audit: DataFrame, execution_id: str, now: Column,
+    tables_per_job: int = 100, **inputs,
+) -> DataFrame:
+    """Runs the acceptance checks, stores their results and returns the pass rates.
+
+    Many tables are checked in several jobs, so that no plan grows with the
+    number of tables; each job appends its results when it is done.
+    """
+    names = list(pairs)
+    for start in range(0, len(names), tables_per_job):
+        group = {n: pairs[n] for n in names[start : start + tables_per_job]}
+        # inputs that list every table are cut down to the tables of this job
+        own = {
+            k: v.where(F.col("table_name").isin(*group)) if isinstance(v, DataFrame) else v for k, v in inputs.items()
+        }
+        results = acceptance(group, audit, execution_id, now, **own)
+        if start:
+            results = results.where(F.col("check_name") != "audit_log_completeness")
+        ledger.append("check_results", results)
+    return checks.acceptance_summary(ledger.log("check_results").where(F.col("execution_id") == execution_id))

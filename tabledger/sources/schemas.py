@@ -24,6 +24,7 @@ def _schema(text: str) -> T.StructType:
     return T.StructType(fields)
 
 
+# Columns of the stored tables.
 CONTROL = _schema(
     "migration_id string, run_id string, clone_type string, source_workspace string, target_workspace string,"
     "source_catalog string, source_schema string, source_table string,"

@@ -1,5 +1,7 @@
 import math
 import random
+import subprocess
+import sys
 
 import pytest
 
@@ -66,3 +68,11 @@ def test_one_hot_size_is_split_by_many_tasks(spark):
     data = [("b", f"m{i:04d}", 5 * GIB) for i in range(3000)] + [("c", "m", 1)]
     got = packed(spark, data, 50.0, None)
     assert [len(c) for c in got["b"]] == [10] * 300
+
+
+def test_executors_need_no_copy_of_the_package():
+    from pyspark import cloudpickle
+
+    load = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
+    out = subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(pack._place), capture_output=True, cwd="/")
+    assert out.stdout.decode().strip() == "_place", out.stderr.decode()
