@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import hash_sum, in_sample, row_hash, row_hash_pair, sha256_sum
+from ..functions.hashing import hash_sum, hash_sum_sql, in_sample, quoted, row_hash, row_hash_pair, sha256_sum
 from ..functions.sizing import within_tolerance
 
 Pairs = Mapping[str, tuple[DataFrame, DataFrame]]
@@ -212,7 +212,7 @@ def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     # a key of its own: copies of one row are folded where the join finds them, before
     # they meet, so Spark may split a join key that holds a third of all rows
     key = F.concat_ws(":", "h1", "h2")
-    keep = [F.any_value(F.col("`" + c.replace("`", "``") + "`")).alias(c) for c in (*columns, "src_count", "tgt_count")]
+    keep = [F.any_value(F.col(quoted(c))).alias(c) for c in (*columns, "src_count", "tgt_count")]
     return rows.groupBy(key.alias("_key")).agg(*keep).drop("_key")
 
 
@@ -283,47 +283,44 @@ _FAST_LIMIT = float(2**53 // _MICRO)
 PROFILE_GROUP = 8
 
 
-def _exact_sum(value: Column) -> Column:
-    """Sum of doubles to six decimals as a double, the same in any order of the rows.
+def _exact_sum(value: str) -> str:
+    """SQL sum of doubles to six decimals as a double, the same in any order of the rows.
 
     Common values are summed as whole millionths; very large ones as decimals.
     """
-    common = F.abs(value) < F.lit(_FAST_LIMIT)
-    millionths = hash_sum(F.when(common, F.rint(value * F.lit(float(_MICRO))).cast("bigint")))
-    rest = F.sum(F.when(~common, value).try_cast(_EXACT))
-    return millionths.cast("double") / F.lit(float(_MICRO)) + F.coalesce(rest.cast("double"), F.lit(0.0))
+    common = f"abs({value}) < {_FAST_LIMIT}D"
+    whole = f"CASE WHEN {common} THEN CAST(rint({value} * {float(_MICRO)}D) AS BIGINT) END"
+    rest = f"sum(try_cast(CASE WHEN NOT ({common}) THEN {value} END AS {_EXACT}))"
+    return f"CAST({hash_sum_sql(f'({whole})')} AS DOUBLE) / {float(_MICRO)}D + coalesce(CAST({rest} AS DOUBLE), 0D)"
 
 
 def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
-    aggs, shapes = [F.count("*").alias("n")], []
+    # SQL text: building thousands of Column objects would take longer than the job
+    aggs, shapes = ["count(*) AS n"], []
     for i, field in enumerate(fields):
-        value, dtype = F.col("`" + field.name.replace("`", "``") + "`"), field.dataType
-        none = F.lit(None)
-        low = high = none.cast("string")
-        mean = none.cast("double")
-        aggs.append(F.count(value).alias(f"c{i}"))
+        value, dtype = quoted(field.name), field.dataType
+        low = high = "CAST(NULL AS STRING)"
+        mean = "CAST(NULL AS DOUBLE)"
+        aggs.append(f"count({value}) AS c{i}")
         if not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
-            aggs += [F.min(value).alias(f"l{i}"), F.max(value).alias(f"h{i}")]
-            low, high = F.col(f"l{i}").cast("string"), F.col(f"h{i}").cast("string")
+            aggs += [f"min({value}) AS l{i}", f"max({value}) AS h{i}"]
+            low, high = f"CAST(l{i} AS STRING)", f"CAST(h{i} AS STRING)"
         if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            low, high = (F.coalesce((F.col(f"{e}{i}") + F.lit(0.0)).try_cast(_EXACT).cast("string"), text)
+            low, high = (f"coalesce(CAST(try_cast({e}{i} + 0D AS {_EXACT}) AS STRING), {text})"
                          for e, text in (("l", low), ("h", high)))
-            aggs.append(_exact_sum(value.cast("double")).alias(f"s{i}"))
+            aggs.append(f"{_exact_sum(f'CAST({value} AS DOUBLE)')} AS s{i}")
         elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            aggs.append(hash_sum(value.cast("bigint")).cast("double").alias(f"s{i}"))
+            aggs.append(f"CAST({hash_sum_sql(f'CAST({value} AS BIGINT)')} AS DOUBLE) AS s{i}")
         elif isinstance(dtype, T.DecimalType):
-            aggs.append(F.sum(value).cast("double").alias(f"s{i}"))
+            aggs.append(f"CAST(sum({value}) AS DOUBLE) AS s{i}")
         if isinstance(dtype, T.NumericType):
-            mean = F.col(f"s{i}") / F.nullif(F.col(f"c{i}"), F.lit(0))
+            mean = f"s{i} / nullif(c{i}, 0)"
+        name = field.name.replace("\\", "\\\\").replace("'", "\\'")
         shapes.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.col(f"c{i}").alias("value_count"),
-                (F.col("n") - F.col(f"c{i}")).alias("null_count"),
-                low.alias("min_value"), high.alias("max_value"), mean.alias("avg_value"),
-            )
+            f"named_struct('column_name', '{name}', 'value_count', c{i}, 'null_count', n - c{i}, "
+            f"'min_value', {low}, 'max_value', {high}, 'avg_value', {mean})"
         )
-    return df.agg(*aggs).select(F.inline(F.array(*shapes)))
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(shapes)}))")
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
