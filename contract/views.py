@@ -6,6 +6,8 @@ oracle read the same rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -129,7 +131,9 @@ def with_views(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].strip()})" for n in ordered) + "\n"
 
 
+@lru_cache(maxsize=64)
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the handle is kept, so its schema is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -114,7 +114,12 @@ def row_md5(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
 
 
 def hash_sum_sql(value: str) -> str:
-    """SQL text of :func:`hash_sum`."""
+    """Exact SQL ``SUM`` of 64-bit numbers as a decimal, order independent.
+
+    Three 22-bit slices are summed as longs and put together once per group, so
+    the per-row work stays on primitive longs and cannot overflow below 2^41
+    rows per group.
+    """
     slices = (f"{value} & 4194303", f"shiftright({value}, 22) & 4194303", f"shiftright({value}, 44)")
     parts = [
         f"CAST(coalesce(sum({part}), 0) AS DECIMAL(19,0)) * CAST({1 << bits}L AS DECIMAL(14,0))"
@@ -123,27 +128,9 @@ def hash_sum_sql(value: str) -> str:
     return f"CAST({' + '.join(parts)} AS DECIMAL(38,0))"
 
 
-def hash_sum(hash64: Column) -> Column:
-    """Exact ``SUM`` of 64-bit hashes as a decimal, order independent.
-
-    Three 22-bit slices are summed as longs and put together once per group, so
-    the per-row work stays on primitive longs and cannot overflow below 2^41
-    rows per group.
-    """
-    low = F.sum(hash64.bitwiseAND(F.lit((1 << 22) - 1)))
-    mid = F.sum(F.shiftright(hash64, 22).bitwiseAND(F.lit((1 << 22) - 1)))
-    high = F.sum(F.shiftright(hash64, 44))
-
-    def wide(total: Column, bits: int) -> Column:
-        return F.coalesce(total, F.lit(0)).cast("decimal(19,0)") * F.lit(1 << bits).cast("decimal(14,0)")
-
-    return (wide(high, 44) + wide(mid, 22) + wide(low, 0)).cast("decimal(38,0)")
-
-
-def sha256_sum(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Sum of the leading 60 bits of each row's SHA-256, order independent."""
-    head = F.conv(F.substring(F.sha2(row_text(df, columns), 256), 1, 15), 16, 10).cast("long")
-    return hash_sum(head)
+def row_sha256(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """The leading 60 bits of each row's SHA-256 as a number."""
+    return F.conv(F.substring(F.sha2(row_text(df, columns), 256), 1, 15), 16, 10).cast("long")
 
 
 def in_sample(hash64: Column, percent: int) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import hash_sum, hash_sum_sql, in_sample, quoted, row_hash, row_hash_pair, sha256_sum
+from ..functions.hashing import hash_sum_sql, in_sample, quoted, row_hash, row_hash_pair, row_sha256
 from ..functions.sizing import within_tolerance
 
 Pairs = Mapping[str, tuple[DataFrame, DataFrame]]
@@ -239,13 +239,11 @@ def lost_and_extra(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def checksum(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64") -> DataFrame:
     """One row: ``row_count`` and an order-independent ``checksum`` of the rows."""
-    if algorithm.upper() == "XXHASH64":
-        total = hash_sum(row_hash(df, columns))
-    elif algorithm.upper() == "SHA256":
-        total = sha256_sum(df, columns)
-    else:
+    hashes = {"XXHASH64": row_hash, "SHA256": row_sha256}
+    if algorithm.upper() not in hashes:
         raise ValueError(f"unknown checksum algorithm {algorithm}")
-    return df.agg(F.count("*").alias("row_count"), total.alias("checksum"))
+    hashed = df.select(hashes[algorithm.upper()](df, columns).alias("h"))
+    return hashed.selectExpr("count(*) AS row_count", f"{hash_sum_sql('h')} AS checksum")
 
 
 def checksum_verdicts(
