@@ -137,9 +137,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order, absent ones as typed NULLs, others kept last."""
     have = set(df.columns)
     cols = [
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        f"CAST({f'`{f.name}`' if f.name in have else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in schema.fields
     ]
-    return df.select(*cols, *[c for c in df.columns if c not in schema.fieldNames()])
+    return df.selectExpr(*cols, *[f"`{c}`" for c in df.columns if c not in schema.fieldNames()])
 
 
 def add_columns(df: DataFrame, fields: T.StructType) -> DataFrame:
