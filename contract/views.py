@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import TimestampType
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -143,4 +144,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for table in BASE_TABLES:
         if f"FROM {table}" in text:
             base(spark, sf_dir, table).createOrReplaceTempView(table)
-    return spark.sql(text)
+    rows = spark.sql(text)
+    # timestamp literals carry the session zone in Spark; drop it again
+    zoned = [f.name for f in rows.schema.fields if isinstance(f.dataType, TimestampType)]
+    return rows.withColumns({c: rows[c].cast("timestamp_ntz") for c in zoned}) if zoned else rows
