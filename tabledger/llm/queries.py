@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets
-from .common import table
+from . import decontaminate, packing, secrets
+from .common import WORD, table
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    ids = F.sort_array(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id", "n_words", decontaminate.n_hit(F.col("spans")).alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
 
 
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,5 +37,23 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_pack": op5_pack, "op10_secrets": op10_secrets}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
+
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES: dict[str, str] = {
+    "op2_decontaminate": rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all({LOWER}, '{WORD}'), []) AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all({LOWER}, '{WORD}') AS ws FROM benchmark WHERE text IS NOT NULL),
+iw AS (SELECT DISTINCT item_id, least(10, len(ws)) AS k, array_to_string(ws[s : s + least(10, len(ws)) - 1], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS s FROM i WHERE len(ws) > 0)),
+dw AS (SELECT r, s, k, array_to_string(ws[s : s + k - 1], ' ') AS w
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k)),
+h AS (SELECT r, s, k, item_id FROM dw JOIN iw USING (k, w)),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + k)) AS p FROM h) GROUP BY r),
+m AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+""",
+}
