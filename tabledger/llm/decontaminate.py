@@ -19,6 +19,7 @@ from .common import WORD, folded, small
 
 WINDOW = 10
 GRAM = 4
+REACH = WINDOW - GRAM
 LONGEST = 1 << 30
 
 
@@ -69,13 +70,13 @@ def _windows(items: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _extended(df: DataFrame, length: int, reach: int) -> DataFrame:
-    """Hits as (start, length, item ids): the windows that begin at most ``reach`` words after a kept hash and equal
-    one of the benchmark's, word by word."""
-    starts = F.sequence("i", F.least(F.col("i") + reach, F.size("words") - length))
-    hits = F.flatten(F.transform(starts, lambda s: F.transform(
-        F.filter("windows", lambda w: w["window"] == F.array_join(F.slice("words", s + 1, length), " ")),
-        lambda w: F.struct(s.alias("start"), F.lit(length).alias("length"), w["item_ids"].alias("item_ids")))))
+def _extended(df: DataFrame, length: int) -> DataFrame:
+    """Hits as (start, length, item ids): the windows among the words ``near`` a kept hash (the first is word ``i``) that
+    equal one of the benchmark's, word by word."""
+    steps = F.sequence(F.lit(0), F.greatest(F.size("near") - length, F.lit(0)))
+    hits = F.flatten(F.transform(steps, lambda s: F.transform(
+        F.filter("windows", lambda w: w["window"] == F.array_join(F.slice("near", s + 1, length), " ")),
+        lambda w: F.struct((F.col("i") + s).alias("start"), F.lit(length).alias("length"), w["item_ids"].alias("item_ids")))))
     return df.withColumn("hits", F.when(F.col("windows").isNotNull(), hits))
 
 
@@ -99,24 +100,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     )
     found = "array<struct<start:int,length:int,item_ids:array<%s>>>" % items.schema["item_id"].dataType.simpleString()
     wide = kept(base).select("doc_id", "text_hash", "words", "kept", F.posexplode_outer("kept").alias("i", "hash"))
-    # A hash is kept where it changes; every seventh one too, so that long repeats stay within reach.
-    change = (F.col("i") == 0) | (F.col("i") % 7 == 0) | (F.col("hash") != F.expr("get(kept, i - 1)"))
+    # A hash is kept where it changes, and at every seventh window, so that long repeats stay within reach.
+    change = (F.col("i") % (REACH + 1) == 0) | (F.col("hash") != F.expr("get(kept, i - 1)"))
     wide = wide.where(F.col("i").isNull() | change)
+    own = F.coalesce(F.col("i") == 0, F.lit(True)).cast("long").alias("own")
+    n_words = F.size("words").cast("long").alias("n_words")
     if WINDOW in lengths:
         index = small(_windows(items.where(F.size("words") >= WINDOW), WINDOW))
-        wide = _extended(wide.join(index, "hash", "left"), WINDOW, 6)
+        # Of a text, only the words that a hit can be extended over leave the join.
+        met = wide.join(index, "hash", "left").where(F.col("windows").isNotNull() | F.coalesce(F.col("i") == 0, F.lit(True)))
+        near = F.slice("words", F.col("i") + 1, WINDOW + REACH).alias("near")
+        rows = _extended(met.select("doc_id", "text_hash", n_words, own, "i", near, "windows"), WINDOW)
+        rows = rows.select("doc_id", "text_hash", "n_words", "own", "hits")
     else:
-        wide = wide.withColumn("hits", F.lit(None).cast(found))
-    own = (F.col("i").isNull() | (F.col("i") == 0)).cast("long").alias("own")
-    rows = wide.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), own, "hits")
-    rows = rows.where((F.col("own") == 1) | (F.size("hits") > 0))
+        wide = wide.where(F.coalesce(F.col("i") == 0, F.lit(True)))
+        rows = wide.select("doc_id", "text_hash", n_words, own, F.lit(None).cast(found).alias("hits"))
     for length in (x for x in lengths if x < WINDOW):
         index = small(_windows(items.where(F.size("words") == length), length))
         narrow = grams(base, length).select("doc_id", "text_hash", "words", F.posexplode_outer("grams").alias("i", "hash"))
         narrow = narrow.where("i IS NOT NULL").join(index, "hash")
-        narrow = _extended(narrow, length, 0).where(F.size("hits") > 0)
-        rows = rows.unionByName(narrow.select(
-            "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("own"), "hits"))
+        near = F.slice("words", F.col("i") + 1, length).alias("near")
+        narrow = _extended(narrow.select("doc_id", "text_hash", n_words, "i", near, "windows"), length).where(F.size("hits") > 0)
+        rows = rows.unionByName(narrow.select("doc_id", "text_hash", "n_words", F.lit(0).cast("long").alias("own"), "hits"))
     flat = rows.select(
         "doc_id", "text_hash", "n_words", "own",
         F.transform("hits", lambda h: F.struct(h["start"], h["length"])).alias("spans"),
