@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secrets
-from .common import WORD, table
+from . import decontaminate, merkle, packing, secrets, toxicity
+from .common import WORD, small, table
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_machine(spark: SparkSession, folder: str) -> toxicity.Machine:
+    """From labelled documents outside the held-out fifth."""
+    labels = table(spark, folder, "labels").where(~held_out())
+    chosen = small(toxicity.sampled_labels(labels, "toxic"))
+    return toxicity.train(table(spark, folder, "documents").select("doc_id", "text").join(chosen, "doc_id"))
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.scores(docs, toxicity_machine(spark, folder))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    compared = merkle.chained(table(spark, folder, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited",
+        "near_next", "edits",
+    )
 
 
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +62,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
+QUERIES = {"op1_toxicity": op1_toxicity, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
