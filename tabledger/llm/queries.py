@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, merkle, packing, secrets, toxicity
+from . import decontaminate, licenses, merkle, packing, secrets, toxicity
 from .common import WORD, small, table
 
 
@@ -26,6 +26,19 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    base, more = F.transform("phrases", lambda p: p["label"]), F.transform("templates", lambda t: t["label"])
+    starts = F.transform("phrases", lambda p: p["start"])
+    names = lambda labels: F.array_join(F.sort_array(F.array_distinct(labels)), ",")
+    score = F.when((F.size("phrases") > 0) | (F.size("templates") > 0), F.lit(1.0)).otherwise(0.9 * F.col("share"))
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), names(base).alias("base_labels"), names(F.concat(base, more)).alias("labels"),
+        score.alias("score"), F.size("templates").cast("long").alias("n_templates"),
+    )
+
+
 def op4_merkle(spark: SparkSession, folder: str) -> DataFrame:
     compared = merkle.chained(table(spark, folder, "documents"))
     return compared.select(
@@ -62,7 +75,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_licenses": op3_licenses, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
