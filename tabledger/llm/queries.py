@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, merkle, packing, secrets, toxicity
+from . import decontaminate, jaccard, licenses, merkle, packing, secrets, toxicity
 from .common import WORD, small, table
 
 
@@ -65,6 +65,10 @@ def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -75,7 +79,7 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_licenses": op3_licenses, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op10_secrets": op10_secrets}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_licenses": op3_licenses, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op9_jaccard": op9_jaccard, "op10_secrets": op10_secrets}
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
