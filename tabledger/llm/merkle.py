@@ -159,7 +159,10 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     @F.pandas_udf("int")
     def part_of(ids):
-        return len(bounds) - ids.astype("float64").pipe(lambda x: np.searchsorted(bounds, x.fillna(-np.inf), "right")).astype("int32")
+        import pandas as pd
+
+        at = np.searchsorted(bounds, ids.astype("float64").fillna(-np.inf).to_numpy(), "right")
+        return pd.Series(len(bounds) - at).astype("int32")
 
     placed = rows.withColumn("part", part_of(F.col("doc_id")) if len(bounds) else F.lit(0))
     heads = placed.groupBy("part").agg(F.max(F.struct("doc_id", "tie")).alias("head")).orderBy("part")
@@ -178,7 +181,7 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return dealt.sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), F.desc("tie")).drop("tie")
 
 
-def chained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 3) -> DataFrame:
+def chained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: int = 3, part_bytes: int = PART_BYTES) -> DataFrame:
     """Compares each document with its edited text and with the next document.
 
     The edited text has its last floor(n_chars / ``share``) code points replaced by the first as many (or all) of the
@@ -188,7 +191,7 @@ def chained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     A null text is empty; a lone document is its own next one; repeated rows follow each other; an empty table gives
     no row; other columns are not read.
     """
-    ordered = neighbours(docs, id_col, text_col)
+    ordered = neighbours(docs, id_col, text_col, part_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row before, of which the next one is still to come
