@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, merkle, packing, secrets, toxicity
+from . import decontaminate, jaccard, licenses, merkle, packing, quality, secrets, sharding, toxicity, url_lists
 from .common import WORD, small, table
 
 
@@ -65,6 +65,52 @@ def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.directory(table(spark, folder, "documents"), SHARD_BYTES)
+    return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
+def fetched_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with the time of the event of their number as fetch time (null where there is none)."""
+    times = table(spark, folder, "events").select(F.col("event_id").alias("page_id"), F.col("ts").alias("fetched_at"), "event_type", "user_id")
+    return table(spark, folder, "pages").select("page_id", "url").join(times, "page_id", "left")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A list kept by reports on pages: an error blocks the page's host from 12 hours later on, a signup its first path
+    segment, a purchase allows the host again, and a click of every seventh user removes the host's entry."""
+    site = url_lists.patterns_of(F.col("url"))
+    host = F.when(F.size(site) > 0, url_lists.host_of(F.col("url")))
+    kind = F.col("event_type")
+    action = (F.when(kind.isin("error", "signup"), "block").when(kind == "purchase", "allow")
+              .when((kind == "click") & (F.col("user_id") % 7 == 0), "remove"))
+    pattern = F.when(kind == "signup", F.get(site, F.lit(0))).otherwise(host)
+    return pages.select(
+        pattern.alias("pattern"), (F.col("fetched_at") + F.expr("INTERVAL 12 HOURS")).alias("listed_at"), action.alias("action")
+    ).where("action IS NOT NULL")
+
+
+def op7_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = fetched_pages(spark, folder)
+    return url_lists.as_of(pages, list_entries(pages))
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents stand at the host and first path segment of the page of their number; without one, at source and lang."""
+    docs = table(spark, folder, "documents")
+    number = F.expr("try_cast(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT)")
+    segment = F.element_at(url_lists.patterns_of(F.col("url")), 1)
+    sites = table(spark, folder, "pages").select(number.alias("doc_id"), F.struct(url_lists.host_of(F.col("url")).alias("host"), segment.alias("path")).alias("site"))
+    sites = sites.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("site").alias("site"))
+    placed = docs.join(sites, "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("site.host", "source").alias("host"), F.coalesce("site.path", F.concat_ws("/", "source", "lang")).alias("path"))
+    judged = quality.posteriors(placed, table(spark, folder, "labels").withColumnRenamed("quality", "label"))
+    return judged.withColumn("keep", F.col("score") >= 0.5)
+
+
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_groups(table(spark, folder, "documents"))
 
@@ -79,7 +125,17 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_licenses": op3_licenses, "op4_merkle": op4_merkle, "op2_decontaminate": op2_decontaminate, "op5_pack": op5_pack, "op9_jaccard": op9_jaccard, "op10_secrets": op10_secrets}
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_toxicity, op2_decontaminate, op3_licenses, op4_merkle, op5_pack, op6_sharding, op7_url_lists, op8_quality, op9_jaccard,
+              op10_secrets, pipeline)
+}
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
@@ -97,5 +153,37 @@ m AS (SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+""",
+    "op6_sharding": r"""
+WITH k AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes, md5(coalesce(text, '')) AS digest,
+    row_number() OVER (PARTITION BY doc_id, text) AS copy FROM documents),
+h AS (SELECT doc_id, n_bytes, CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), digest, CAST(copy AS VARCHAR))), 1, 15) AS BIGINT) AS h FROM k),
+s AS (SELECT greatest(0, CAST(ceil(log2(greatest(1.0, sum(n_bytes) / LIMIT.0))) AS INT) - 3) AS d0 FROM h),
+l AS (SELECT doc_id, n_bytes, h, d, h >> (60 - d) AS p FROM (SELECT h.*, unnest(range(d0, 41)) AS d FROM h, s)),
+b AS (SELECT d, p, sum(n_bytes) AS shard_bytes, count(*) AS shard_docs FROM l GROUP BY d, p),
+f AS (SELECT * FROM b WHERE shard_bytes <= LIMIT OR shard_docs = 1),
+c AS (SELECT l.h, min(f.d) AS d FROM l JOIN f USING (d, p) GROUP BY l.h)
+SELECT h.doc_id, CAST(h.n_bytes AS BIGINT) AS n_bytes, substr(lpad(CAST(CAST(h.h AS BIT) AS VARCHAR), 64, '0'), 5, CAST(c.d AS INT)) AS shard,
+  CAST(c.d AS INT) AS depth, CAST(f.shard_bytes AS BIGINT) AS shard_bytes, CAST(f.shard_docs AS BIGINT) AS shard_docs
+FROM h JOIN c USING (h) JOIN f ON f.d = c.d AND f.p = h.h >> (60 - c.d)
+""".replace("LIMIT", str(SHARD_BYTES)),
+    "op7_url_lists": r"""
+WITH p AS (SELECT page_id, url, ts AS fetched_at, event_type, user_id,
+    regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) AS seg
+  FROM pages LEFT JOIN events ON event_id = page_id),
+q AS (SELECT *, CASE WHEN host = '' OR host IS NULL THEN [] ELSE CASE WHEN seg <> '' THEN [host || '/' || seg, host] ELSE [host] END
+    || list_filter(list_transform(range(2, greatest(len(string_split(host, '.')), 2) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')), lambda x: contains(x, '.')) END AS pats FROM p),
+e AS (SELECT CASE WHEN event_type = 'signup' THEN pats[1] WHEN len(pats) > 0 THEN host END AS pattern, fetched_at + INTERVAL 12 HOUR AS since,
+    max(CASE WHEN event_type IN ('error', 'signup') THEN 2 WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS act
+  FROM q WHERE event_type IN ('error', 'signup', 'purchase') OR (event_type = 'click' AND user_id % 7 = 0) GROUP BY 1, 2),
+v AS (SELECT pattern, act, since, lead(since) OVER (PARTITION BY pattern ORDER BY since) AS until FROM e WHERE pattern IS NOT NULL AND since IS NOT NULL),
+c AS (SELECT row_number() OVER () AS r, * FROM q),
+t AS (SELECT r, fetched_at, i AS lvl, pats[i] AS pattern FROM (SELECT r, fetched_at, pats, unnest(range(1, len(pats) + 1)) AS i FROM c)),
+m AS (SELECT t.r, arg_min({'p': v.pattern, 'a': v.act, 'f': v.since, 'u': v.until}, lvl) AS s
+  FROM t JOIN v ON v.pattern = t.pattern AND t.fetched_at >= v.since AND (v.until IS NULL OR t.fetched_at < v.until) WHERE v.act > 0 GROUP BY t.r)
+SELECT page_id, url, fetched_at, coalesce(s.a = 2, FALSE) AS blocked, s.p AS pattern, CASE s.a WHEN 2 THEN 'block' WHEN 1 THEN 'allow' END AS action,
+  s.f AS valid_from, s.u AS valid_to
+FROM c LEFT JOIN m USING (r)
 """,
 }
