@@ -65,8 +65,8 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.logits(pairs // width, pairs % width, batch.num_rows), -30, 30)))
 
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, terms: int = TERMS, factors: int = FACTORS, passes: int = 12,
-        penalty: float = 2e-4, seed: int = 7) -> Machine:
+def fit(sets: list[np.ndarray], labels: np.ndarray, terms: int = TERMS, factors: int = FACTORS, passes: int = 30,
+        penalty: float = 2e-5, seed: int = 7) -> Machine:
     """Trains on sets of buckets. Buckets are screened first: those in at least three texts whose rate differs most,
     by the chi-square statistic, between the labels. Without both labels the score is the (smoothed) share of ones."""
     place = np.full(BUCKETS, -1, np.int32)
