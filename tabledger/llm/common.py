@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BROADCAST_ROWS = 1 << 20
 
 

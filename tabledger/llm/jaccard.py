@@ -28,8 +28,8 @@ from .graph import components
 GRAM = 4
 NUM, DEN = 85, 100
 BITS = 512
-SAMPLE_DOCS = 100_000
-SAMPLE_LEAST = 5
+SAMPLE_DOCS = 30_000
+SAMPLE_LEAST = 4
 COMMON_MOST = 1 << 20
 LIST_BLOCK = 2048
 STEP = 256
@@ -82,13 +82,13 @@ def set_keys(d: np.ndarray, h: np.ndarray, rows: int) -> tuple[np.ndarray, np.nd
 
 
 def common_shingles(docs: DataFrame, gram: int = GRAM, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """Hashes of common shingles, the commonest last: those in at least 5 texts of a sample of about ``sample_docs``,
+    """Hashes of common shingles, the commonest last: those in at least 4 texts of a sample of about ``sample_docs``,
     and no more than 2^20 of them. They only set the order of the index; links do not depend on it."""
     share = min(1.0, sample_docs / max(1, docs.count()))
     picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=16 << 20):
+        for batch in slices(batches, most=2 << 20):
             _, h = shingle_sets(columns_of(batch, "text"), gram)
             u, c = np.unique(h, return_counts=True)
             yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(c)], names=["h", "c"])
