@@ -33,6 +33,7 @@ SAMPLE_LEAST = 4
 COMMON_MOST = 1 << 20
 LIST_BLOCK = 2048
 STEP = 256
+PAIRS_HELD = 1 << 20
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
 
@@ -136,16 +137,17 @@ def marked(docs: DataFrame, common: np.ndarray, gram: int = GRAM) -> DataFrame:
 
 
 def index_lists(classes: DataFrame) -> DataFrame:
-    """Entries of the lists that have more than one: ``token``, ``part`` (a list of over 2048 entries is cut into blocks,
-    and there is a part for each two of them), ``sig``, ``id``, ``n``, ``pos``, ``bitmap``."""
+    """Entries of the lists that have more than one: ``token``, ``lead`` (the least key in the list: lists of one family of
+    copies mostly share it), ``part`` (a list of over 2048 entries is cut into blocks, and there is a part for each two
+    of them), ``sig``, ``id``, ``n``, ``pos``, ``bitmap``."""
     entries = classes.select("sig", F.posexplode("prefix").alias("pos", "token"))
-    lengths = entries.groupBy("token").agg(F.count("*").alias("many")).where("many > 1")
+    lengths = entries.groupBy("token").agg(F.count("*").alias("many"), F.min("sig").alias("lead")).where("many > 1")
     met = entries.join(lengths, "token").join(classes.select("sig", "id", "n", "bitmap"), "sig")
     blocks = F.ceil(F.col("many") / LIST_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sig", F.lit(3)), blocks.cast("long")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.concat_ws("-", F.least(o, own), F.greatest(o, own)))
     part = F.when(F.col("many") <= LIST_BLOCK, F.array(F.lit(""))).otherwise(pairs)
-    return met.select("token", F.explode(part).alias("part"), "sig", "id", "n", "pos", "bitmap")
+    return met.select("token", "lead", F.explode(part).alias("part"), "sig", "id", "n", "pos", "bitmap")
 
 
 def _possible(n, pos, words, comp, i, j, num: int = NUM, den: int = DEN) -> np.ndarray:
@@ -206,22 +208,24 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
     """Distinct pairs of classes (``a`` below ``b``, with their ids) that share a list and may be similar. ``lists`` has
     a column ``comp``, of which no pair has the same."""
 
+    def found(table: pa.Table) -> np.ndarray:
+        col = {c: table.column(c).to_numpy() for c in ("run", "sig", "id", "n", "pos", "comp")}
+        raw = b"".join(x.as_py() for x in table.column("bitmap"))
+        words = np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)
+        i, j = _pairs(col["run"], col["n"], col["pos"], words, col["comp"], star)
+        flip = col["sig"][i] > col["sig"][j]
+        i, j = np.where(flip, j, i), np.where(flip, i, j)
+        return np.unique(np.stack([col["sig"][i], col["sig"][j], col["id"][i], col["id"][j]], axis=1), axis=0)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            col = {c: table.column(c).to_numpy() for c in ("run", "sig", "id", "n", "pos", "comp")}
-            raw = b"".join(x.as_py() for x in table.column("bitmap"))
-            words = np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)
-            i, j = _pairs(col["run"], col["n"], col["pos"], words, col["comp"], star)
-            flip = col["sig"][i] > col["sig"][j]
-            i, j = np.where(flip, j, i), np.where(flip, i, j)
-            four = np.stack([col["sig"][i], col["sig"][j], col["id"][i], col["id"][j]], axis=1)
-            four = np.unique(four, axis=0) if len(four) else four
-            yield pa.record_batch([pa.array(four[:, k]) for k in range(4)], names=["a", "b", "a_id", "b_id"])
-
-        # A run may go on in the next batch: its last list waits for it.
-        lists_so_far, last_key = 0, None
+        # A list may go on in the next batch: the last one waits for it. Lists of one family follow each other, so
+        # that a pair they share leaves the task once.
+        held, lists_so_far, last_key = None, 0, None
+        pairs: list[np.ndarray] = []
+
+        def out(rows: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(rows[:, k]) for k in range(4)], names=["a", "b", "a_id", "b_id"])
+
         for batch in batches:
             keys = list(zip(columns_of(batch, "token").to_pylist(), columns_of(batch, "part").to_pylist(), strict=True))
             numbers = np.empty(len(keys), np.int64)
@@ -234,12 +238,18 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
             run_ids = table.column("run").to_numpy()
             cut = int(np.searchsorted(run_ids, run_ids[-1])) if len(run_ids) else 0
             if cut:
-                yield from found(table.slice(0, cut))
+                pairs.append(found(table.slice(0, cut)))
             held = table.slice(cut)
+            if sum(map(len, pairs)) > PAIRS_HELD:
+                pairs = [np.unique(np.concatenate(pairs), axis=0)]
+                if len(pairs[0]) > PAIRS_HELD // 2:
+                    yield out(pairs.pop())
         if held is not None and held.num_rows:
-            yield from found(held)
+            pairs.append(found(held))
+        if pairs:
+            yield out(np.unique(np.concatenate(pairs), axis=0))
 
-    dealt = lists.repartition("token", "part").sortWithinPartitions("token", "part", "n", "pos", "sig")
+    dealt = lists.repartition("lead", "part").sortWithinPartitions("lead", "part", "token", "n", "pos", "sig")
     return dealt.mapInArrow(run, "a long, b long, a_id long, b_id long").distinct()
 
 
