@@ -128,9 +128,10 @@ def hash_sum_sql(value: str) -> str:
     return f"CAST({' + '.join(parts)} AS DECIMAL(38,0))"
 
 
-def row_sha256(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """The leading 60 bits of each row's SHA-256 as a number."""
-    return F.conv(F.substring(F.sha2(row_text(df, columns), 256), 1, 15), 16, 10).cast("long")
+def row_sha256(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """The four 64-bit words of each row's SHA-256, as numbers that sum exactly."""
+    digest = F.sha2(row_text(df, columns), 256)
+    return [F.conv(F.substring(digest, 16 * i + 1, 16), 16, 10).cast("decimal(28,0)") for i in range(4)]
 
 
 def in_sample(hash64: Column, percent: int) -> Column:

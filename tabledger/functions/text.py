@@ -14,8 +14,8 @@ VALIDATION_MESSAGE_CHARS = 1000
 _GLOB_TOKEN = r"(?s)\[!?\]?[^\]]*\]|."
 
 
-def glob_regex(glob: Column) -> Column:
-    """Anchored regular expression for a shell glob held in a column.
+def glob_body(glob: Column) -> Column:
+    """Regular expression, without anchors, for a shell glob held in a column.
 
     ``*``, ``?``, ``[seq]`` and ``[!seq]`` are special; an unclosed bracket and
     every other character stand for themselves.
@@ -40,8 +40,13 @@ def glob_regex(glob: Column) -> Column:
         )
 
     tokens = F.regexp_extract_all(glob, F.lit(_GLOB_TOKEN), F.lit(0))
-    body = F.array_join(F.transform(tokens, lambda t: token(t)), "")
-    return F.concat(F.lit(r"(?s)\A(?:"), body, F.lit(r")\z"))
+    return F.array_join(F.transform(tokens, lambda t: token(t)), "")
+
+
+def glob_regex(*globs: Column, between: str = "") -> Column:
+    """Anchored regular expression for globs, each on its own, that stand next to each other."""
+    parts = [F.concat(F.lit("(?:"), glob_body(g), F.lit(")")) for g in globs]
+    return F.concat(F.lit(r"(?s)\A"), F.concat_ws(between, *parts), F.lit(r"\z"))
 
 
 def glob_match(value: Column, glob: Column) -> Column:

@@ -153,6 +153,27 @@ def schema_verdicts(source: DataFrame, target: DataFrame) -> DataFrame:
 # -- rows ----------------------------------------------------------------------
 
 
+def aligned(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the same columns in one order, and equal types: where they differ, the common type that a union
+    would give, else text. A change of type alone is a finding of the schema check, not of the row check."""
+    names = source.columns
+    target = target.select(*[F.col(quoted(c)) for c in names])
+    kinds = [source.schema[c].dataType for c in names], [target.schema[c].dataType for c in names]
+
+    def common(c: str, s: T.DataType, t: T.DataType) -> T.DataType:
+        if s == t:
+            return s
+        if not (isinstance(s, T.NumericType) and isinstance(t, T.NumericType)):
+            return T.StringType()
+        one = [df.select(F.col(quoted(c))).limit(0) for df in (source, target)]
+        return one[0].unionByName(one[1]).schema[c].dataType
+
+    want = [common(c, s, t) for c, s, t in zip(names, *kinds, strict=True)]
+    if want == kinds[0] == kinds[1]:
+        return source, target
+    return tuple(df.select(*[F.col(quoted(c)).cast(w).alias(c) for c, w in zip(names, want, strict=True)]) for df in (source, target))
+
+
 def _hash_counts(pairs: Pairs, sample_percent: int) -> DataFrame:
     """Copies of every distinct row hash on each side."""
 
@@ -174,11 +195,13 @@ def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
     Only the 16-byte hash of a row is shuffled, never the row. A sample keeps
     the same rows on both sides.
     """
+    pairs = {n: aligned(*p) for n, p in pairs.items()}
     return _hash_counts(pairs, sample_percent).where(F.col("src_count") != F.col("tgt_count"))
 
 
 def multiset_verdicts(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
     """One row per pair: rows compared, distinct rows that differ, verdict. An empty pair passes."""
+    pairs = {n: aligned(*p) for n, p in pairs.items()}
     totals = _hash_counts(pairs, sample_percent).groupBy("table_name").agg(
         F.sum("src_count").alias("src_rows"), F.sum("tgt_count").alias("tgt_rows"),
         F.count_if(F.col("src_count") != F.col("tgt_count")).alias("mismatches"),
@@ -201,6 +224,7 @@ def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     Rows are hashed first; whole rows are read again only for the hashes that
     differ, and only those rows are shuffled.
     """
+    source, target = aligned(source, target)
     diff = multiset_diff({"t": (source, target)}).select("h1", "h2", "src_count", "tgt_count")
 
     def side(df: DataFrame) -> DataFrame:
@@ -229,21 +253,27 @@ def diff_rows_exact(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def lost_and_extra(source: DataFrame, target: DataFrame) -> DataFrame:
     """Multiset difference both ways: every lost and every extra row, with its side."""
-    lost = source.exceptAll(target).withColumn("side", F.lit("lost"))
-    extra = target.exceptAll(source).withColumn("side", F.lit("extra"))
-    return lost.unionByName(extra)
+    diff = diff_rows_exact(*aligned(source, target))
+    delta = F.col("src_count") - F.col("tgt_count")
+    side = F.when(delta > 0, "lost").otherwise("extra").alias("side")
+    each = diff.withColumn("_copies", F.array_repeat(F.lit(0), F.abs(delta).cast("int"))).withColumn("side", side)
+    return each.withColumn("_copy", F.explode("_copies")).select(*[F.col(quoted(c)) for c in source.columns], "side")
 
 
 # -- checksums -----------------------------------------------------------------
 
 
 def checksum(df: DataFrame, columns: Sequence[str] | None = None, algorithm: str = "XXHASH64") -> DataFrame:
-    """One row: ``row_count`` and an order-independent ``checksum`` of the rows."""
-    hashes = {"XXHASH64": row_hash, "SHA256": row_sha256}
-    if algorithm.upper() not in hashes:
+    """One row: ``row_count`` and an order-independent ``checksum`` of the rows as text: the sum of all 64-bit hashes, or
+    for SHA256 the sums of the four 64-bit words of each digest."""
+    if algorithm.upper() == "XXHASH64":
+        hashed = df.select(row_hash(df, columns).alias("h"))
+        return hashed.selectExpr("count(*) AS row_count", f"CAST({hash_sum_sql('h')} AS STRING) AS checksum")
+    if algorithm.upper() != "SHA256":
         raise ValueError(f"unknown checksum algorithm {algorithm}")
-    hashed = df.select(hashes[algorithm.upper()](df, columns).alias("h"))
-    return hashed.selectExpr("count(*) AS row_count", f"{hash_sum_sql('h')} AS checksum")
+    words = df.select(*[w.alias(f"w{i}") for i, w in enumerate(row_sha256(df, columns))])
+    sums = ", ".join(f"CAST(coalesce(sum(w{i}), 0) AS STRING)" for i in range(4))
+    return words.selectExpr("count(*) AS row_count", f"concat_ws('-', {sums}) AS checksum")
 
 
 def checksum_verdicts(
@@ -253,18 +283,18 @@ def checksum_verdicts(
 
     def rows(df: DataFrame, name: str, is_source: bool) -> DataFrame:
         one = checksum(df, (columns or {}).get(name), algorithm)
-        zero = F.lit(0).cast("decimal(38,0)")
+        none = F.lit(None).cast("string")
         return one.select(
             F.lit(name).alias("table_name"),
             (F.col("row_count") if is_source else _zero()).alias("src_rows"),
             (_zero() if is_source else F.col("row_count")).alias("tgt_rows"),
-            (F.col("checksum") if is_source else zero).alias("src_checksum"),
-            (zero if is_source else F.col("checksum")).alias("tgt_checksum"),
+            (F.col("checksum") if is_source else none).alias("src_checksum"),
+            (none if is_source else F.col("checksum")).alias("tgt_checksum"),
         )
 
-    merged = _sides(pairs, rows).groupBy("table_name").agg(
+    merged = _sides({n: aligned(*p) for n, p in pairs.items()}, rows).groupBy("table_name").agg(
         F.sum("src_rows").alias("src_rows"), F.sum("tgt_rows").alias("tgt_rows"),
-        F.sum("src_checksum").alias("src_checksum"), F.sum("tgt_checksum").alias("tgt_checksum"),
+        F.max("src_checksum").alias("src_checksum"), F.max("tgt_checksum").alias("tgt_checksum"),
     )
     same = (F.col("src_rows") == F.col("tgt_rows")) & (F.col("src_checksum") == F.col("tgt_checksum"))
     return merged.withColumn("passed", same)
@@ -272,24 +302,10 @@ def checksum_verdicts(
 
 # -- column profiles -----------------------------------------------------------
 
-_EXACT = "decimal(38,6)"
-_MICRO = 1_000_000
-# below this, a double times a million is an exact integer
-_FAST_LIMIT = float(2**53 // _MICRO)
-
 # Columns measured by one aggregate; more would not fit into compiled code.
 PROFILE_GROUP = 8
-
-
-def _exact_sum(value: str) -> str:
-    """SQL sum of doubles to six decimals as a double, the same in any order of the rows.
-
-    Common values are summed as whole millionths; very large ones as decimals.
-    """
-    common = f"abs({value}) < {_FAST_LIMIT}D"
-    whole = f"CASE WHEN {common} THEN CAST(rint({value} * {float(_MICRO)}D) AS BIGINT) END"
-    rest = f"sum(try_cast(CASE WHEN NOT ({common}) THEN {value} END AS {_EXACT}))"
-    return f"CAST({hash_sum_sql(f'({whole})')} AS DOUBLE) / {float(_MICRO)}D + coalesce(CAST({rest} AS DOUBLE), 0D)"
+# Averages of doubles may differ by this share: their sums depend on the order of the rows.
+MEAN_TOLERANCE = 1e-9
 
 
 def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
@@ -299,33 +315,37 @@ def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
         value, dtype = quoted(field.name), field.dataType
         low = high = "CAST(NULL AS STRING)"
         mean = "CAST(NULL AS DOUBLE)"
+        nans = infinite = "CAST(0 AS BIGINT)"
         aggs.append(f"count({value}) AS c{i}")
-        if not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
+        if isinstance(dtype, (T.DoubleType, T.FloatType)):
+            wide = f"CAST({value} AS DOUBLE)"
+            number = f"(CASE WHEN NOT isnan({wide}) THEN {value} + CAST(0 AS {dtype.simpleString()}) END)"
+            finite = f"(CASE WHEN abs({wide}) < double('Infinity') THEN {wide} END)"
+            aggs += [f"min({number}) AS l{i}", f"max({number}) AS h{i}", f"count_if(isnan({wide})) AS x{i}",
+                     f"count_if(abs({wide}) = double('Infinity')) AS y{i}", f"avg({finite}) AS s{i}"]
+            low, high, nans, infinite, mean = f"CAST(l{i} AS STRING)", f"CAST(h{i} AS STRING)", f"x{i}", f"y{i}", f"s{i}"
+        elif not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
             aggs += [f"min({value}) AS l{i}", f"max({value}) AS h{i}"]
             low, high = f"CAST(l{i} AS STRING)", f"CAST(h{i} AS STRING)"
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            low, high = (f"coalesce(CAST(try_cast({e}{i} + 0D AS {_EXACT}) AS STRING), {text})"
-                         for e, text in (("l", low), ("h", high)))
-            aggs.append(f"{_exact_sum(f'CAST({value} AS DOUBLE)')} AS s{i}")
-        elif isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             aggs.append(f"CAST({hash_sum_sql(f'CAST({value} AS BIGINT)')} AS DOUBLE) AS s{i}")
-        elif isinstance(dtype, T.DecimalType):
-            aggs.append(f"CAST(sum({value}) AS DOUBLE) AS s{i}")
-        if isinstance(dtype, T.NumericType):
             mean = f"s{i} / nullif(c{i}, 0)"
+        elif isinstance(dtype, T.DecimalType):
+            aggs.append(f"avg(CAST({value} AS DOUBLE)) AS s{i}")
+            mean = f"s{i}"
         name = field.name.replace("\\", "\\\\").replace("'", "\\'")
         shapes.append(
-            f"named_struct('column_name', '{name}', 'value_count', c{i}, 'null_count', n - c{i}, "
-            f"'min_value', {low}, 'max_value', {high}, 'avg_value', {mean})"
+            f"named_struct('column_name', '{name}', 'value_count', c{i}, 'null_count', n - c{i}, 'nan_count', {nans}, "
+            f"'infinite_count', {infinite}, 'min_value', {low}, 'max_value', {high}, 'avg_value', {mean})"
         )
     return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(shapes)}))")
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, nulls, minimum, maximum and average of every column, one row per column.
+    """Counts, minimum, maximum and average of every column, one row per column.
 
-    Doubles are taken as exact decimals, so the result does not depend on the
-    order of the rows. Nested columns have counts only.
+    Of doubles, NaN and infinite values are counted; minimum and maximum are exact
+    and leave out NaN, the average leaves out both. Nested columns have counts only.
 
     Every column is read once: texts and numbers are measured by separate
     aggregates, since one text would take all numbers out of the compiled path,
@@ -338,15 +358,18 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _union([_profile_pass(df, group) for group in groups])
 
 
-PROFILE = ("value_count", "null_count", "min_value", "max_value", "avg_value")
+PROFILE = ("value_count", "null_count", "nan_count", "infinite_count", "min_value", "max_value", "avg_value")
 
 
 def profile_compare(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Profiles of both sides next to each other, with a verdict per column."""
+    """Profiles of both sides next to each other, with a verdict per column: all equal, and the averages equal but for
+    the order in which they were summed."""
     s = column_profile(source, columns).select("column_name", *[F.col(c).alias(f"src_{c}") for c in PROFILE])
     t = column_profile(target, columns).select("column_name", *[F.col(c).alias(f"tgt_{c}") for c in PROFILE])
-    same = reduce(lambda a, b: a & b, [F.col(f"src_{c}").eqNullSafe(F.col(f"tgt_{c}")) for c in PROFILE])
-    return s.join(t, "column_name", "full").withColumn("passed", same)
+    same = reduce(lambda a, b: a & b, [F.col(f"src_{c}").eqNullSafe(F.col(f"tgt_{c}")) for c in PROFILE[:-1]])
+    a, b = F.col("src_avg_value"), F.col("tgt_avg_value")
+    near = a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= MEAN_TOLERANCE * F.greatest(F.abs(a), F.abs(b)), F.lit(False))
+    return s.join(t, "column_name", "full").withColumn("passed", same & near)
 
 
 # -- checks by request ---------------------------------------------------------
@@ -373,8 +396,7 @@ def requested_checks(
         elif check == "CHECKSUM":
             chosen = {name: columns for name in pairs} if columns else None
             rows = checksum_verdicts(pairs, chosen, algorithm).withColumn(
-                "detail", F.concat(F.lit("src="), F.col("src_checksum").cast("string"),
-                                   F.lit(" tgt="), F.col("tgt_checksum").cast("string")))
+                "detail", F.concat(F.lit("src="), F.col("src_checksum"), F.lit(" tgt="), F.col("tgt_checksum")))
         else:
             per_table = [profile_compare(s, t, columns).withColumn("table_name", F.lit(n)) for n, (s, t) in pairs.items()]
             differing = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("column_name"))))

@@ -132,7 +132,8 @@ def previous_status(status_log: DataFrame, slice_seconds: int = 3600) -> DataFra
 
     The history of a table is cut into slices of time that are ordered side by
     side; the first row of a slice takes the last state of the slice before. A
-    table that holds a third of the log is thus ordered by many tasks.
+    table that holds a third of the log is thus ordered by many tasks. Rows
+    without a time are a slice of their own, before all others.
     """
     seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("changed_at").cast("timestamp_ntz"))
     rows = status_log.withColumn("slice", F.floor(seconds / F.lit(slice_seconds)))
@@ -141,12 +142,14 @@ def previous_status(status_log: DataFrame, slice_seconds: int = 3600) -> DataFra
         F.max_by("status", F.struct("changed_at", "seq")).alias("last")
     )
     slices = Window.partitionBy("migration_id").orderBy("slice")
-    before = ends.withColumn("before", F.lag("last").over(slices)).drop("last")
+    before = ends.select(
+        F.col("migration_id").alias("_id"), F.col("slice").alias("_slice"), F.lag("last").over(slices).alias("before"))
+    same = (F.col("migration_id") == F.col("_id")) & F.col("slice").eqNullSafe(F.col("_slice"))
     return (
         rows.withColumns({"prev": F.lag("status").over(inside), "rn": F.row_number().over(inside)})
-        .join(before, ["migration_id", "slice"])
+        .join(before, same)
         .withColumn("from_status", F.when(F.col("rn") == 1, F.col("before")).otherwise(F.col("prev")))
-        .drop("slice", "prev", "rn", "before")
+        .drop("slice", "prev", "rn", "before", "_id", "_slice")
     )
 
 

@@ -130,9 +130,10 @@ def remap_locations(tables: DataFrame, prefixes: DataFrame) -> DataFrame:
     ``tables`` has a ``location``; ``prefixes`` has src_prefix and tgt_prefix.
     A location meets prefixes by equality, and only those of the lengths that
     occur, so no location is compared with every prefix. Without a prefix the target
-    location is NULL and ``unmapped`` is true.
+    location is NULL and ``unmapped`` is true. A prefix that is listed twice has the
+    smaller of its targets.
     """
-    rules = prefixes.groupBy("src_prefix").agg(F.first("tgt_prefix").alias("tgt_prefix"))
+    rules = prefixes.groupBy("src_prefix").agg(F.min("tgt_prefix").alias("tgt_prefix"))
     lengths = rules.agg(F.collect_set(F.length("src_prefix"))).scalar()
     best = (
         tables.select("location")

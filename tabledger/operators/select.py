@@ -194,7 +194,7 @@ def exclusion_hits(selections: DataFrame, rules: DataFrame) -> DataFrame:
     globs = r.where((F.col("exclude_type") != "table") | is_glob(plain)).select(
         "seq", "exclude_type", "rule", "t",
         F.regexp_extract(name_glob, r"(?s)\A([^*?\[]*)", 1).alias("prefix"),
-        glob_regex(name_glob).alias("name_regex"),
+        glob_regex(F.col("c"), F.coalesce("s", F.lit("*")), between="\u0001").alias("name_regex"),
         F.when(F.col("t").isNotNull(), glob_regex(F.col("t"))).alias("table_regex"),
     )
     schemas = selections.select(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import ERROR_MESSAGE_CHARS
 from ..operators import checks, compare
 from ..operators import ledger as states
 from ..sources.checkpoints import checkpointed
@@ -61,7 +63,7 @@ def acceptance(
     pairs: compare.Pairs, audit: DataFrame, execution_id: str, now: Column,
     expected_types: DataFrame | None = None, actual_types: DataFrame | None = None,
     source_details: DataFrame | None = None, target_details: DataFrame | None = None,
-    manifest: DataFrame | None = None, sample_percent: int = 5,
+    manifest: DataFrame | None = None, sample_percent: int = 100,
 ) -> DataFrame:
     """Results of the seven acceptance checks in stored shape.
 
@@ -78,8 +80,12 @@ def acceptance(
     ]
     same_columns = {n: p for n, p in pairs.items() if set(p[0].columns) == set(p[1].columns)}
     if same_columns:
-        aligned = {n: (s, t.select(*s.columns)) for n, (s, t) in same_columns.items()}
-        results.append(("data_hash_integrity", compare.multiset_verdicts(aligned, sample_percent)))
+        results.append(("data_hash_integrity", compare.multiset_verdicts(same_columns, sample_percent)))
+    unlike = [(n, False, "columns differ: " + ", ".join(sorted({*s.columns} ^ {*t.columns})))
+              for n, (s, t) in pairs.items() if n not in same_columns]
+    if unlike:
+        rows = tables.sparkSession.createDataFrame(unlike, "table_name string, passed boolean, detail string")
+        results.append(("data_hash_integrity", rows))
     if expected_types is not None and actual_types is not None:
         results.append(("table_type_preserved", compare.table_type_check(expected_types, actual_types)))
     if source_details is not None and target_details is not None:
@@ -103,14 +109,33 @@ def run_acceptance(
     number of tables; each job appends its results when it is done.
     """
     names = list(pairs)
-    for start in range(0, len(names), tables_per_job):
-        group = {n: pairs[n] for n in names[start : start + tables_per_job]}
+
+    def run(group: dict, with_audit: bool) -> None:
         # inputs that list every table are cut down to the tables of this job
         own = {
             k: v.where(F.col("table_name").isin(*group)) if isinstance(v, DataFrame) else v for k, v in inputs.items()
         }
         results = acceptance(group, audit, execution_id, now, **own)
-        if start:
-            results = results.where(F.col("check_name") != "audit_log_completeness")
-        ledger.append("check_results", results)
-    return checks.acceptance_summary(ledger.log("check_results").where(F.col("execution_id") == execution_id))
+        ledger.append("check_results", results if with_audit else results.where(F.col("check_name") != "audit_log_completeness"))
+
+    for start in range(0, len(names), tables_per_job):
+        group = {n: pairs[n] for n in names[start : start + tables_per_job]}
+        try:
+            run(group, start == 0)
+        except PySparkException:
+            # one table cannot be read: each has a job of its own, and that one a failed row
+            for i, name in enumerate(group):
+                try:
+                    run({name: group[name]}, start == 0 and i == 0)
+                except PySparkException as e:
+                    reason = f"Error: {str(e)[:ERROR_MESSAGE_CHARS]}"
+                    row = audit.sparkSession.createDataFrame([(name, False, reason)], "table_name string, passed boolean, detail string")
+                    ledger.append("check_results", checks.check_rows(row, "data_hash_integrity", execution_id, now))
+    return checks.acceptance_summary(latest_results(ledger.log("check_results")).where(F.col("execution_id") == execution_id))
+
+
+def latest_results(results: DataFrame) -> DataFrame:
+    """Of several runs of one execution, the last result per check and table."""
+    rest = [c for c in results.columns if c not in ("execution_id", "check_name", "table_name")]
+    last = results.groupBy("execution_id", "check_name", "table_name").agg(F.max_by(F.struct(*rest), "validated_at").alias("r"))
+    return last.select("execution_id", "check_name", "table_name", "r.*")

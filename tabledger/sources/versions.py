@@ -194,7 +194,7 @@ class VersionStore:
         )
 
     def count_rows(self, wanted: DataFrame) -> DataFrame:
-        """Rows of the given versions (``table_name, version``; NULL means newest), NULL if unreadable.
+        """Rows of the given versions (``table_name, version``; NULL means newest), NULL where files on record are not found.
 
         One scan over all version folders that reads no column: counts come
         from file footers, and schemas need not agree.
@@ -205,7 +205,8 @@ class VersionStore:
         known = self.manifest().select("table_name", F.col("version").alias("pinned"), "location", "num_files")
         # names of folders only: one short string per table
         found = pinned.join(known, ["table_name", "pinned"], "left")
-        folders = [r.location for r in found.where("num_files > 0").select("location").distinct().toLocalIterator()]
+        known_folders = (r.location for r in found.where("num_files > 0").select("location").distinct().toLocalIterator())
+        folders = [f for f in known_folders if path_exists(self.spark, f)]
         if not folders:
             counted = self.spark.createDataFrame([], "location string, n bigint")
         else:
@@ -213,15 +214,17 @@ class VersionStore:
                 self.spark.read.schema(T.StructType([])).format(self.data_format)
                 .option("recursiveFileLookup", True).load(folders)
             )
-            file = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-z0-9]+:/+", "/")
+            # names of files are encoded as in an address; one row per file is taken apart, not each row
+            per_file = scan.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+            file = F.regexp_replace(F.url_decode(F.replace("f", F.lit("+"), F.lit("%2B"))), r"^[a-z0-9]+:/+", "/")
             place = F.regexp_extract(file, r"^(.*/v=\d+-[0-9a-f]+)/", 1)
-            counted = scan.select(place.alias("place")).groupBy("place").agg(F.count("*").alias("n"))
-            counted = counted.withColumnRenamed("place", "location")
+            counted = per_file.groupBy(place.alias("location")).agg(F.sum("n").alias("n"))
+        there = self.spark.createDataFrame([(f,) for f in folders], "location string").withColumn("there", F.lit(0).cast("bigint"))
         plain = F.regexp_replace("location", r"^[a-z0-9]+:/+", "/")
-        out = found.withColumn("location", plain).join(counted, "location", "left")
-        n = F.when(F.col("num_files") == 0, F.lit(0).cast("bigint")).otherwise(F.col("n"))
-        rows = F.when(F.col("location").isNotNull(), F.coalesce(n, F.lit(0).cast("bigint")))
-        return out.select("table_name", "version", rows.alias("row_count"))
+        out = found.join(there, "location", "left").withColumn("location", plain).join(counted, "location", "left")
+        # files without rows are 0; files on record that are not found are unknown
+        n = F.when(F.col("num_files") == 0, F.lit(0).cast("bigint")).otherwise(F.coalesce("n", "there"))
+        return out.select("table_name", "version", F.when(F.col("location").isNotNull(), n).alias("row_count"))
 
 
 def copy_table(

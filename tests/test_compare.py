@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabledger import synth
 from tabledger.operators import checks, compare
 
+from . import frames
+
 
 def test_copies_count(spark):
     a = spark.createDataFrame([(1, "x")] * 5 + [(2, None)], "k int, v string")
@@ -19,25 +20,25 @@ def test_copies_count(spark):
 
 
 def test_empty_and_single_row_tables(spark):
-    empty, single = synth.empty_staging(spark), synth.single_row(spark)
+    empty, single = frames.no_rows(spark), spark.range(1)
     out = {r.table_name: r for r in compare.multiset_verdicts({"e": (empty, empty), "s": (single, single)}).collect()}
     assert out["e"].passed and out["e"].src_rows == 0
     assert out["s"].passed and out["s"].src_rows == 1
     assert compare.checksum_verdicts({"e": (empty, empty)}).first().passed
     profile = {r.column_name: r for r in compare.column_profile(empty).collect()}
-    assert profile["payload"].value_count == 0 and profile["payload"].min_value is None
+    assert profile["content"].value_count == 0 and profile["content"].min_value is None
 
 
 def test_wide_and_nested_tables(spark):
-    wide = synth.wide_schema(spark, 200)
+    wide = frames.wide(spark, 200)
     assert len(wide.columns) == 121
-    changed = wide.withColumn("col_100", F.when(F.col("id") == 7, F.lit(None)).otherwise(F.col("col_100")))
+    changed = wide.withColumn("v99", F.when(F.col("id") == 7, F.lit(None)).otherwise(F.col("v99")))
     out = compare.multiset_verdicts({"w": (wide, changed), "same": (wide, wide)})
     assert {r.table_name: r.mismatches for r in out.collect()} == {"w": 2, "same": 0}
     bad = compare.profile_compare(wide, changed).where("NOT passed").collect()
-    assert [r.column_name for r in bad] == ["col_100"]
-    nested = synth.complex_types(spark, 100)
-    other = nested.withColumn("attributes", F.map_concat("attributes", F.create_map(F.lit("new"), F.col("id").cast("string"))))
+    assert [r.column_name for r in bad] == ["v99"]
+    nested = frames.nested(spark, 100)
+    other = nested.withColumn("pairs", F.map_concat("pairs", F.create_map(F.lit("new"), F.col("id").cast("string"))))
     verdicts = compare.checksum_verdicts({"n": (nested, other), "same": (nested, nested.repartition(3))})
     assert {r.table_name: r.passed for r in verdicts.collect()} == {"n": False, "same": True}
 
@@ -71,10 +72,34 @@ def test_profile_values(spark):
     assert (got["n"].min_value, got["n"].max_value) == ("-4", str(2**62))
     assert got["n"].avg_value == (2 * 2**62 - 2) / 4
     assert (got["s"].value_count, got["s"].null_count, got["s"].min_value, got["s"].max_value) == (3, 1, "a", "z")
-    assert got["d"].min_value == "1.500000" and got["d"].null_count == 1
+    assert (got["d"].min_value, got["d"].max_value, got["d"].null_count, got["d"].nan_count) == ("1.5", "1.0E15", 1, 1)
+    assert got["d"].avg_value == (1e15 + 1.5) / 2
     assert (got["f"].min_value, got["f"].max_value, got["f"].avg_value) == ("false", "true", None)
     exact = spark.createDataFrame([(0.1,)] * 10, "d double")
-    assert compare.column_profile(exact).first().avg_value == 0.1
+    assert compare.column_profile(exact).first().avg_value == pytest.approx(0.1)
+
+
+@pytest.mark.parametrize("a, b, same", [
+    ([1e33, 2e33], [2e33, 1e33], True), ([1e33, 1.5e33, 2e33], [1e33, 1.9e33, 2e33], False), ([1e-9], [2e-7], False),
+    ([1.0, float("nan")], [1.0, 1.0], False), ([1.0, float("inf")], [1.0, 1.0], False), ([0.0], [-0.0], True),
+    ([0.1, 0.2, 0.3], [0.3, 0.2, 0.1], True)])
+def test_profiles_of_any_double(spark, a, b, same):
+    x, y = (spark.createDataFrame([(v,) for v in values], "d double") for values in (a, b))
+    assert compare.profile_compare(x, y).first().passed == same
+
+
+def test_types_may_differ(spark):
+    a, b = spark.range(50).select(F.col("id").cast("int").alias("k")), spark.range(50).select(F.col("id").alias("k"))
+    assert compare.multiset_verdicts({"t": (a, b)}).first().passed
+    text = b.select(F.when(F.col("k") == 3, "x").otherwise(F.col("k").cast("string")).alias("k"))
+    assert sorted(map(tuple, compare.diff_rows(a, text).collect())) == [("3", 1, 0), ("x", 0, 1)]
+
+
+def test_faithful_copies_and_repeated_rows(spark):
+    a = spark.range(20_000).withColumn("v", F.col("id") * 3)
+    assert compare.diff_rows(a, a.repartition(5)).count() == 0
+    b = a.where("id <> 77").unionByName(a.where("id = 5")).unionByName(a.where("id = 5"))
+    assert sorted(map(tuple, compare.lost_and_extra(a, b).collect())) == [(5, 15, "extra")] * 2 + [(77, 231, "lost")]
 
 
 def test_schema_diff_ignores_order_and_nullability(spark):

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tabledger import synth
 from tabledger.operators.ledger import lit_time
 from tabledger.plans.copy import CopyFailed, run_batch, run_chunk
 from tabledger.plans.inventory import Blocked, Inputs, Options, dry_run, run_inventory
@@ -14,6 +13,8 @@ from tabledger.sources.ledger_store import Ledger
 from tabledger.sources.mapping import read_mapping_csv
 from tabledger.sources.versions import VersionStore, VersionTaken
 
+from . import frames
+
 
 def t(day):
     return lit_time(f"2025-03-0{day} 00:00:00")
@@ -27,13 +28,9 @@ def world(spark, tmp_path):
     """A source store with a few tables, an empty target store, and a ledger."""
     source = VersionStore(spark, str(tmp_path / "src"))
     target = VersionStore(spark, str(tmp_path / "tgt"))
-    for name, df in synth.mapping_test_tables(spark).items():
-        schema = "b" if name in ("transactions", "risk_scores", "staging_load") else "a"
-        source.write(df, f"prod.{schema}.{name}", t(1))
-    source.write(synth.pageviews_hourly(spark, 500).where("event_date < '2025-01-04'"), "prod.a.pageviews", t(1),
-                 partition_by=("event_date", "event_type"))
-    source.write(synth.empty_staging(spark), "prod.a.empty_staging", t(1))
-    source.write(synth.complex_types(spark, 50), "prod.b.complex", t(1))
+    for name, df in frames.store_tables(spark).items():
+        source.write(df, name, t(1))
+    source.write(frames.by_day(spark), "prod.a.pageviews", t(1), partition_by=("event_date", "event_type"))
     ledger = Ledger(spark, str(tmp_path / "ledger"))
     ledger.create(t(1))
     ledger.create(t(1))
@@ -76,7 +73,7 @@ def test_inventory_copy_validate_retry(spark, tmp_path, world):
     assert control.select("migration_id").distinct().count() == 8
 
     # a source written between inventory and copy: the copy records what it read
-    more = synth.mapping_test_tables(spark)["customers"]
+    more = frames.store_tables(spark)["prod.a.customers"]
     source.write(more.unionByName(more), "prod.a.customers", t(2))
 
     done = run_batch(ledger, source, target, "b1", t(2), run_id="r2")
@@ -208,16 +205,39 @@ def test_acceptance_suite(spark, world):
         source_details=details(source), target_details=details(target), manifest=target.manifest(), sample_percent=100)
     summary = {r.check_name: r for r in done.collect()}
     assert len(summary) == 7
-    # the pair without a column is not compared row by row
     assert {n: r.checks for n, r in summary.items()} == {
-        "audit_log_completeness": 1, "data_hash_integrity": len(names) - 1,
-        **{n: len(names) for n in ("row_count_parity", "schema_match", "table_type_preserved",
+        "audit_log_completeness": 1,
+        **{n: len(names) for n in ("row_count_parity", "schema_match", "table_type_preserved", "data_hash_integrity",
                                    "partition_columns_match", "delta_table_valid")}}
-    assert {n for n, r in summary.items() if not r.accepted} == {"row_count_parity", "schema_match"}
+    assert {n for n, r in summary.items() if not r.accepted} == {"row_count_parity", "schema_match", "data_hash_integrity"}
     results = ledger.log("check_results")
     lost = results.where("check_name = 'row_count_parity' AND NOT passed").first()
     assert lost.detail == "src=100 tgt=99 DELTA=-1"
     assert results.where("check_name = 'schema_match' AND NOT passed").first().detail == "missing in tgt: 1"
+    assert results.where("check_name = 'data_hash_integrity' AND NOT passed").first().detail == "columns differ: tier"
+    # a second run of the execution replaces its results
+    again = run_acceptance(ledger, pairs, audit, "e1", t(3), tables_per_job=50, expected_types=types, actual_types=types)
+    assert {r.check_name: r.checks for r in again.collect()} == {n: r.checks for n, r in summary.items()}
+
+
+def test_a_table_that_cannot_be_read_is_one_failed_row(spark, world):
+    source, _, ledger = world
+    good, bad = source.read("prod.a.customers"), spark.range(9).select(F.raise_error(F.lit("lost file")).cast("bigint").alias("id"))
+    audit = spark.createDataFrame([("e2", "SUCCESS")], "execution_id string, status string")
+    run_acceptance(ledger, {"good": (good, good), "bad": (bad, bad)}, audit, "e2", t(2))
+    rows = {(r.table_name, r.check_name): r for r in ledger.log("check_results").where("execution_id = 'e2'").collect()}
+    assert rows["good", "data_hash_integrity"].passed
+    failed = rows["bad", "data_hash_integrity"]
+    assert not failed.passed and failed.detail.startswith("Error: ") and "lost file" in failed.detail
+
+
+def test_counts_of_tables_with_odd_names(spark, tmp_path):
+    store = VersionStore(spark, str(tmp_path / "odd"))
+    names = ["my table", "50% off", "a+b"]
+    for n in names:
+        store.write(spark.range(100), n, t(1))
+    wanted = spark.createDataFrame([(n, None) for n in [*names, "nowhere"]], "table_name string, version bigint")
+    assert {r.table_name: r.row_count for r in store.count_rows(wanted).collect()} == {**dict.fromkeys(names, 100), "nowhere": None}
 
 
 def test_two_writers(spark, world):

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from tabledger.operators import select
 from tabledger.plans.inventory import Inputs, resolve
 from tabledger.sources.mapping import name_list, read_exclusions_csv, read_mapping_csv, read_mapping_document
-from tabledger.synth import bulk_names
+
+from .frames import table_names
 
 SCHEMAS = ["finance", "hr", "iot", "ops", "sales"]
 
 
 @pytest.fixture()
 def listing(spark):
-    rows = [("bulk", s, t, "MANAGED") for s, t in bulk_names(SCHEMAS)]
+    rows = [("bulk", s, t, "MANAGED") for s, t in table_names(SCHEMAS)]
     rows += [("bulk", "finance", "v_lineage", "VIEW"), ("bulk", "information_schema", "tables", "MANAGED")]
     return spark.createDataFrame(rows, "table_catalog string, table_schema string, table_name string, table_type string")
 
@@ -171,3 +172,14 @@ def test_exclusion_globs_against_every_pair(spark):
             depth = {"catalog": 1, "schema": 2, "table": 3}[r[1]]
             want = f"{r[1]}:" + ".".join(r[2:][:depth])
         assert got[name] == want, name
+
+
+def test_brackets_stay_in_their_part(spark):
+    """An unclosed bracket in one part is no class together with the next part; rules that start with a wildcard hit."""
+    rows = [("a[", "x]", "t"), ("a", "b", "tmp_1"), ("zz", "q", "keep")]
+    selections = spark.createDataFrame([r + r for r in rows], ", ".join(f"{s}_{n} string" for s in ("source", "target") for n in ("catalog", "schema", "table")))
+    rules = spark.createDataFrame(
+        [(1, "schema", "a[", "x]", None), (2, "table", "*", "?", "tmp_[0-9]")],
+        "seq bigint, exclude_type string, catalog string, schema_name string, table_name string")
+    hits = {r.source_table: r.exclusion_type for r in select.exclusion_hits(selections, rules).collect()}
+    assert hits == {"t": "schema", "tmp_1": "table", "keep": None}
