@@ -215,7 +215,8 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
         i, j = _pairs(col["run"], col["n"], col["pos"], words, col["comp"], star)
         flip = col["sig"][i] > col["sig"][j]
         i, j = np.where(flip, j, i), np.where(flip, i, j)
-        return np.unique(np.stack([col["sig"][i], col["sig"][j], col["id"][i], col["id"][j]], axis=1), axis=0)
+        both = [col[c][k] for c in ("sig", "id", "comp") for k in (i, j)]
+        return np.unique(np.stack(both, axis=1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A list may go on in the next batch: the last one waits for it. Lists of one family follow each other, so
@@ -224,7 +225,7 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
         pairs: list[np.ndarray] = []
 
         def out(rows: np.ndarray) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(rows[:, k]) for k in range(4)], names=["a", "b", "a_id", "b_id"])
+            return pa.record_batch([pa.array(rows[:, k]) for k in range(6)], names=["a", "b", "a_id", "b_id", "a_comp", "b_comp"])
 
         for batch in batches:
             keys = list(zip(columns_of(batch, "token").to_pylist(), columns_of(batch, "part").to_pylist(), strict=True))
@@ -250,11 +251,12 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
             yield out(np.unique(np.concatenate(pairs), axis=0))
 
     dealt = lists.repartition("lead", "part").sortWithinPartitions("lead", "part", "token", "n", "pos", "sig")
-    return dealt.mapInArrow(run, "a long, b long, a_id long, b_id long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, a_id long, b_id long, a_comp long, b_comp long").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The pairs whose whole sets are similar; sets are made again from the texts of the documents that are in a pair."""
+def verified(pairs: DataFrame, docs: DataFrame, ends: tuple[str, str], gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The columns ``ends`` of the pairs whose whole sets are similar, once each; sets are made again from the texts of the
+    documents that are in a pair."""
     wanted = pairs.select(F.col("a_id").alias("doc_id")).unionByName(pairs.select(F.col("b_id").alias("doc_id"))).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,12 +273,12 @@ def verified(pairs: DataFrame, docs: DataFrame, gram: int = GRAM, num: int = NUM
                 p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(den * both >= num * (len(p) + len(q) - both))
-            yield batch.select(["a_id", "b_id"]).filter(pa.array(ok, pa.bool_()))
+            yield batch.select(list(ends)).filter(pa.array(ok, pa.bool_()))
 
     whole = docs.join(small(wanted), "doc_id", "left_semi").mapInArrow(sets, "sig long, set binary")
     left, right = whole.select(F.col("sig").alias("a"), F.col("set").alias("x")), whole.select(F.col("sig").alias("b"), F.col("set").alias("y"))
-    met = pairs.join(left, "a").join(right, "b").select("a_id", "b_id", "x", "y")
-    return met.mapInArrow(check, "a_id long, b_id long").distinct()
+    met = pairs.join(left, "a").join(right, "b").select(*ends, "x", "y")
+    return met.mapInArrow(check, ", ".join(f"{e} long" for e in ends)).distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
@@ -296,13 +298,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"))
     lists = written(index_lists(classes), "lists")
     stars = written(candidates(lists.withColumn("comp", F.col("sig")), star=True), "stars")
-    links = written(verified(stars, rows, gram), "links")
-    known = components(links, "a_id", "b_id")
+    known = written(components(verified(stars, rows, ("a_id", "b_id"), gram), "a_id", "b_id"), "known")
     labelled = lists.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
         "comp", F.coalesce("component", "id")).drop("component")
     rest = candidates(labelled, star=False).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    more = verified(written(rest, "pairs"), rows, gram)
-    groups = components(links.unionByName(more), "a_id", "b_id")
+    # What is left are links between components, each taken once, whatever the number of links behind it.
+    wider = components(verified(written(rest, "pairs"), rows, ("a_comp", "b_comp"), gram), "a_comp", "b_comp").select(
+        F.col("node").alias("component"), F.col("component").alias("group"))
+    # A node without a link of its own round is its own component.
+    inner = known.join(wider, "component", "left").select("node", F.coalesce("group", "component").alias("component"))
+    outer = wider.join(known, wider["component"] == known["node"], "left_anti").select(
+        F.col("component").alias("node"), F.col("group").alias("component"))
+    groups = inner.unionByName(outer)
     # Every class has its smallest id, and a linked one the smallest of its component.
     least = real.groupBy("sig").agg(F.min("doc_id").alias("id")).join(groups, F.col("id") == F.col("node"), "left").select(
         "sig", F.coalesce("component", "id").alias("of"))

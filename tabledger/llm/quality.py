@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SOLID_MASK, SpanHasher, columns_of, slices, utf8, word_bounds
+from .common import SOLID_MASK, SpanHasher, columns_of, slices, utf8, word_bounds, written
 from .jaccard import FOLD
 
 FEATURES = ("upper", "symbol", "digit", "repeat", "distinct", "word_length", "line_length", "words")
@@ -143,11 +143,16 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     a site with one document has its parent's mean. Repeated rows come back as often as they stand there. Sums per host
     and path are added up before they are shuffled, so a site may hold any share of the rows.
     """
-    from .common import written
-
     site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), site(host_col)("host"), site(path_col)("path"))
-    found = written(described(rows, keep=("host", "path")), "features")
+    return posteriors_of(described(rows, keep=("host", "path")), labels, label_col)
+
+
+def posteriors_of(described_rows: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
+    """As :func:`posteriors`, from rows of ``doc_id``, ``host``, ``path`` and ``bins``; so sites can be joined to documents
+    after these have shed their texts."""
+    site = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    found = written(described_rows.select("doc_id", site("host"), site("path"), "bins"), "features")
     flat, calibrated, base = evidence_model(found, labels, label_col)
     table = F.split(F.lit(",".join(f"{x:.6g}" for x in calibrated)), ",").cast("array<double>")
     judged = found.select("doc_id", "host", "path", F.element_at(table, sum_bin(flat) + 1).alias("evidence"))

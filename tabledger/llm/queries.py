@@ -100,14 +100,14 @@ def op7_url_lists(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Documents stand at the host and first path segment of the page of their number; without one, at source and lang."""
-    docs = table(spark, folder, "documents")
+    docs = quality.described(table(spark, folder, "documents"), keep=("source", "lang"))
     number = F.expr("try_cast(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT)")
     segment = F.element_at(url_lists.patterns_of(F.col("url")), 1)
     sites = table(spark, folder, "pages").select(number.alias("doc_id"), F.struct(url_lists.host_of(F.col("url")).alias("host"), segment.alias("path")).alias("site"))
     sites = sites.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("site").alias("site"))
     placed = docs.join(sites, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("site.host", "source").alias("host"), F.coalesce("site.path", F.concat_ws("/", "source", "lang")).alias("path"))
-    judged = quality.posteriors(placed, table(spark, folder, "labels").withColumnRenamed("quality", "label"))
+        "doc_id", "bins", F.coalesce("site.host", "source").alias("host"), F.coalesce("site.path", F.concat_ws("/", "source", "lang")).alias("path"))
+    judged = quality.posteriors_of(placed, table(spark, folder, "labels").withColumnRenamed("quality", "label"))
     return judged.withColumn("keep", F.col("score") >= 0.5)
 
 
