@@ -8,6 +8,8 @@ log-likelihood ratios (one number per pair of characters) reach the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,12 @@ KINDS = ("assign", "access", "hex", "markov")
 
 CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_-]{7,}"
+# Names and words: runs of small letters, joined by capitals, dashes or underscores, with a short number at the end.
+IDENTIFIER = (r"(?<![A-Za-z0-9+/_=-])[A-Z]?[a-z]++(?:[_-][A-Za-z][a-z]++|[A-Z][a-z]++)*+[0-9]{0,3}+(?![A-Za-z0-9+/_=-])")
+LEAST_IDENTIFIER = 8
 SAMPLE_DOCS = 20_000
 MARGIN = 12.0
+BACKOFF = 8.0
 
 
 def spans_of(text: Column, pattern: str, kind: str, value: int = 0, least: int = 0) -> Column:
@@ -74,7 +79,7 @@ def transition_scores(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, smooth: f
         F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " "), F.lit(IDENTIFIER), F.lit(0)
     )
     samples = picked.select(F.explode(secret).alias("s"), F.lit(1).alias("random")).where(F.char_length("s") >= 6).unionByName(
-        picked.select(F.explode(plain).alias("s"), F.lit(0).alias("random"))
+        picked.select(F.explode(plain).alias("s"), F.lit(0).alias("random")).where(F.char_length("s") >= LEAST_IDENTIFIER)
     ).groupBy("s", "random").agg(F.lit(1).alias("one")).select("s", "random")
     pairs = samples.select("random", F.explode(F.sequence(F.lit(1), F.char_length("s") - 1)).alias("i"), "s").select(
         "random", F.expr("substr(s, i, 2)").alias("pair")
@@ -82,14 +87,12 @@ def transition_scores(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, smooth: f
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
     if not any(k[0] for k in counts):
         return [0.0] * len(CHARS) ** 2
-    import math
-
     def log_p(label: int) -> list[float]:
-        out = []
-        for a in CHARS:
-            row = [counts.get((label, a + b), 0) + smooth for b in CHARS]
-            out += [math.log(x / sum(row)) for x in row]
-        return out
+        """Transitions, smoothed towards how often each character follows any other."""
+        n = [[counts.get((label, a + b), 0) for b in CHARS] for a in CHARS]
+        follows = [sum(column) + smooth for column in zip(*n, strict=True)]
+        share = [x / sum(follows) for x in follows]
+        return [math.log((x + BACKOFF * p) / (sum(row) + BACKOFF)) for row in n for x, p in zip(row, share, strict=True)]
 
     return [x - y for x, y in zip(log_p(1), log_p(0), strict=True)]
 

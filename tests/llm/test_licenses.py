@@ -24,7 +24,7 @@ def test_full_texts_and_near_misses(spark):
     out = by_id(licenses.scan(table(spark, [full.title(), full.replace("sublicense", "sell"), "see " + full + " end"])))
     assert [[m.name for m in out[i].templates if m.name == "mit-text"] for i in range(3)] == [["mit-text"], [], ["mit-text"]]
     assert out[2].templates[0].start == 1 and out[2].templates[0].end == len(words(full)) + 1
-    assert 0 < out[1].share < 1
+    assert out[1].share > 0.3
 
 
 def test_phrases_against_brute_force(spark):
