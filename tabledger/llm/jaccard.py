@@ -105,8 +105,9 @@ def common_shingles(docs: DataFrame, gram: int = GRAM, sample_docs: int = SAMPLE
     return h[np.lexsort((h, c))]
 
 
-def marked(docs: DataFrame, common: np.ndarray, gram: int = GRAM) -> DataFrame:
-    """Per document: ``doc_id``, ``n``, ``sig`` (the key of its set), ``bitmap`` and ``prefix`` (its rarest shingles)."""
+def marked(docs: DataFrame, common: np.ndarray, gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per document: ``doc_id``, ``n``, ``sig`` (the key of its set), ``bitmap`` and ``prefix`` (its rarest shingles, as many
+    as a similarity of ``num`` / ``den`` asks for)."""
     order = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order.astype(np.uint64)))  # at most 2^20 entries
 
@@ -124,7 +125,7 @@ def marked(docs: DataFrame, common: np.ndarray, gram: int = GRAM) -> DataFrame:
                 is_common = known[at] == h
                 key[is_common] = (np.uint64(1) << np.uint64(63)) + rank[at[is_common]]
             by = np.lexsort((key, d))
-            most = np.where(sizes > 0, sizes - -(-NUM * sizes // DEN) + 1, 0)
+            most = np.where(sizes > 0, sizes - -(-num * sizes // den) + 1, 0)
             keep = np.arange(len(h)) - bounds[d] < most[d]
             prefix = h[by][keep].view(np.int64)
             cuts = np.concatenate([[0], np.cumsum(most)]).astype(np.int32)
@@ -150,7 +151,7 @@ def index_lists(classes: DataFrame) -> DataFrame:
     return met.select("token", "lead", F.explode(part).alias("part"), "sig", "id", "n", "pos", "bitmap")
 
 
-def _possible(n, pos, words, comp, i, j, num: int = NUM, den: int = DEN) -> np.ndarray:
+def _possible(n, pos, words, comp, i, j, num: int, den: int) -> np.ndarray:
     """Whether sizes, positions, components and bitmaps leave a link between entries ``i`` and ``j`` possible."""
     a, b = n[i], n[j]
     need = overlap(a, b, num, den)
@@ -162,7 +163,7 @@ def _possible(n, pos, words, comp, i, j, num: int = NUM, den: int = DEN) -> np.n
     return ok
 
 
-def _pairs(run: np.ndarray, n, pos, words, comp, star: bool) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(run: np.ndarray, n, pos, words, comp, star: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidates among entries sorted by list (``run`` numbers the lists) and, within a list, by size."""
     left, right = [], []
     total = len(run)
@@ -172,14 +173,14 @@ def _pairs(run: np.ndarray, n, pos, words, comp, star: bool) -> tuple[np.ndarray
     if star:  # with the middle one by size
         lead = first + length // 2
         i, j = at[at != lead], lead[at != lead]
-        ok = _possible(n, pos, words, comp, i, j)
+        ok = _possible(n, pos, words, comp, i, j, num, den)
         return i[ok], j[ok]
     short = length <= 64
     for gap in range(1, 64):
         i = np.flatnonzero(short & (at - first + gap < length))
         if not len(i):
             break
-        ok = _possible(n, pos, words, comp, i, i + gap)
+        ok = _possible(n, pos, words, comp, i, i + gap, num, den)
         left.append(i[ok])
         right.append(i[ok] + gap)
     for lo in np.unique(first[~short]):
@@ -190,21 +191,21 @@ def _pairs(run: np.ndarray, n, pos, words, comp, star: bool) -> tuple[np.ndarray
             for y, (t_min, _, t_rest, d_min, d_max) in zip(blocks, info, strict=True):
                 if y.start < x.start:
                     continue
-                if t_min * NUM > s_max * DEN or min(s_rest, t_rest) < overlap(s_min, t_min):
+                if t_min * num > s_max * den or min(s_rest, t_rest) < overlap(s_min, t_min, num, den):
                     continue  # no entry of the one can answer any of the other
                 if c_min == c_max == d_min == d_max:
                     continue  # all of them have one answer already
                 i, j = (g.ravel() for g in np.meshgrid(at[x], at[y], indexing="ij"))
                 up = i < j
                 i, j = i[up], j[up]
-                ok = _possible(n, pos, words, comp, i, j)
+                ok = _possible(n, pos, words, comp, i, j, num, den)
                 left.append(i[ok])
                 right.append(j[ok])
     none = [np.zeros(0, np.int64)]
     return np.concatenate(left + none), np.concatenate(right + none)
 
 
-def candidates(lists: DataFrame, star: bool) -> DataFrame:
+def candidates(lists: DataFrame, star: bool, num: int = NUM, den: int = DEN) -> DataFrame:
     """Distinct pairs of classes (``a`` below ``b``, with their ids) that share a list and may be similar. ``lists`` has
     a column ``comp``, of which no pair has the same."""
 
@@ -212,7 +213,7 @@ def candidates(lists: DataFrame, star: bool) -> DataFrame:
         col = {c: table.column(c).to_numpy() for c in ("run", "sig", "id", "n", "pos", "comp")}
         raw = b"".join(x.as_py() for x in table.column("bitmap"))
         words = np.frombuffer(raw, np.uint64).reshape(-1, BITS // 64)
-        i, j = _pairs(col["run"], col["n"], col["pos"], words, col["comp"], star)
+        i, j = _pairs(col["run"], col["n"], col["pos"], words, col["comp"], star, num, den)
         flip = col["sig"][i] > col["sig"][j]
         i, j = np.where(flip, j, i), np.where(flip, i, j)
         both = [col[c][k] for c in ("sig", "id", "comp") for k in (i, j)]
@@ -282,28 +283,28 @@ def verified(pairs: DataFrame, docs: DataFrame, ends: tuple[str, str], gram: int
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-                sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+                sample_docs: int = SAMPLE_DOCS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row: ``doc_id`` (long), ``n_shingles`` and ``component_id``, the smallest id that links lead to.
 
-    Two documents link when 100 times the intersection of their sets of ``gram``-word shingles is at least 85 times
-    the union. Words are what white space separates, A-Z in lower case. Null, empty and blank texts have an empty set
+    Two documents link when ``den`` (100) times the intersection of their sets of ``gram``-word shingles is at least
+    ``num`` (85) times the union. Words are what white space separates, A-Z in lower case. Null, empty and blank texts have an empty set
     and link with nothing; fewer words than ``gram`` are one shingle. Repeated rows come back as often as they stand
     there; rows of one id are one document; a row without an id keeps a null component. Ids are whole numbers. An
     empty table gives no row; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = written(marked(rows, common_shingles(rows, gram, sample_docs), gram), "sets")
+    sets = written(marked(rows, common_shingles(rows, gram, sample_docs), gram, num, den), "sets")
     real = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("sig").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"))
     lists = written(index_lists(classes), "lists")
-    stars = written(candidates(lists.withColumn("comp", F.col("sig")), star=True), "stars")
-    known = written(components(verified(stars, rows, ("a_id", "b_id"), gram), "a_id", "b_id"), "known")
+    stars = written(candidates(lists.withColumn("comp", F.col("sig")), star=True, num=num, den=den), "stars")
+    known = written(components(verified(stars, rows, ("a_id", "b_id"), gram, num, den), "a_id", "b_id"), "known")
     labelled = lists.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
         "comp", F.coalesce("component", "id")).drop("component")
-    rest = candidates(labelled, star=False).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    rest = candidates(labelled, star=False, num=num, den=den).join(stars.select("a", "b"), ["a", "b"], "left_anti")
     # What is left are links between components, each taken once, whatever the number of links behind it.
-    wider = components(verified(written(rest, "pairs"), rows, ("a_comp", "b_comp"), gram), "a_comp", "b_comp").select(
+    wider = components(verified(written(rest, "pairs"), rows, ("a_comp", "b_comp"), gram, num, den), "a_comp", "b_comp").select(
         F.col("node").alias("component"), F.col("component").alias("group"))
     # A node without a link of its own round is its own component.
     inner = known.join(wider, "component", "left").select("node", F.coalesce("group", "component").alias("component"))
