@@ -1,9 +1,9 @@
 """Secret scan: fixed formats, and runs of characters that look random to a pair of Markov models.
 
 Everything is a DataFrame expression. The models are two tables of character
-transitions, one of labelled secrets and one of ordinary identifiers, counted
-by a grouped aggregation over a bounded sample of the documents; only their
-log-likelihood ratios (one number per pair of characters) reach the driver.
+transitions, one of the labelled secrets of all documents and one of the ordinary
+identifiers of a bounded sample, counted by a grouped aggregation; only the counts
+(one number per model and pair of characters) reach the driver.
 """
 
 from __future__ import annotations
@@ -65,11 +65,12 @@ def base_spans(text: Column) -> list[Column]:
 def transition_scores(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, smooth: float = 0.5) -> list[float]:
     """Log-likelihood ratio (random over ordinary) of each pair of ``CHARS``, row by row.
 
-    Trained from labelled samples: what the base formats match is random, identifiers elsewhere are ordinary. The
-    sample holds about ``sample_docs`` documents at most, chosen by hash; without any label all scores are 0.
+    Trained from labelled strings, each distinct one once: what the base formats match, in any document, is random;
+    identifiers elsewhere are ordinary. Only the ordinary ones, which are plentiful, come from a sample of about
+    ``sample_docs`` documents at most, chosen by hash. If no document holds a match of a base format all scores are 0.
     """
     share = min(1.0, sample_docs / max(1, docs.count()))
-    picked = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    picked = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < max(1, int(share * (1 << 20))))
     text = F.col("text")
     secret = F.concat(
         F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)),
@@ -78,12 +79,10 @@ def transition_scores(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, smooth: f
     plain = F.regexp_extract_all(
         F.regexp_replace(F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), ACCESS, " "), HEX, " "), F.lit(IDENTIFIER), F.lit(0)
     )
-    samples = picked.select(F.explode(secret).alias("s"), F.lit(1).alias("random")).where(F.char_length("s") >= 6).unionByName(
+    samples = docs.select(F.explode(secret).alias("s"), F.lit(1).alias("random")).where(F.char_length("s") >= 6).unionByName(
         picked.select(F.explode(plain).alias("s"), F.lit(0).alias("random")).where(F.char_length("s") >= LEAST_IDENTIFIER)
     ).groupBy("s", "random").agg(F.lit(1).alias("one")).select("s", "random")
-    pairs = samples.select("random", F.explode(F.sequence(F.lit(1), F.char_length("s") - 1)).alias("i"), "s").select(
-        "random", F.expr("substr(s, i, 2)").alias("pair")
-    )
+    pairs = samples.select("random", F.explode(F.regexp_extract_all("s", F.lit("(?=(..))"), F.lit(1))).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).collect()}
     if not any(k[0] for k in counts):
         return [0.0] * len(CHARS) ** 2

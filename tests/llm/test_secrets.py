@@ -52,3 +52,15 @@ def test_redaction(spark):
     found = secrets.with_spans(docs, docs, "text").select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("t"))
     got = [r.t for r in found.orderBy("doc_id").collect()]
     assert got == ["x [SECRET] y [SECRET] z", "nothing", "[SECRET]", "", "é [SECRET]"]
+
+
+def test_labelled_secrets_outside_the_sample_train_the_model(spark):
+    plain = [" ".join("".join(R.choices(["tion", "er", "ing", "the", "con", "pro"], k=7)) for _ in range(30)) for _ in range(400)]
+    fresh = "".join(R.choices(string.ascii_letters + string.digits, k=40))
+    sampled = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(20 / 401 * (1 << 20))
+    labelled = table(spark, [p + " token=" + t for p, t in zip(plain, TOKENS[:12])]).where(~sampled)
+    docs = labelled.unionByName(table(spark, [(100 + k, p) for k, p in enumerate(plain[12:])] + [(1000, "key " + fresh + " end")]))
+    assert labelled.count() > 5 and docs.where(sampled).count() > 5
+    out = {r.doc_id: r for r in secrets.scan(docs, sample_docs=20).collect()}
+    assert [tuple(s) for s in out[1000].spans] == [("markov", 4, 44)]
+    assert sum(len(out[k].spans) for k in out if 100 <= k < 1000) == 0
