@@ -59,12 +59,25 @@ def kept(df: DataFrame, window: int = WINDOW) -> DataFrame:
     return df.withColumn("kept", _cut(at, window))
 
 
+def _spread(df: DataFrame, at: str, length: int, keep: tuple[str, ...], outer: bool = False, changes: bool = False) -> DataFrame:
+    """One row per position of the array ``at``: ``keep``, ``i``, ``hash``, and ``length`` words from there on (``near``).
+    What is exploded holds these words only, so a long text costs rows times ``length`` and not rows times its length.
+    ``changes``: only where the hash changes, and at every seventh window, so that long repeats stay within reach."""
+    every = F.transform(at, lambda _, i: i)
+    if changes:
+        every = F.filter(every, lambda i: (i % (REACH + 1) == 0) | (F.get(at, i) != F.get(at, i - 1)))
+    cut = F.transform(every, lambda i: F.struct(
+        i.alias("i"), F.get(at, i).alias("hash"), F.slice("words", i + 1, length).alias("near")))
+    # Always the outer form: of the other, Spark derives filters that repeat the whole expression.
+    out = df.select(*keep, cut.alias("cut")).select(*keep, F.explode_outer("cut").alias("at")).select(*keep, "at.i", "at.hash", "at.near")
+    return out if outer else out.where("i IS NOT NULL")
+
+
 def _windows(items: DataFrame, length: int) -> DataFrame:
     """Each window of ``length`` words as text, its hash, and the sorted ids of the items that hold it."""
     hashed = kept(items) if length == WINDOW else grams(items, length).withColumnRenamed("grams", "kept")
     return (
-        hashed.select("item_id", "words", F.posexplode_outer("kept").alias("i", "hash")).where("i IS NOT NULL")
-        .select("item_id", "hash", F.array_join(F.slice("words", F.col("i") + 1, length), " ").alias("window"))
+        _spread(hashed, "kept", length, ("item_id",)).select("item_id", "hash", F.array_join("near", " ").alias("window"))
         .groupBy("hash", "window").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
         .groupBy("hash").agg(F.collect_list(F.struct("window", "item_ids")).alias("windows"))
     )
@@ -99,29 +112,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), words_of(text).alias("words")
     )
     found = "array<struct<start:int,length:int,item_ids:array<%s>>>" % items.schema["item_id"].dataType.simpleString()
-    wide = kept(base).select("doc_id", "text_hash", "words", "kept", F.posexplode_outer("kept").alias("i", "hash"))
-    # A hash is kept where it changes, and at every seventh window, so that long repeats stay within reach.
-    change = (F.col("i") % (REACH + 1) == 0) | (F.col("hash") != F.expr("get(kept, i - 1)"))
-    wide = wide.where(F.col("i").isNull() | change)
-    own = F.coalesce(F.col("i") == 0, F.lit(True)).cast("long").alias("own")
     n_words = F.size("words").cast("long").alias("n_words")
+    names = ("doc_id", "text_hash", "n_words")
     if WINDOW in lengths:
         index = small(_windows(items.where(F.size("words") >= WINDOW), WINDOW))
-        # Of a text, only the words that a hit can be extended over leave the join.
-        met = wide.join(index, "hash", "left").where(F.col("windows").isNotNull() | F.coalesce(F.col("i") == 0, F.lit(True)))
-        near = F.slice("words", F.col("i") + 1, WINDOW + REACH).alias("near")
-        rows = _extended(met.select("doc_id", "text_hash", n_words, own, "i", near, "windows"), WINDOW)
-        rows = rows.select("doc_id", "text_hash", "n_words", "own", "hits")
+        wide = _spread(kept(base).withColumn("n_words", n_words), "kept", WINDOW + REACH, names, outer=True, changes=True)
+        own = F.coalesce(F.col("i") == 0, F.lit(True))
+        met = wide.join(index, "hash", "left").where(F.col("windows").isNotNull() | own)
+        rows = _extended(met.select(*names, own.cast("long").alias("own"), "i", "near", "windows"), WINDOW)
+        rows = rows.select(*names, "own", "hits")
     else:
-        wide = wide.where(F.coalesce(F.col("i") == 0, F.lit(True)))
-        rows = wide.select("doc_id", "text_hash", n_words, own, F.lit(None).cast(found).alias("hits"))
+        rows = base.select("doc_id", "text_hash", n_words, F.lit(1).cast("long").alias("own"), F.lit(None).cast(found).alias("hits"))
     for length in (x for x in lengths if x < WINDOW):
         index = small(_windows(items.where(F.size("words") == length), length))
-        narrow = grams(base, length).select("doc_id", "text_hash", "words", F.posexplode_outer("grams").alias("i", "hash"))
-        narrow = narrow.where("i IS NOT NULL").join(index, "hash")
-        near = F.slice("words", F.col("i") + 1, length).alias("near")
-        narrow = _extended(narrow.select("doc_id", "text_hash", n_words, "i", near, "windows"), length).where(F.size("hits") > 0)
-        rows = rows.unionByName(narrow.select("doc_id", "text_hash", "n_words", F.lit(0).cast("long").alias("own"), "hits"))
+        narrow = _spread(grams(base, length).withColumn("n_words", n_words), "grams", length, names).join(index, "hash")
+        narrow = _extended(narrow, length).where(F.size("hits") > 0)
+        rows = rows.unionByName(narrow.select(*names, F.lit(0).cast("long").alias("own"), "hits"))
     flat = rows.select(
         "doc_id", "text_hash", "n_words", "own",
         F.transform("hits", lambda h: F.struct(h["start"], h["length"])).alias("spans"),

@@ -53,3 +53,13 @@ def test_empty_tables(spark):
     docs = table(spark, [(1, "some words"), (2, None)])
     assert got(docs, bench) == Counter([(1, 2, 0, ()), (2, 0, 0, ())])
     assert got(docs.limit(0), spark.createDataFrame([(1, "a b")], bench.schema)) == Counter()
+
+
+def test_long_texts_beside_short_items(spark):
+    items = [(k, prose(1000 + k, n, 50)) for k, n in enumerate([3, 9, 10, 25, 1])] + [(20, "word go"), (21, "long " * 3_000), (22, "go word")]
+    long = prose(7, 30_000, 50)
+    texts = [(i, t) for i, t in enumerate(ODD)] + [(100, long), (101, "go " + ODD[6] + "go " + items[3][1]), (102, ODD[5] + " " + items[1][1])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert got(table(spark, texts), bench) == brute(texts, items)
+    short_only = [x for x in items if len(words(x[1])) < 10]
+    assert got(table(spark, texts), spark.createDataFrame(short_only, bench.schema)) == brute(texts, short_only)
