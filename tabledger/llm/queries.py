@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, merkle, packing, quality, secrets, sharding, toxicity, url_lists
+from . import decontaminate, jaccard, licenses, merkle, packing, periodic, quality, secrets, sharding, toxicity, url_lists
 from .common import WORD, small, table
 
 
@@ -125,6 +125,20 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def periodic_runs(found: DataFrame) -> DataFrame:
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    best = found.withColumn("best", periodic.longest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), "collapsed_sha256",
+    )
+
+
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs(periodic.scan(table(spark, folder, "documents"), planted=True))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -134,7 +148,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_decontaminate, op3_licenses, op4_merkle, op5_pack, op6_sharding, op7_url_lists, op8_quality, op9_jaccard,
-              op10_secrets, pipeline)
+              op10_secrets, op13_periodic, pipeline)
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
