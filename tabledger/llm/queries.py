@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, merkle, packing, periodic, quality, secrets, sharding, toxicity, url_lists
+from . import decontaminate, jaccard, licenses, merkle, negatives, packing, periodic, quality, secrets, sharding, toxicity, url_lists
 from .common import WORD, small, table
 
 
@@ -125,6 +125,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    rows = table(spark, folder, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
+
+
 def periodic_runs(found: DataFrame) -> DataFrame:
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
     best = found.withColumn("best", periodic.longest(F.col("runs")))
@@ -148,7 +154,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_decontaminate, op3_licenses, op4_merkle, op5_pack, op6_sharding, op7_url_lists, op8_quality, op9_jaccard,
-              op10_secrets, op13_periodic, pipeline)
+              op10_secrets, op11_negatives, op13_periodic, pipeline)
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -181,6 +187,19 @@ SELECT h.doc_id, CAST(h.n_bytes AS BIGINT) AS n_bytes, substr(lpad(CAST(CAST(h.h
   CAST(c.d AS INT) AS depth, CAST(f.shard_bytes AS BIGINT) AS shard_bytes, CAST(f.shard_docs AS BIGINT) AS shard_docs
 FROM h JOIN c USING (h) JOIN f ON f.d = c.d AND f.p = h.h >> (60 - c.d)
 """.replace("LIMIT", str(SHARD_BYTES)),
+    "op11_negatives": r"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM r a JOIN r c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+""",
     "op7_url_lists": r"""
 WITH p AS (SELECT page_id, url, ts AS fetched_at, event_type, user_id,
     regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS host,
