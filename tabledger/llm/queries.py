@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard, licenses, merkle, negatives, packing, periodic, quality, secrets, sharding, toxicity, url_lists
+from . import decontaminate, jaccard, licenses, merkle, negatives, packing, periodic, quality, secrets, sharding, suffixes, toxicity, url_lists
 from .common import WORD, small, table
 
 
@@ -131,6 +131,15 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
 
 
+def removed_bytes(found: DataFrame) -> DataFrame:
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op12_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return removed_bytes(suffixes.without_repeats(table(spark, folder, "documents")))
+
+
 def periodic_runs(found: DataFrame) -> DataFrame:
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
     best = found.withColumn("best", periodic.longest(F.col("runs")))
@@ -154,7 +163,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (op1_toxicity, op2_decontaminate, op3_licenses, op4_merkle, op5_pack, op6_sharding, op7_url_lists, op8_quality, op9_jaccard,
-              op10_secrets, op11_negatives, op13_periodic, pipeline)
+              op10_secrets, op11_negatives, op12_suffixes, op13_periodic, pipeline)
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -198,7 +207,20 @@ p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
 SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
-QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 3
+""",
+    "op12_suffixes": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS hx, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT r, doc_id, i, substr(hx, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(0, n - 49)) AS i FROM d)),
+h AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS least FROM w) WHERE doc_id > least),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k
+  FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM h)),
+p AS (SELECT r, min(i) AS b, max(i) + 50 AS e FROM g GROUP BY r, k),
+l AS (SELECT r, sum(e - b) AS n_removed, count(*) AS n_spans, list(b ORDER BY b) AS bs, list(e ORDER BY b) AS es FROM p GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN hx ELSE array_to_string(
+    list_transform(range(1, n_spans + 2), lambda j: substr(hx, 2 * coalesce(es[j - 1], 0) + 1, 2 * (coalesce(bs[j], n) - coalesce(es[j - 1], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN l USING (r)
 """,
     "op7_url_lists": r"""
 WITH p AS (SELECT page_id, url, ts AS fetched_at, event_type, user_id,
