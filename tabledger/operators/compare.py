@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import hash_sum_sql, in_sample, quoted, row_hash, row_hash_pair, row_sha256
+from ..functions.hashing import hash_sum_sql, quoted, row_hash, row_hash_pair, row_sha256
 from ..functions.sizing import within_tolerance
+from . import digest_tree
 
 Pairs = Mapping[str, tuple[DataFrame, DataFrame]]
 
@@ -174,41 +175,29 @@ def aligned(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]
     return tuple(df.select(*[F.col(quoted(c)).cast(w).alias(c) for c, w in zip(names, want, strict=True)]) for df in (source, target))
 
 
-def _hash_counts(pairs: Pairs, sample_percent: int) -> DataFrame:
-    """Copies of every distinct row hash on each side."""
-
-    def rows(df: DataFrame, name: str, is_source: bool) -> DataFrame:
-        first, second = row_hash_pair(df)
-        hashed = df.select(F.lit(name).alias("table_name"), first.alias("h1"), second.alias("h2"), *_marks(is_source))
-        return hashed if sample_percent >= 100 else hashed.where(in_sample(F.col("h1"), sample_percent))
-
-    return (
-        _sides(pairs, rows)
-        .groupBy("table_name", "h1", "h2")
-        .agg(F.sum("src_count").alias("src_count"), F.sum("tgt_count").alias("tgt_count"))
-    )
-
-
 def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
     """Row hashes whose number of copies differs between the sides.
 
-    Only the 16-byte hash of a row is shuffled, never the row. A sample keeps
-    the same rows on both sides.
+    Equal buckets of rows are told by their digests; only the 16-byte hashes of
+    rows in differing buckets are shuffled, never the row. A sample keeps the
+    same rows on both sides.
     """
-    pairs = {n: aligned(*p) for n, p in pairs.items()}
-    return _hash_counts(pairs, sample_percent).where(F.col("src_count") != F.col("tgt_count"))
+    return _union([
+        digest_tree.compared(*aligned(*p), sample_percent).differing.select(F.lit(n).alias("table_name"), "h1", "h2", "src_count", "tgt_count")
+        for n, p in pairs.items()
+    ])
 
 
 def multiset_verdicts(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
     """One row per pair: rows compared, distinct rows that differ, verdict. An empty pair passes."""
-    pairs = {n: aligned(*p) for n, p in pairs.items()}
-    totals = _hash_counts(pairs, sample_percent).groupBy("table_name").agg(
-        F.sum("src_count").alias("src_rows"), F.sum("tgt_count").alias("tgt_rows"),
-        F.count_if(F.col("src_count") != F.col("tgt_count")).alias("mismatches"),
-    )
-    names = totals.sparkSession.createDataFrame([(n,) for n in pairs], "table_name string")
-    filled = names.join(totals, "table_name", "left").na.fill(0, ["src_rows", "tgt_rows", "mismatches"])
-    return filled.select(
+
+    def verdict(name: str, source: DataFrame, target: DataFrame) -> DataFrame:
+        found = digest_tree.compared(*aligned(source, target), sample_percent)
+        rows = found.totals.select("src_rows", "tgt_rows", F.lit(0).cast("bigint").alias("mismatches"))
+        bad = found.differing.agg(F.count("*").alias("mismatches")).select(_zero().alias("src_rows"), _zero().alias("tgt_rows"), "mismatches")
+        return rows.unionByName(bad).agg(*[F.sum(c).alias(c) for c in rows.columns]).withColumn("table_name", F.lit(name))
+
+    return _union([verdict(n, *p) for n, p in pairs.items()]).select(
         "table_name", "src_rows", "tgt_rows", "mismatches",
         (F.col("mismatches") == 0).alias("passed"),
         F.concat(
@@ -221,18 +210,18 @@ def multiset_verdicts(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
 def diff_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """The rows that differ, with their number of copies on each side.
 
-    Rows are hashed first; whole rows are read again only for the hashes that
-    differ, and only those rows are shuffled.
+    Rows are hashed first; whole rows are read again only in buckets that
+    differ, and only for the hashes that differ.
     """
     source, target = aligned(source, target)
-    diff = multiset_diff({"t": (source, target)}).select("h1", "h2", "src_count", "tgt_count")
+    found = digest_tree.compared(source, target)
 
     def side(df: DataFrame) -> DataFrame:
         first, second = row_hash_pair(df)
-        return df.withColumns({"h1": first, "h2": second})
+        return found.near(df.withColumns({"h1": first, "h2": second}))
 
     columns = source.columns
-    rows = side(source).unionByName(side(target)).join(diff, ["h1", "h2"])
+    rows = side(source).unionByName(side(target)).join(found.differing, ["h1", "h2"])
     # a key of its own: copies of one row are folded where the join finds them, before
     # they meet, so Spark may split a join key that holds a third of all rows
     key = F.concat_ws(":", "h1", "h2")
@@ -253,7 +242,7 @@ def diff_rows_exact(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def lost_and_extra(source: DataFrame, target: DataFrame) -> DataFrame:
     """Multiset difference both ways: every lost and every extra row, with its side."""
-    diff = diff_rows_exact(*aligned(source, target))
+    diff = diff_rows(source, target)
     delta = F.col("src_count") - F.col("tgt_count")
     side = F.when(delta > 0, "lost").otherwise("extra").alias("side")
     each = diff.withColumn("_copies", F.array_repeat(F.lit(0), F.abs(delta).cast("int"))).withColumn("side", side)
