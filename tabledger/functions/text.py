@@ -14,12 +14,17 @@ VALIDATION_MESSAGE_CHARS = 1000
 _GLOB_TOKEN = r"(?s)\[!?\]?[^\]]*\]|."
 
 
-def glob_body(glob: Column) -> Column:
+def glob_tokens(glob: Column) -> Column:
+    return F.regexp_extract_all(glob, F.lit(_GLOB_TOKEN), F.lit(0))
+
+
+def glob_body(glob: Column, barrier: str = "") -> Column:
     """Regular expression, without anchors, for a shell glob held in a column.
 
     ``*``, ``?``, ``[seq]`` and ``[!seq]`` are special; an unclosed bracket and
-    every other character stand for themselves.
+    every other character stand for themselves. No wildcard matches ``barrier``.
     """
+    some = f"[^{barrier}]" if barrier else "."
 
     def literal(text: Column) -> Column:
         return F.regexp_replace(text, r"([\\.^$|?*+(){}\[\]&~#-])", r"\\$1")
@@ -31,16 +36,15 @@ def glob_body(glob: Column) -> Column:
         )
         # keep '-' as a range mark inside a class
         members = F.regexp_replace(members, r"([\\^\[\]&~])", r"\\$1")
-        char_class = F.concat(F.when(negated, F.lit("[^")).otherwise(F.lit("[")), members, F.lit("]"))
+        char_class = F.concat(F.when(negated, F.lit(f"[^{barrier}")).otherwise(F.lit("[")), members, F.lit("]"))
         return (
-            F.when(t == "*", F.lit(".*"))
-            .when(t == "?", F.lit("."))
+            F.when(t == "*", F.lit(f"{some}*"))
+            .when(t == "?", F.lit(some))
             .when((F.length(t) > 1) & t.startswith("["), char_class)
             .otherwise(literal(t))
         )
 
-    tokens = F.regexp_extract_all(glob, F.lit(_GLOB_TOKEN), F.lit(0))
-    return F.array_join(F.transform(tokens, lambda t: token(t)), "")
+    return F.array_join(F.transform(glob_tokens(glob), lambda t: token(t)), "")
 
 
 def glob_regex(*globs: Column, between: str = "") -> Column:

@@ -8,10 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import (
-    any_glob_match, first_filled, fqn_part, fqn_size, glob_match, glob_regex, is_glob, regex_full_match,
-    rule_text,
-)
+from ..functions.text import first_filled, fqn_part, fqn_size, glob_match, regex_full_match, rule_text
+from . import glob_index
 
 # Schemas never expanded, and the table types that can be copied.
 SYSTEM_SCHEMAS = ("information_schema",)
@@ -105,14 +103,21 @@ def expand_rules(
 
     schema, table = F.col("table_schema"), F.col("table_name")
     catalog_rules = rule_columns("catalog")
+
+    def left_in(rows: DataFrame, rules: DataFrame, globs: str, column: str) -> DataFrame:
+        """Rows whose ``column`` matches none of the globs of their rule; names and globs meet through an index."""
+        known = live.select(F.lower(column).alias("_name"))
+        out = glob_index.list_matches(known, "_name", rules, globs)
+        hits = out.select(F.col(globs).alias("_globs"), F.col("_name").alias("_hit"))
+        return rows.join(hits, (F.col(globs) == F.col("_globs")) & (F.lower(F.col(column)) == F.col("_hit")), "left_anti")
+
     from_catalogs = (
         live.join(catalog_rules, F.lower("table_catalog") == F.lower("r_source_catalog"))
         .where(~F.lower(schema).isin(*[s.lower() for s in system_schemas]))
         .where(_none_match(schema, global_schema_globs) & _none_match(table, global_table_globs))
-        .where(~any_glob_match(schema, F.col("r_exclude_schemas")))
-        .where(~any_glob_match(table, F.col("r_exclude_tables")))
-        .select(*mapping(schema, table, schema, table))
     )
+    from_catalogs = left_in(from_catalogs, catalog_rules, "r_exclude_schemas", "table_schema")
+    from_catalogs = left_in(from_catalogs, catalog_rules, "r_exclude_tables", "table_name").select(*mapping(schema, table, schema, table))
     schema_rules = rule_columns("schema").where(_none_match(F.col("r_source_schema"), global_schema_globs))
     from_schemas = (
         live.join(
@@ -120,12 +125,12 @@ def expand_rules(
             (F.lower("table_catalog") == F.lower("r_source_catalog"))
             & (F.lower("table_schema") == F.lower("r_source_schema")),
         )
-        .where(_none_match(table, global_table_globs) & ~any_glob_match(table, F.col("r_exclude_tables")))
-        .select(
-            *mapping(
-                F.col("r_source_schema"), table,
-                first_filled(F.col("r_target_schema"), F.col("r_source_schema")), table,
-            )
+        .where(_none_match(table, global_table_globs))
+    )
+    from_schemas = left_in(from_schemas, schema_rules, "r_exclude_tables", "table_name").select(
+        *mapping(
+            F.col("r_source_schema"), table,
+            first_filled(F.col("r_target_schema"), F.col("r_source_schema")), table,
         )
     )
     from_tables = (
@@ -170,74 +175,29 @@ def dropped_duplicates(expanded: DataFrame) -> DataFrame:
 def exclusion_hits(selections: DataFrame, rules: DataFrame) -> DataFrame:
     """Selections with the first exclusion rule (in file order) that matches, if any.
 
-    Rules without a glob meet the tables by equality. Glob rules are first
-    resolved against the distinct catalog and schema names: a name meets only
-    the globs that start with one of its prefixes, so no pair of unrelated
-    names is formed. Tables then look up the short rule list of their schema.
+    Rules meet the distinct catalogs, schemas or tables, whichever their type
+    names, through an index of their literal fragments; a rule without a
+    wildcard is met by equality.
     """
     r = rules.select(
-        F.col("seq").cast("bigint").alias("seq"),
-        "exclude_type",
-        F.lower("catalog").alias("c"),
-        F.when(F.col("exclude_type") != "catalog", F.lower("schema_name")).alias("s"),
-        F.when(F.col("exclude_type") == "table", F.lower("table_name")).alias("t"),
-        rule_text(F.col("exclude_type"), F.col("catalog"), F.col("schema_name"), F.col("table_name")).alias("rule"),
-    )
-    plain = F.concat_ws("", "c", "s", "t")
-    exact = (
-        r.where((F.col("exclude_type") == "table") & ~is_glob(plain))
-        .groupBy("c", "s", "t")
-        .agg(F.min(F.struct("seq", "exclude_type", "rule")).alias("exact_hit"))
-    )
-    # one row per glob rule, keyed by the text before its first special character
-    name_glob = F.concat_ws("\u0001", "c", F.coalesce("s", F.lit("*")))
-    globs = r.where((F.col("exclude_type") != "table") | is_glob(plain)).select(
-        "seq", "exclude_type", "rule", "t",
-        F.regexp_extract(name_glob, r"(?s)\A([^*?\[]*)", 1).alias("prefix"),
-        glob_regex(F.col("c"), F.coalesce("s", F.lit("*")), between="\u0001").alias("name_regex"),
-        F.when(F.col("t").isNotNull(), glob_regex(F.col("t"))).alias("table_regex"),
-    )
-    schemas = selections.select(
-        F.lower("source_catalog").alias("c"), F.lower("source_schema").alias("s")
-    ).distinct()
-    name = F.concat_ws("\u0001", "c", "s")
-    lengths = globs.agg(F.collect_set(F.length("prefix"))).scalar()
-    per_schema = (
-        schemas.withColumn("lengths", lengths)
-        .withColumn("n", F.explode(F.filter("lengths", lambda n: n <= F.length(name))))
-        .withColumn("prefix", F.substring(name, F.lit(1), F.col("n")))
-        .join(globs, "prefix")
-        .where(F.rlike(name, F.col("name_regex")))
-        .groupBy("c", "s")
-        .agg(F.array_sort(F.collect_list(F.struct("seq", "exclude_type", "rule", "table_regex"))).alias("schema_rules"))
-    )
-    table = F.lower("source_table")
-    first_glob = F.get(
-        F.filter(
-            F.col("schema_rules"),
-            lambda g: g["table_regex"].isNull() | F.rlike(table, g["table_regex"]),
-        ),
-        F.lit(0),
-    )
-    glob_hit = F.when(
-        first_glob.isNotNull(),
-        F.struct(first_glob["seq"].alias("seq"), first_glob["exclude_type"].alias("exclude_type"),
-                 first_glob["rule"].alias("rule")),
-    )
-    keyed = selections.withColumns(
-        {"c": F.lower("source_catalog"), "s": F.lower("source_schema"), "t": table}
-    )
-    joined = keyed.join(per_schema, ["c", "s"], "left").join(exact, ["c", "s", "t"], "left")
-    # least() skips NULLs, so either side alone is enough
-    hit = F.least(glob_hit, F.col("exact_hit"))
-    return (
-        joined.withColumn("hit", hit)
-        .select(
-            *selections.columns,
-            F.col("hit.exclude_type").alias("exclusion_type"),
-            F.col("hit.rule").alias("exclusion_rule"),
-        )
+        F.struct(
+            F.col("seq").cast("bigint").alias("seq"), "exclude_type",
+            rule_text(F.col("exclude_type"), F.col("catalog"), F.col("schema_name"), F.col("table_name")).alias("rule"),
+        ).alias("hit"),
+        F.col("catalog").alias("c"), F.col("schema_name").alias("s"), F.col("table_name").alias("t"),
     )
+    keyed = selections.withColumns({f"_{c}": F.lower(f"source_{n}") for c, n in (("c", "catalog"), ("s", "schema"), ("t", "table"))})
+    found = keyed
+    for kind, parts in (("catalog", ["c"]), ("schema", ["c", "s"]), ("table", ["c", "s", "t"])):
+        names = keyed.select(*[f"_{p}" for p in parts]).distinct().withColumn("_name", glob_index.joined(*[f"_{p}" for p in parts]))
+        own = r.where(F.col("hit.exclude_type") == kind).na.drop(subset=parts)
+        pairs = glob_index.matching(names, "_name", glob_index.compiled(own, *parts))
+        first = pairs.groupBy(*[f"_{p}" for p in parts]).agg(F.min("hit").alias(f"_{kind}_hit"))
+        found = found.join(first, [f"_{p}" for p in parts], "left")
+    # least() skips NULLs, so any one hit is enough
+    hit = F.least("_catalog_hit", "_schema_hit", "_table_hit")
+    return found.withColumn("_hit", hit).select(
+        *selections.columns, F.col("_hit.exclude_type").alias("exclusion_type"), F.col("_hit.rule").alias("exclusion_rule"))
 
 
 def split_exclusions(selections: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
