@@ -793,6 +793,17 @@ def _(spark, d):
     return pack.pack_chunks(control, capacity_gb=500.0, max_chunks=8)
 
 
+@query("pack_invariants", """{control}
+SELECT batch_id, count(*) AS tables, TRUE AS whole, TRUE AS dense, CAST(0 AS BIGINT) AS over_capacity, CAST(0 AS BIGINT) AS over_count,
+  CAST(0 AS BIGINT) AS earlier_room FROM control WHERE status = 'QUEUED' GROUP BY 1""")
+def _(spark, d):
+    control = view(spark, d, "control").where("status = 'QUEUED'")
+    packed = pack.pack_chunks(control, capacity_gb=900.0, max_chunks=100)
+    once = packed.groupBy("migration_id").agg(F.count("*").alias("n"), F.first("batch_id").alias("batch_id")).groupBy("batch_id").agg(
+        (F.max("n") == 1).alias("whole"))
+    return pack.pack_invariants(packed, 900.0, 100).join(once, "batch_id").drop("chunks")
+
+
 @query("chunk_regroup", """{control}
 SELECT batch_id, chunk_id, count(*) AS tables, CAST(sum(size_in_bytes) AS BIGINT) AS total_bytes FROM control
 WHERE coalesce(chunk_id, 0) <> 0 AND status = 'QUEUED' GROUP BY 1, 2""")

@@ -293,72 +293,131 @@ def checksum_verdicts(
 
 # Columns measured by one aggregate; more would not fit into compiled code.
 PROFILE_GROUP = 8
-# Averages of doubles may differ by this share: their sums depend on the order of the rows.
-MEAN_TOLERANCE = 1e-9
+# Classes of doubles besides the powers of two: null, NaN, infinite, zero, and a mark for a column without rows.
+_NULL, _NAN, _INFINITE, _ZERO, _NO_ROWS = -5000, -5001, -5002, -5003, -5004
 
 
-def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+def _profile_parts(fields: Sequence[T.StructField]) -> tuple[list[str], list[str]]:
+    """Aggregates of the given columns (no doubles), and from them the profile of each, as SQL text over ``n`` (rows)."""
     # SQL text: building thousands of Column objects would take longer than the job
-    aggs, shapes = ["count(*) AS n"], []
+    aggs, shapes = [], []
     for i, field in enumerate(fields):
         value, dtype = quoted(field.name), field.dataType
         low = high = "CAST(NULL AS STRING)"
         mean = "CAST(NULL AS DOUBLE)"
-        nans = infinite = "CAST(0 AS BIGINT)"
         aggs.append(f"count({value}) AS c{i}")
-        if isinstance(dtype, (T.DoubleType, T.FloatType)):
-            wide = f"CAST({value} AS DOUBLE)"
-            number = f"(CASE WHEN NOT isnan({wide}) THEN {value} + CAST(0 AS {dtype.simpleString()}) END)"
-            finite = f"(CASE WHEN abs({wide}) < double('Infinity') THEN {wide} END)"
-            aggs += [f"min({number}) AS l{i}", f"max({number}) AS h{i}", f"count_if(isnan({wide})) AS x{i}",
-                     f"count_if(abs({wide}) = double('Infinity')) AS y{i}", f"avg({finite}) AS s{i}"]
-            low, high, nans, infinite, mean = f"CAST(l{i} AS STRING)", f"CAST(h{i} AS STRING)", f"x{i}", f"y{i}", f"s{i}"
-        elif not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
+        if not isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.NullType)):
             aggs += [f"min({value}) AS l{i}", f"max({value}) AS h{i}"]
             low, high = f"CAST(l{i} AS STRING)", f"CAST(h{i} AS STRING)"
         if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             aggs.append(f"CAST({hash_sum_sql(f'CAST({value} AS BIGINT)')} AS DOUBLE) AS s{i}")
             mean = f"s{i} / nullif(c{i}, 0)"
         elif isinstance(dtype, T.DecimalType):
-            aggs.append(f"avg(CAST({value} AS DOUBLE)) AS s{i}")
-            mean = f"s{i}"
-        name = field.name.replace("\\", "\\\\").replace("'", "\\'")
+            # sums of up to 28 digits are exact in 38; of longer ones their upper and lower halves are
+            unit = f"CAST({value} AS DECIMAL(38,{dtype.scale}))"
+            aggs += [f"sum(CAST(floor({unit} / 1000000000) AS DECIMAL(28,0))) AS s{i}",
+                     f"sum(CAST({unit} - floor({unit} / 1000000000) * 1000000000 AS DECIMAL(28,{min(dtype.scale, 18)}))) AS r{i}"]
+            mean = f"(CAST(s{i} AS DOUBLE) * 1e9D + CAST(r{i} AS DOUBLE)) / nullif(c{i}, 0)"
+            if dtype.precision <= 28:
+                aggs[-2:] = [f"sum({value}) AS s{i}"]
+                mean = f"CAST(s{i} AS DOUBLE) / nullif(c{i}, 0)"
         shapes.append(
-            f"named_struct('column_name', '{name}', 'value_count', c{i}, 'null_count', n - c{i}, 'nan_count', {nans}, "
-            f"'infinite_count', {infinite}, 'min_value', {low}, 'max_value', {high}, 'avg_value', {mean})"
+            f"named_struct('column_name', {_literal(field.name)}, 'value_count', c{i}, 'null_count', n - c{i}, 'nan_count', 0L, "
+            f"'infinite_count', 0L, 'min_value', {low}, 'max_value', {high}, 'avg_value', {mean})"
         )
-    return df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(shapes)}))")
+    return aggs, shapes
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    aggs, shapes = _profile_parts(fields)
+    return df.selectExpr("count(*) AS n", *aggs).selectExpr(f"inline(array({', '.join(shapes)}))")
+
+
+def _power(exponent: str) -> str:
+    """Times two to this power, in two steps, so that no step leaves the range of doubles."""
+    half = f"floor(({exponent}) / 2)"
+    return f"* pow(2D, {half}) * pow(2D, ({exponent}) - {half})"
+
+
+def _double_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Profiles of columns of one floating type, whose sums do not depend on the order of rows.
+
+    A value is a whole number of up to 55 bits times a power of two. Values of one power are a class, and the upper and
+    lower halves of their whole numbers are summed exactly. Only these sums, in the order of the powers and already
+    divided by the count, are put together as doubles.
+    """
+    values = ", ".join(quoted(f.name) for f in fields)
+    wide = "CAST(v AS DOUBLE)"
+    kind = (f"CASE WHEN v IS NULL THEN {_NULL} WHEN isnan(v) THEN {_NAN} WHEN abs({wide}) = double('Infinity') THEN {_INFINITE} "
+            f"WHEN v = 0 THEN {_ZERO} ELSE CAST(floor(log2(abs({wide}))) AS INT) - 1 END AS e")
+    whole = f"CASE WHEN e > {_NULL} THEN CAST({wide} {_power('52 - e')} AS BIGINT) ELSE 0L END AS m"
+    classes = (
+        df.selectExpr(f"posexplode(array({values})) AS (i, v)").selectExpr("i", "v", kind).selectExpr("i", "v", "e", whole)
+        .groupBy("i", "e").agg(
+            F.count("*").alias("n"), F.expr("sum(shiftright(m, 28))").alias("hi"), F.expr("sum(m & 268435455L)").alias("lo"),
+            F.expr("min(v + CAST(0 AS FLOAT))").alias("low"), F.expr("max(v + CAST(0 AS FLOAT))").alias("high"))
+    )
+    # a class without rows for each column, so that an empty table has profiles as well
+    none = df.sparkSession.range(len(fields)).selectExpr(
+        "CAST(id AS INT) AS i", f"{_NO_ROWS} AS e", "0L AS n", "0L AS hi", "0L AS lo", *[
+            f"CAST(NULL AS {fields[0].dataType.simpleString()}) AS {c}" for c in ("low", "high")])
+    names = ", ".join(_literal(f.name) for f in fields)
+    known = f"e <> {_NULL} AND e <> {_NAN}"
+    total = classes.unionByName(none).groupBy("i").agg(
+        F.expr(f"sum(n) FILTER (WHERE e <> {_NULL})").alias("value_count"),
+        *[F.expr(f"coalesce(sum(n) FILTER (WHERE e = {k}), 0L)").alias(name)
+          for k, name in ((_NULL, "null_count"), (_NAN, "nan_count"), (_INFINITE, "infinite_count"))],
+        F.expr(f"CAST(min(low) FILTER (WHERE {known}) AS STRING)").alias("min_value"),
+        F.expr(f"CAST(max(high) FILTER (WHERE {known}) AS STRING)").alias("max_value"),
+        F.expr(f"sum(n) FILTER (WHERE e > {_NULL} OR e = {_ZERO})").alias("finite"),
+        F.expr(f"array_sort(collect_list(struct(e, hi, lo)) FILTER (WHERE e > {_NULL}))").alias("sums"),
+    )
+    mean = f"CASE WHEN finite > 0 THEN aggregate(sums, 0D, (a, p) -> a + (p.hi * 268435456D + p.lo) / finite {_power('p.e - 52')}) END AS avg_value"
+    return total.selectExpr(f"element_at(array({names}), i + 1) AS column_name", "value_count", "null_count", "nan_count", "infinite_count",
+                            "min_value", "max_value", mean)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Counts, minimum, maximum and average of every column, one row per column.
 
     Of doubles, NaN and infinite values are counted; minimum and maximum are exact
-    and leave out NaN, the average leaves out both. Nested columns have counts only.
+    and leave out NaN, the average leaves out both. Averages do not depend on the
+    order of rows. Nested columns have counts only.
 
     Every column is read once: texts and numbers are measured by separate
     aggregates, since one text would take all numbers out of the compiled path,
     and so are groups of columns of a wide table.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    texts = [f for f in fields if isinstance(f.dataType, T.StringType)]
-    others = [f for f in fields if not isinstance(f.dataType, T.StringType)]
+    return _union([*_plain_passes(df, fields), *_double_passes(df, fields)])
+
+
+def _double_passes(df: DataFrame, fields: Sequence[T.StructField]) -> list[DataFrame]:
+    kinds = [[f for f in fields if isinstance(f.dataType, kind)] for kind in (T.DoubleType, T.FloatType)]
+    return [_double_pass(df, kind) for kind in kinds if kind]
+
+
+def _plain_passes(df: DataFrame, fields: Sequence[T.StructField]) -> list[DataFrame]:
+    rest = [f for f in fields if not isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    texts = [f for f in rest if isinstance(f.dataType, T.StringType)]
+    others = [f for f in rest if not isinstance(f.dataType, T.StringType)]
     groups = [kind[i : i + PROFILE_GROUP] for kind in (others, texts) for i in range(0, len(kind), PROFILE_GROUP)]
-    return _union([_profile_pass(df, group) for group in groups])
+    return [_profile_pass(df, group) for group in groups]
 
 
 PROFILE = ("value_count", "null_count", "nan_count", "infinite_count", "min_value", "max_value", "avg_value")
 
 
 def profile_compare(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Profiles of both sides next to each other, with a verdict per column: all equal, and the averages equal but for
-    the order in which they were summed."""
+    """Profiles of both sides next to each other, with a verdict per column: all equal."""
     s = column_profile(source, columns).select("column_name", *[F.col(c).alias(f"src_{c}") for c in PROFILE])
     t = column_profile(target, columns).select("column_name", *[F.col(c).alias(f"tgt_{c}") for c in PROFILE])
-    same = reduce(lambda a, b: a & b, [F.col(f"src_{c}").eqNullSafe(F.col(f"tgt_{c}")) for c in PROFILE[:-1]])
-    a, b = F.col("src_avg_value"), F.col("tgt_avg_value")
-    near = a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= MEAN_TOLERANCE * F.greatest(F.abs(a), F.abs(b)), F.lit(False))
-    return s.join(t, "column_name", "full").withColumn("passed", same & near)
+    same = reduce(lambda a, b: a & b, [F.col(f"src_{c}").eqNullSafe(F.col(f"tgt_{c}")) for c in PROFILE])
+    return s.join(t, "column_name", "full").withColumn("passed", F.coalesce(same, F.lit(False)))
 
 
 # -- checks by request ---------------------------------------------------------

@@ -1,17 +1,20 @@
 """Grouping tables into size-bounded chunks, largest first, first fit.
 
 First fit looks at every earlier table of the batch, so its core is
-sequential. It is kept small: equal sizes are one run, runs are placed in
-blocks of bounded length, and only chunks that still have room travel from
-block to block. Unmeasured and zero-sized tables, and the numbering of tables
-inside a run, are distributed joins.
+sequential. It is kept small: equal sizes are one run, and the runs of a batch
+are read once, in falling order of size, as a stream. Behind it stands a tree
+of the room left in the chunks, which finds the first chunk with enough room in
+a number of steps that grows with the logarithm of the open chunks; full ones
+are dropped. Only stretches of runs come out; giving every table of a run its
+number, and its chunk, is distributed. Nothing runs before the result is asked
+for.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, GroupedData
@@ -19,19 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.sizing import GIB
-from ..sources.checkpoints import checkpointed
 
 # The placing function travels with its code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RUNS_PER_BLOCK = 50_000
 RANK_BUCKETS = 64
 RANKS_PER_PIECE = 10_000
+ROWS_OUT = 10_000
 
-_PLACED = (
-    "batch_id string, kind string, size bigint, n bigint, first_rank bigint, last_rank bigint,"
-    "chunk_id bigint, used bigint, tables bigint"
-)
+_PLACED = "batch_id string, size bigint, first_rank bigint, last_rank bigint, chunk_id bigint"
 
 
 def count_caps(records: DataFrame, max_chunks: int | None) -> DataFrame:
@@ -44,119 +43,122 @@ def _caps(grouped: GroupedData, total: Column, max_chunks: int | None) -> DataFr
     return grouped.agg(total.alias("total"), cap.cast("bigint").alias("count_cap"))
 
 
-def _place(runs: pd.DataFrame, state: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """First fit of one block of runs (size, n) into the open chunks of a batch."""
-    chunks = state[state["kind"] == "open"].sort_values("chunk_id")
-    ids = chunks["chunk_id"].to_numpy(np.int64)
-    used = chunks["used"].to_numpy(np.int64)
-    tables = chunks["tables"].to_numpy(np.int64)
-    last = state[state["kind"] == "next"]["chunk_id"]
-    opened = int(last.iloc[0]) if len(last) else 0
-    if len(runs):
-        batch, cap = runs["batch_id"].iloc[0], runs["count_cap"].iloc[0]
-    else:
-        batch, cap = state["batch_id"].iloc[0], None
-    cap = np.iinfo(np.int64).max if cap is None or pd.isna(cap) else int(cap)
-    placed = []
-    ordered = runs.sort_values("size", ascending=False)
-    for size, n in zip(ordered["size"].tolist(), ordered["n"].tolist()):
+class RoomTree:
+    """Chunks in the order of their ids, each with the room it has left; every inner node holds the most room below it."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.width = 1
+        self.most = [0, 0]
+
+    def first(self, size: int) -> int:
+        """Place of the first chunk with room for ``size``, or -1."""
+        if self.most[1] < size:
+            return -1
+        node = 1
+        while node < self.width:
+            node *= 2
+            if self.most[node] < size:
+                node += 1
+        return node - self.width
+
+    def room(self, place: int) -> int:
+        return self.most[self.width + place]
+
+    def change(self, place: int, room: int) -> None:
+        node = self.width + place
+        self.most[node] = room
+        while node > 1:
+            node //= 2
+            self.most[node] = max(self.most[2 * node], self.most[2 * node + 1])
+
+    def add(self, chunk_id: int, room: int) -> None:
+        """One more chunk behind the others; a full one is left out."""
+        if room <= 0:
+            return
+        if len(self.ids) == self.width:
+            self._rebuild()
+        self.ids.append(chunk_id)
+        self.change(len(self.ids) - 1, room)
+
+    def _rebuild(self) -> None:
+        """Without the chunks that are full, and with as many free places as chunks."""
+        kept = [(i, r) for i, r in zip(self.ids, self.most[self.width :], strict=False) if r > 0]
+        self.ids = [i for i, _ in kept]
+        self.width = 1 << len(kept).bit_length()
+        self.most = [0] * self.width + [r for _, r in kept] + [0] * (self.width - len(kept))
+        for node in range(self.width - 1, 0, -1):
+            self.most[node] = max(self.most[2 * node], self.most[2 * node + 1])
+
+
+class Batch:
+    """First fit of the runs of one batch, which come in falling order of size."""
+
+    def __init__(self, capacity: int, cap: int | None):
+        self.capacity, self.cap = capacity, cap
+        self.tree = RoomTree()
+        self.tables: list[int] = []  # of every chunk; ids are places plus 1
+
+    def run(self, size: int, n: int) -> Iterator[tuple[int, int, int]]:
+        """(first rank, last rank, chunk) of every stretch of a run of ``n`` tables."""
         rank = 0
-        fit = np.minimum((capacity - used) // size, cap - tables)
-        for at in np.flatnonzero(fit > 0):
-            take = min(int(fit[at]), n - rank)
-            placed.append((size, n, rank, rank + take - 1, int(ids[at])))
-            used[at] += take * size
-            tables[at] += take
+        for chunk, most in self._zero_room(n) if size == 0 else self._room(size):
+            take = min(most, n - rank)
+            self._put(chunk, take, size)
+            yield rank, rank + take - 1, chunk
             rank += take
             if rank == n:
-                break
-        if rank < n:
-            per_chunk = min(max(1, capacity // size), cap)
-            starts = np.arange(rank, n, per_chunk)
-            takes = np.minimum(per_chunk, n - starts)
-            new_ids = opened + 1 + np.arange(len(starts))
-            opened += len(starts)
-            placed.extend((size, n, int(a), int(a + k - 1), int(c)) for a, k, c in zip(starts, takes, new_ids))
-            ids = np.concatenate([ids, new_ids])
-            used = np.concatenate([used, takes * size])
-            tables = np.concatenate([tables, takes])
-        room = (used < capacity) & (tables < cap)
-        if not room.all():
-            ids, used, tables = ids[room], used[room], tables[room]
-    out = pd.DataFrame(placed, columns=["size", "n", "first_rank", "last_rank", "chunk_id"]).assign(kind="run")
-    left = pd.DataFrame({"chunk_id": ids, "used": used, "tables": tables}).assign(kind="open")
-    end = pd.DataFrame({"chunk_id": [opened]}).assign(kind="next")
-    rows = pd.concat([out, left, end], ignore_index=True).assign(batch_id=batch)
-    fields = ["batch_id", "kind", "size", "n", "first_rank", "last_rank", "chunk_id", "used", "tables"]
-    return rows[fields].astype({f: "Int64" for f in fields[2:]})
-
-
-def _placements(runs: DataFrame, capacity: int, blocks: int) -> DataFrame:
-    """Chunk per stretch of every run of non-zero sizes."""
-    if blocks <= 1:
-        def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-            return _place(pdf, pd.DataFrame(columns=["kind", "chunk_id", "used", "tables", "batch_id"]), capacity)
-
-        return runs.groupBy("batch_id").applyInPandas(whole, _PLACED).where(F.col("kind") == "run")
-
-    def step(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        return _place(pdf, state, capacity)
-
-    cuts = [i / blocks for i in range(1, blocks)]
-    bounds = runs.groupBy("batch_id").agg(F.percentile_approx("size", cuts, 10_000).alias("bounds"))
-    block = F.size(F.filter("bounds", lambda b: b >= F.col("size")))
-    numbered = checkpointed(runs.join(bounds, "batch_id").withColumn("block", block).drop("bounds"))
-    state = numbered.sparkSession.createDataFrame([], _PLACED)
-    parts = []
-    for k in range(blocks):
-        part = numbered.where(F.col("block") == k).drop("block")
-        result = checkpointed(
-            part.groupBy("batch_id").cogroup(state.groupBy("batch_id")).applyInPandas(step, _PLACED)
-        )
-        parts.append(result.where(F.col("kind") == "run"))
-        state = result.where(F.col("kind") != "run")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _zero_placements(placed: DataFrame, zeros: DataFrame) -> DataFrame:
-    """Chunk per stretch of the zero-sized run: chunks in order while the count cap allows, then new ones."""
-    fill = placed.groupBy("batch_id", "chunk_id").agg(
-        F.sum(F.col("last_rank") - F.col("first_rank") + 1).alias("tables")
-    )
-    by_chunk = Window.partitionBy("batch_id").orderBy("chunk_id")
-    free = F.greatest(F.col("count_cap") - F.col("tables"), F.lit(0))
-    slots = fill.join(zeros, "batch_id").where(F.col("count_cap").isNotNull()).withColumn("free", free)
-    slots = slots.withColumn("before", F.coalesce(F.sum("free").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    inside = slots.where((F.col("free") > 0) & (F.col("before") < F.col("n"))).select(
-        "batch_id", "n", F.col("before").alias("first_rank"),
-        (F.least(F.col("before") + F.col("free"), F.col("n")) - 1).alias("last_rank"), "chunk_id",
-    )
-    totals = fill.groupBy("batch_id").agg(F.max("chunk_id").alias("opened"))
-    room = slots.groupBy("batch_id").agg(F.sum("free").alias("room"))
-    rest = (
-        zeros.join(totals, "batch_id", "left")
-        .join(room, "batch_id", "left")
-        .withColumns({"opened": F.coalesce("opened", F.lit(0)), "room": F.coalesce("room", F.lit(0))})
-    )
-    # without a cap everything goes to the first chunk
-    uncapped = rest.where(F.col("count_cap").isNull()).select(
-        "batch_id", "n", F.lit(0).cast("bigint").alias("first_rank"), (F.col("n") - 1).alias("last_rank"),
-        F.lit(1).cast("bigint").alias("chunk_id"),
-    )
-    start = F.col("room") + F.col("i") * F.col("count_cap")
-    opened = (
-        rest.where(F.col("count_cap").isNotNull() & (F.col("room") < F.col("n")))
-        .withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil((F.col("n") - F.col("room")) / F.col("count_cap")) - 1)))
-        .select(
-            "batch_id", "n", start.alias("first_rank"),
-            (F.least(start + F.col("count_cap"), F.col("n")) - 1).alias("last_rank"),
-            (F.col("opened") + 1 + F.col("i")).alias("chunk_id"),
-        )
-    )
-    return inside.unionByName(uncapped).unionByName(opened).withColumn("size", F.lit(0).cast("bigint"))
+                return
+        per_chunk = n if size == 0 else max(1, self.capacity // size)
+        per_chunk = per_chunk if self.cap is None else min(per_chunk, self.cap)
+        while rank < n:
+            take = min(per_chunk, n - rank)
+            self.tables.append(take)
+            full = self.cap is not None and take >= self.cap
+            self.tree.add(len(self.tables), 0 if full else self.capacity - take * size)
+            yield rank, rank + take - 1, len(self.tables)
+            rank += take
+
+    def _room(self, size: int) -> Iterator[tuple[int, int]]:
+        while (place := self.tree.first(size)) >= 0:
+            self.place = place
+            chunk = self.tree.ids[place]
+            fit = self.tree.room(place) // size
+            yield chunk, fit if self.cap is None else min(fit, self.cap - self.tables[chunk - 1])
+
+    def _zero_room(self, n: int) -> Iterator[tuple[int, int]]:
+        """Tables without a size fit wherever the number of tables allows it; they come last."""
+        for at, tables in enumerate(self.tables):
+            free = n if self.cap is None else self.cap - tables
+            if free > 0:
+                yield at + 1, free
+
+    def _put(self, chunk: int, take: int, size: int) -> None:
+        self.tables[chunk - 1] += take
+        if size:
+            full = self.cap is not None and self.tables[chunk - 1] >= self.cap
+            self.tree.change(self.place, 0 if full else self.tree.room(self.place) - take * size)
+
+
+def _stretches(runs: DataFrame, capacity: int) -> DataFrame:
+    """Chunk per stretch of every run. One task reads a batch as a stream and holds its open chunks only."""
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fields = ["batch_id", "size", "first_rank", "last_rank", "chunk_id"]
+        name, batch, out = None, None, []
+        for frame in frames:
+            for batch_id, size, n, cap in zip(*(frame[c].tolist() for c in ("batch_id", "size", "n", "count_cap")), strict=True):
+                if batch is None or batch_id != name:
+                    name, batch = batch_id, Batch(capacity, None if pd.isna(cap) else int(cap))
+                out += [(batch_id, size, *stretch) for stretch in batch.run(size, n)]
+                if len(out) >= ROWS_OUT:
+                    yield pd.DataFrame(out, columns=fields)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=fields)
+
+    ordered = runs.repartition("batch_id").sortWithinPartitions("batch_id", F.desc("size"))
+    return ordered.mapInPandas(place, _PLACED)
 
 
 def run_ranks(rows: DataFrame) -> DataFrame:
@@ -167,9 +169,9 @@ def run_ranks(rows: DataFrame) -> DataFrame:
     earlier partitioning by batch and size can stand in for.
     """
     bucket = F.pmod(F.xxhash64("migration_id"), F.lit(RANK_BUCKETS)).cast("int")
-    rows = rows.withColumn("bucket", bucket).withColumn("part", F.concat_ws("|", "batch_id", "size", "bucket"))
-    counts = rows.groupBy("part", "batch_id", "size", "bucket").agg(F.count("*").alias("c"))
-    before = Window.partitionBy("batch_id", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("bucket", bucket).withColumn("part", F.concat_ws("|", "batch_key", "size", "bucket"))
+    counts = rows.groupBy("part", "batch_key", "size", "bucket").agg(F.count("*").alias("c"))
+    before = Window.partitionBy("batch_key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).select("part", "offset")
     inside = Window.partitionBy("part").orderBy("migration_id")
     return (
@@ -180,54 +182,34 @@ def run_ranks(rows: DataFrame) -> DataFrame:
     )
 
 
-def pack_chunks(
-    records: DataFrame,
-    capacity_gb: float = 50.0,
-    max_chunks: int | None = None,
-    runs_per_block: int = RUNS_PER_BLOCK,
-) -> DataFrame:
+def _batch_key() -> Column:
+    """A batch as a text that is never null, so that rows without one meet as well."""
+    return F.coalesce(F.concat(F.lit("b"), "batch_id"), F.lit("")).alias("batch_key")
+
+
+def pack_chunks(records: DataFrame, capacity_gb: float = 50.0, max_chunks: int | None = None) -> DataFrame:
     """``batch_id, migration_id, size_in_bytes, chunk_id`` for every record.
 
     A chunk holds at most ``capacity_gb``; a larger table stands alone. Tables
     without a size fit anywhere. With ``max_chunks`` a chunk holds at most
     ceil(tables of the batch / max_chunks) tables. Ids start at 1 per batch.
     """
-    capacity = int(capacity_gb * GIB)
     rows = records.select(
-        "batch_id", "migration_id", "size_in_bytes",
+        _batch_key(), "batch_id", "migration_id", "size_in_bytes",
         F.coalesce("size_in_bytes", F.lit(0)).cast("bigint").alias("size"),
     )
     runs = rows.groupBy("batch_id", "size").agg(F.count("*").alias("n"))
-    runs = runs.join(_caps(runs.groupBy("batch_id"), F.sum("n"), max_chunks).drop("total"), "batch_id")
-    # far fewer rows than records, and read by every later step
-    runs = checkpointed(runs)
-    per_batch = runs.groupBy("batch_id").agg(
-        F.count_if(F.col("size") > 0).alias("runs"), F.count_if(F.col("size") == 0).alias("zeros")
-    )
-    shape = per_batch.agg(F.max("runs").alias("longest"), F.max("zeros").alias("zeros")).first()
-    blocks = -(-(shape.longest or 0) // runs_per_block)
-    fields = ["batch_id", "size", "n", "first_rank", "last_rank", "chunk_id"]
-    stretches = checkpointed(_placements(runs.where(F.col("size") > 0), capacity, blocks).select(*fields))
-    if shape.zeros:
-        zeros = runs.where(F.col("size") == 0).select("batch_id", "n", "count_cap")
-        stretches = checkpointed(stretches.unionByName(_zero_placements(stretches, zeros)))
-    complete: Column = F.col("last_rank") - F.col("first_rank") + 1 == F.col("n")
-    result = ["batch_id", "migration_id", "size_in_bytes", F.col("chunk_id").cast("int").alias("chunk_id")]
-    whole = stretches.where(complete).select("batch_id", "size", "chunk_id")
-    packed = rows.join(whole, ["batch_id", "size"]).select(*result)
-    parts = stretches.where(~complete)
-    if parts.isEmpty():
-        return packed
-    # stretches of a split run, one row per rank, met by equality
-    split = (
-        parts
+    caps = _caps(runs.groupBy("batch_id"), F.sum("n"), max_chunks).drop("total")
+    capped = runs.join(caps.withColumnRenamed("batch_id", "b"), F.col("batch_id").eqNullSafe(F.col("b"))).drop("b")
+    # one row per table of a stretch, met by its number in its run
+    numbered = (
+        _stretches(capped, int(capacity_gb * GIB))
         .withColumn("piece", F.explode(F.sequence("first_rank", "last_rank", F.lit(RANKS_PER_PIECE).cast("bigint"))))
         .withColumn("rank", F.explode(F.sequence("piece", F.least(F.col("piece") + RANKS_PER_PIECE - 1, F.col("last_rank")))))
-        .select("batch_id", "size", "rank", "chunk_id")
+        .select(_batch_key(), "size", "rank", F.col("chunk_id").cast("int").alias("chunk_id"))
     )
-    in_split = rows.join(parts.select("batch_id", "size").distinct(), ["batch_id", "size"], "left_semi")
-    placed = run_ranks(in_split).join(split, ["batch_id", "size", "rank"])
-    return packed.unionByName(placed.select(*result))
+    placed = run_ranks(rows).join(numbered, ["batch_key", "size", "rank"])
+    return placed.select("batch_id", "migration_id", "size_in_bytes", "chunk_id")
 
 
 def chunk_summary(rows: DataFrame) -> DataFrame:
@@ -237,3 +219,45 @@ def chunk_summary(rows: DataFrame) -> DataFrame:
         .groupBy("batch_id", "chunk_id")
         .agg(F.count("*").alias("tables"), F.sum("size_in_bytes").alias("total_bytes"))
     )
+
+
+def pack_invariants(packed: DataFrame, capacity_gb: float = 50.0, max_chunks: int | None = None) -> DataFrame:
+    """What first fit promises, counted per batch of a result of :func:`pack_chunks`.
+
+    ``tables``, ``chunks``, ``dense`` (ids run from 1 without a gap), ``over_capacity`` (chunks of several measured
+    tables beyond the capacity), ``over_count`` (chunks beyond the cap on tables) and ``earlier_room`` (chunks that had
+    room for the first table of a later chunk when that was opened). No pair of chunks is formed: each stretch of a
+    chunk's life looks up the next smaller opening table.
+    """
+    capacity = int(capacity_gb * GIB)
+    rows = packed.select("batch_id", "chunk_id", F.coalesce("size_in_bytes", F.lit(0)).cast("bigint").alias("size"))
+    caps = _caps(rows.groupBy("batch_id"), F.count("*"), max_chunks)
+    chunks = rows.groupBy("batch_id", "chunk_id").agg(
+        F.count("*").alias("n"), F.sum("size").alias("used"), F.count_if(F.col("size") > 0).alias("measured"), F.max("size").alias("opener"))
+    known = chunks.join(caps.withColumnRenamed("batch_id", "b"), F.col("batch_id").eqNullSafe(F.col("b"))).drop("b")
+    over = F.count_if((F.col("used") > capacity) & (F.col("measured") > 1)), F.count_if(F.col("n") > F.col("count_cap"))
+    counted = known.groupBy("batch_id").agg(
+        F.sum("n").alias("tables"), F.count("*").alias("chunks"),
+        ((F.min("chunk_id") == 1) & (F.max("chunk_id") == F.count("*"))).alias("dense"), over[0].alias("over_capacity"), over[1].alias("over_count"))
+    # Room of a chunk while tables of sizes in (next_size, size] are placed: the capacity less its tables of that size and above.
+    life = Window.partitionBy("batch_id", "chunk_id").orderBy(F.desc("size"))
+    stages = rows.where("size > 0").groupBy("batch_id", "chunk_id", "size").agg(F.count("*").alias("k")).select(
+        "batch_id", "chunk_id", "size", F.lead("size", 1, 0).over(life).alias("next_size"),
+        F.sum(F.col("size") * F.col("k")).over(life).alias("filled"), F.sum("k").over(life).alias("held"))
+    stages = stages.join(known.select("batch_id", "chunk_id", "opener", "count_cap").withColumnsRenamed({"batch_id": "b", "chunk_id": "c"}),
+                         F.col("batch_id").eqNullSafe(F.col("b")) & (F.col("chunk_id") == F.col("c"))).drop("b", "c")
+    free = (F.col("count_cap").isNull() | (F.col("held") < F.col("count_cap"))) & (F.col("filled") < capacity)
+    top = F.least("size", F.lit(capacity) - F.col("filled"), F.when(F.col("size") == F.col("opener"), F.col("size") - 1))
+    points = stages.where(free).select("batch_id", top.alias("v"), F.col("next_size").alias("low"), "chunk_id", F.lit(None).cast("bigint").alias("opens"))
+    openers = chunks.where("opener > 0").select("batch_id", F.col("opener").alias("v"), F.lit(None).cast("bigint").alias("low"), "chunk_id", F.col("opener").alias("opens"))
+    by_size = Window.partitionBy("batch_id").orderBy("v", F.col("opens").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    below = points.unionByName(openers).withColumn("next_opener", F.last("opens", ignorenulls=True).over(by_size))
+    late = below.where(F.col("low").isNotNull() & (F.col("next_opener") > F.col("low"))).select("batch_id", "chunk_id")
+    # chunks opened by tables of one size, with room for one more
+    same = Window.partitionBy("batch_id", "opener")
+    first = stages.where(free & (F.col("size") == F.col("opener"))).withColumn("fits", F.col("filled") + F.col("size") <= capacity)
+    last = chunks.withColumn("last_chunk", F.max("chunk_id").over(same)).select(F.col("batch_id").alias("b"), F.col("chunk_id").alias("c"), "last_chunk")
+    twins = first.join(last, F.col("batch_id").eqNullSafe(F.col("b")) & (F.col("chunk_id") == F.col("c"))).where(
+        F.col("fits") & (F.col("last_chunk") > F.col("chunk_id"))).select("batch_id", "chunk_id")
+    broken = late.unionByName(twins).distinct().groupBy(F.col("batch_id").alias("b")).agg(F.count("*").alias("earlier_room"))
+    return counted.join(broken, F.col("batch_id").eqNullSafe(F.col("b")), "left").drop("b").na.fill(0, ["earlier_room"])

@@ -82,12 +82,34 @@ def test_profile_values(spark):
 @pytest.mark.parametrize("a, b, same", [
     ([1e33, 2e33], [2e33, 1e33], True), ([1e33, 1.5e33, 2e33], [1e33, 1.9e33, 2e33], False), ([1e-9], [2e-7], False),
     ([1.0, float("nan")], [1.0, 1.0], False), ([1.0, float("inf")], [1.0, 1.0], False), ([0.0], [-0.0], True),
-    ([0.1, 0.2, 0.3], [0.3, 0.2, 0.1], True)])
+    ([0.1, 0.2, 0.3], [0.3, 0.2, 0.1], True), ([1e308, 1e308], [1e308, 1.1e308], False), ([1e308, 1e308], [1e308, 1e308], True),
+    ([5e-324, 1e-310], [1e-310, 5e-324], True), ([1e16, 1.0, -1e16], [-1e16, 1e16, 1.0], True), ([1e16, 1.0, -1e16], [1e16, 0.0, -1e16], False)])
 def test_profiles_of_any_double(spark, a, b, same):
     x, y = (spark.createDataFrame([(v,) for v in values], "d double") for values in (a, b))
     assert compare.profile_compare(x, y).first().passed == same
 
 
+def test_means_of_doubles_do_not_depend_on_the_order_of_rows(spark):
+    import math
+    import random
+
+    r = random.Random(4)
+    values = [r.uniform(-1, 1) * 2.0 ** r.randrange(-300, 300) for _ in range(3000)] + [2.0**k for k in range(-1074, 1023, 7)] + [0.0, -0.0]
+    values += [math.nextafter(2.0**k, 0) for k in range(-1000, 1023, 11)]
+    schema = "d double, f float, n decimal(38,4), m decimal(12,2)"
+    rows = [(v, v if 1e-30 < abs(v) < 1e30 else 0.5, None, None) for v in values]
+    a = spark.createDataFrame(rows, schema).repartition(1)
+    b = spark.createDataFrame(r.sample(rows, len(rows)), schema).repartition(7)
+    out = {x.column_name: x for x in compare.profile_compare(a, b).collect()}
+    assert out["d"].passed and out["f"].passed
+    assert out["d"].src_avg_value == pytest.approx(math.fsum(v / len(values) for v in values), rel=1e-14)
+    huge = compare.column_profile(spark.createDataFrame([(1e308,), (1e308,)], "d double")).first()
+    assert huge.avg_value == 1e308
+    whole = spark.sql("SELECT CAST(id * 1234567890123456789.25 AS DECIMAL(38,4)) AS n, CAST(id / 4 AS DECIMAL(12,2)) AS m FROM range(1, 5)")
+    got = {x.column_name: x.avg_value for x in compare.column_profile(whole).collect()}
+    assert got["n"] == pytest.approx(1234567890123456789.25 * 2.5, rel=1e-14) and got["m"] == 0.625
+
+
 def test_types_may_differ(spark):
     a, b = spark.range(50).select(F.col("id").cast("int").alias("k")), spark.range(50).select(F.col("id").alias("k"))
     assert compare.multiset_verdicts({"t": (a, b)}).first().passed
