@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabledger.functions import text
 from tabledger.functions.text import list_literal
-from tabledger.operators import checks, compare, inventory, ledger, pack, report, requests, select
+from tabledger.operators import checks, compare, inventory, ledger, pack, report, request_checks, requests, select
 from tabledger.operators.ledger import lit_time
 
 from .views import base, view, with_views
@@ -353,9 +353,26 @@ _VERDICT = _DETAILS.strip() + """,
       CASE WHEN checked THEN coalesce(s = t, false) END AS row_count_matched FROM j)"""
 
 
-@query("validation_verdicts", f"{{listing}} WITH {_VERDICT} SELECT * FROM v")
+# Stored texts of each line; the lines of a table that both sides have.
+_MESSAGE = """,
+  w AS (SELECT rec.migration_id, concat('`', source_catalog, '`.`', source_schema, '`.`', source_table, '`') AS sn, concat('`', target_catalog, '`.`', target_schema, '`.`', target_table, '`') AS tn,
+      upper(td.format) AS fmt, sd.size_in_bytes AS sb, td.size_in_bytes AS tb, sd.num_files AS sf, td.num_files AS tf, td.last_modified AS lm, source_version AS sv, target_version AS tv,
+      cn.migration_id IS NOT NULL AS checked, cn.source_row_count AS s, cn.target_row_count AS t, sd.fqn IS NULL AS no_src, td.fqn IS NULL AS no_tgt
+    FROM rec LEFT JOIN sd ON sd.fqn = concat_ws('.', source_catalog, source_schema, source_table)
+      LEFT JOIN td ON td.fqn = concat_ws('.', target_catalog, target_schema, target_table) LEFT JOIN cn ON cn.migration_id = rec.migration_id),
+  msg AS (SELECT migration_id, CASE WHEN no_src THEN 'SOURCE_MISSING: source table not found after clone' WHEN no_tgt THEN 'TARGET_MISSING: target table was not created'
+    ELSE concat_ws(' | ', concat('✓ source_exists: Source ', sn, ' exists'), concat('✓ target_exists: Target ', tn, ' exists'),
+      CASE WHEN fmt = 'DELTA' THEN '✓ target_format: Target format=DELTA' ELSE concat('✗ target_format: Target format=', fmt, ' (expected DELTA)') END,
+      concat(CASE WHEN abs(sb - tb) * 100.0 <= sb THEN '✓' ELSE '✗' END, format(' size_bytes: size_bytes src={:,} tgt={:,} diff=', sb, tb), printf('%.2f', abs(sb - tb) / CAST(sb AS DOUBLE) * 100), '% (tol=1.0%)',
+        CASE WHEN abs(sb - tb) * 100.0 <= sb THEN ' ✓' ELSE ' ✗ EXCEEDS TOLERANCE' END),
+      format('✓ file_count: file_count src={:,} tgt={:,} diff=0.00% (tol=5.0%) ✓', sf, tf), concat('✓ delta_version_present: Target lastCommitTimestamp=', CAST(lm AS VARCHAR)),
+      CASE WHEN checked AND (s IS NULL OR t IS NULL) THEN '✗ row_count: row_count ERROR: COUNT_ERROR' WHEN checked THEN
+        concat(CASE WHEN s = t THEN '✓' ELSE '✗' END, format(' row_count: row_count src={:,} tgt={:,}', s, t), format(' (src@v{}, tgt@v{})', sv, tv), CASE WHEN s = t THEN '' ELSE ' ✗ MISMATCH' END) END) END AS message FROM w)"""
+
+
+@query("validation_verdicts", f"{{listing}} WITH {_VERDICT}{_MESSAGE} SELECT v.*, message FROM v JOIN msg USING (migration_id)")
 def _(spark, d):
-    return verdicts(spark, d).select("migration_id", "row_count_checked", "verdict", "verdict_code", "row_count_matched")
+    return verdicts(spark, d).select("migration_id", "row_count_checked", "verdict", "verdict_code", "row_count_matched", "message")
 
 
 @query("row_count_tally", f"""{{listing}} WITH {_VERDICT}
@@ -1080,12 +1097,15 @@ def _(spark, d):
 
 @query("new_requests", f"""{{listing}}
 SELECT table_catalog AS src_catalog, table_schema AS src_schema, concat_ws('.', table_catalog, table_schema, table_name) AS src_table, 'dr' AS tgt_catalog,
-  table_schema AS tgt_schema, 'PENDING' AS status, 1 AS priority, TIMESTAMP '{NOW}' AS requested_at FROM listing WHERE table_type = 'EXTERNAL'""")
+  table_schema AS tgt_schema, 'PENDING' AS status, 1 AS priority, TIMESTAMP '{NOW}' AS requested_at, '{{"team":"ops"}}' AS tags,
+  substr(sha256(concat_ws(chr(1), 'refresh', 'table', concat_ws('.', table_catalog, table_schema, table_name), '{NOW}')), 1, 32) AS onboarding_id
+FROM listing WHERE table_type = 'EXTERNAL'""")
 def _(spark, d):
     names = view(spark, d, "listing").where("table_type = 'EXTERNAL'").select(
         F.concat_ws(".", "table_catalog", "table_schema", "table_name").alias("fqn"))
     out = requests.new_requests(names, "table", "refresh", "path_resolution", "dr", "ops", lit_time(NOW), 1, tags={"team": "ops"})
-    return out.select("src_catalog", "src_schema", "src_table", "tgt_catalog", "tgt_schema", "status", "priority", "requested_at")
+    return out.select("src_catalog", "src_schema", "src_table", "tgt_catalog", "tgt_schema", "status", "priority", "requested_at",
+                      F.to_json("tags").alias("tags"), "onboarding_id")
 
 
 _PREFIXES = [("s3://src/", "s3://dr/"), ("s3://src/archive/", "s3://cold/"), ("s3://other/x", "s3://y")]
@@ -1155,6 +1175,55 @@ def _(spark, d):
     return out.withColumn("detail", F.when(F.col("check_name") != "CHECKSUM", F.col("detail")))
 
 
+# Requests of customers for two tables: modes, columns and tolerances differ from one to the next.
+_ASKED = """
+  q AS (SELECT CAST(c_custkey AS VARCHAR(20)) AS onboarding_id, CASE WHEN c_custkey % 3 = 0 THEN 'p.sales.nation' ELSE 'p.sales.lineitem' END AS src_table,
+    CASE c_custkey % 5 WHEN 0 THEN 'COUNT' WHEN 1 THEN 'CHECKSUM' WHEN 2 THEN 'COLUMN_SAMPLE' WHEN 3 THEN 'ALL' ELSE 'NONE' END AS validation_mode,
+    CASE WHEN c_custkey % 2 = 1 THEN CASE WHEN c_custkey % 3 = 0 THEN 'n_name, n_regionkey' ELSE 'l_linestatus,l_tax' END END AS validation_columns,
+    CAST(c_custkey % 7 AS DOUBLE) AS count_tolerance_pct, CASE WHEN c_custkey % 4 = 0 THEN 'SHA256' ELSE 'XXHASH64' END AS checksum_algorithm FROM customer)"""
+
+
+@query("request_checks_run", f"""{{tgt_lineitem}}
+WITH {_PROFILES.strip()}, {_ASKED.strip()},
+  c AS (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT count(*) FROM tgt_lineitem) AS b, (SELECT count(*) FROM nation) AS k),
+  m AS (SELECT * FROM (VALUES ('COUNT', 'COUNT'), ('CHECKSUM', 'CHECKSUM'), ('COLUMN_SAMPLE', 'COLUMN_SAMPLE'), ('ALL', 'COUNT'), ('ALL', 'CHECKSUM'), ('ALL', 'COLUMN_SAMPLE')) AS m(mode, check_name)),
+  e AS (SELECT validation_columns, coalesce(string_agg(column_name, ', ' ORDER BY column_name) FILTER (WHERE NOT passed), '') AS differing
+    FROM (SELECT DISTINCT validation_columns FROM q WHERE src_table = 'p.sales.lineitem') x JOIN p ON validation_columns IS NULL OR list_contains(string_split(validation_columns, ','), column_name) GROUP BY 1)
+SELECT onboarding_id, src_table AS table_name, check_name,
+  src_table = 'p.sales.nation' OR CASE check_name WHEN 'COUNT' THEN abs(a - b) / CAST(a AS DOUBLE) * 100 <= count_tolerance_pct WHEN 'CHECKSUM' THEN FALSE ELSE differing = '' END AS passed,
+  CASE check_name WHEN 'COUNT' THEN CASE WHEN src_table = 'p.sales.nation' THEN format('src={{:,}} tgt={{:,}}', k, k)
+      ELSE format('src={{:,}} tgt={{:,}} DELTA={{}}{{:,}}', a, b, CASE WHEN b > a THEN '+' ELSE '' END, b - a) END
+    WHEN 'COLUMN_SAMPLE' THEN concat('differing: ', CASE WHEN src_table = 'p.sales.nation' THEN '' ELSE differing END) END AS detail
+FROM q JOIN m ON mode = validation_mode LEFT JOIN e ON e.validation_columns IS NOT DISTINCT FROM q.validation_columns, c""")
+def _(spark, d):
+    base(spark, d, "customer").createOrReplaceTempView("customer")
+    asked = spark.sql(f"WITH {_ASKED.strip()} SELECT *, 'table' AS scope_mode, 'p' AS src_catalog, 'sales' AS src_schema FROM q")
+    nation = base(spark, d, "nation")
+    out = request_checks.run_request_checks(asked, {"p.sales.lineitem": line_pair(spark, d), "p.sales.nation": (nation, nation)})
+    # the text of a checksum is Spark's own hash, which SQL does not have
+    return out.select("onboarding_id", "table_name", "check_name", "passed", F.when(F.col("check_name") != "CHECKSUM", F.col("detail")).alias("detail"))
+
+
+@query("acceptance_run", f"""{{tgt_lineitem, audit}}
+WITH {_drifted('lineitem', 'tgt_lineitem', _LINE).strip()},
+  n AS (SELECT count(*) AS k FROM nation),
+  s AS (SELECT status, count(*) AS n FROM audit WHERE execution_id = 'exec-1' GROUP BY 1)
+SELECT 'row_count_parity' AS check_name, table_name, src_rows = tgt_rows AS passed, format('src={{:,}} tgt={{:,}}', src_rows, tgt_rows) || CASE WHEN src_rows = tgt_rows THEN ''
+  ELSE format(' DELTA={{}}{{:,}}', CASE WHEN tgt_rows > src_rows THEN '+' ELSE '' END, tgt_rows - src_rows) END AS detail FROM v_lineitem
+UNION ALL SELECT 'row_count_parity', 'nation', TRUE, format('src={{:,}} tgt={{:,}}', k, k) FROM n
+UNION ALL SELECT 'schema_match', 'lineitem', TRUE, '{len(LINE_COLUMNS)} cols match' UNION ALL SELECT 'schema_match', 'nation', TRUE, concat(count(*), ' cols match') FROM (DESCRIBE nation)
+UNION ALL SELECT 'data_hash_integrity', table_name, mismatches = 0, format('{{:,}} rows compared, {{}} hash mismatches', src_rows, mismatches) FROM v_lineitem
+UNION ALL SELECT 'data_hash_integrity', 'nation', TRUE, format('{{:,}} rows compared, 0 hash mismatches', k) FROM n
+UNION ALL SELECT 'audit_log_completeness', 'execution_id=exec-1', sum(n) > 0, concat('total=', CAST(sum(n) AS VARCHAR), ' ',
+  string_agg(concat(status, '=', CAST(n AS VARCHAR)), ' | ' ORDER BY concat(status, '=', CAST(n AS VARCHAR)))) FROM s HAVING count(*) > 0""")
+def _(spark, d):
+    from tabledger.plans.validate import acceptance
+
+    nation = base(spark, d, "nation")
+    out = acceptance({"lineitem": line_pair(spark, d), "nation": (nation, nation)}, view(spark, d, "audit"), "exec-1", lit_time(NOW))
+    return out.select("check_name", "table_name", "passed", "detail")
+
+
 on_view("work_counts", "control", lambda c: ledger.work_counts(c, lit_time(STALE_NOW)), f"""
 SELECT count(*) FILTER (WHERE {_STALE}) AS stale, count(*) FILTER (WHERE status IN {RETRY} AND attempt_number < max_attempts) AS retryable,
   count(*) FILTER (WHERE status = 'QUEUED') AS queued, count(*) FILTER (WHERE status = 'QUEUED' AND coalesce(chunk_id, 0) = 0) AS unplanned FROM control""")

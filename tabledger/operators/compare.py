@@ -72,15 +72,19 @@ def row_count_parity(pairs: Pairs, tolerance_pct: float = 0.0) -> DataFrame:
         F.sum("src_rows").alias("src_rows"), F.sum("tgt_rows").alias("tgt_rows")
     )
     delta = F.col("tgt_rows") - F.col("src_rows")
+    return counted.select(
+        "table_name", "src_rows", "tgt_rows",
+        within_tolerance(F.col("src_rows"), F.col("tgt_rows"), tolerance_pct).alias("passed"), count_detail(delta).alias("detail"),
+    )
+
+
+def count_detail(delta: Column) -> Column:
+    """Text of a count check over columns ``src_rows`` and ``tgt_rows``."""
     signed = F.concat(F.when(delta > 0, "+").otherwise(""), F.format_number(delta, 0))
-    detail = F.concat(
+    return F.concat(
         F.lit("src="), F.format_number("src_rows", 0), F.lit(" tgt="), F.format_number("tgt_rows", 0),
         F.when(delta != 0, F.concat(F.lit(" DELTA="), signed)).otherwise(""),
     )
-    return counted.select(
-        "table_name", "src_rows", "tgt_rows",
-        within_tolerance(F.col("src_rows"), F.col("tgt_rows"), tolerance_pct).alias("passed"), detail.alias("detail"),
-    )
 
 
 def grouped_parity(
@@ -175,6 +179,12 @@ def aligned(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]
     return tuple(df.select(*[F.col(quoted(c)).cast(w).alias(c) for c, w in zip(names, want, strict=True)]) for df in (source, target))
 
 
+def aligned_on(source: DataFrame, target: DataFrame, columns: set[str]) -> tuple[DataFrame, DataFrame]:
+    """:func:`aligned` for the given columns alone; both sides have them."""
+    names = [c for c in source.columns if c in columns]
+    return aligned(*[df.select(*[F.col(quoted(c)) for c in names]) for df in (source, target)])
+
+
 def multiset_diff(pairs: Pairs, sample_percent: int = 100) -> DataFrame:
     """Row hashes whose number of copies differs between the sides.
 
@@ -297,7 +307,7 @@ PROFILE_GROUP = 8
 _NULL, _NAN, _INFINITE, _ZERO, _NO_ROWS = -5000, -5001, -5002, -5003, -5004
 
 
-def _profile_parts(fields: Sequence[T.StructField]) -> tuple[list[str], list[str]]:
+def profile_parts(fields: Sequence[T.StructField]) -> tuple[list[str], list[str]]:
     """Aggregates of the given columns (no doubles), and from them the profile of each, as SQL text over ``n`` (rows)."""
     # SQL text: building thousands of Column objects would take longer than the job
     aggs, shapes = [], []
@@ -333,7 +343,7 @@ def _literal(text: str) -> str:
 
 
 def _profile_pass(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
-    aggs, shapes = _profile_parts(fields)
+    aggs, shapes = profile_parts(fields)
     return df.selectExpr("count(*) AS n", *aggs).selectExpr(f"inline(array({', '.join(shapes)}))")
 
 
@@ -393,22 +403,30 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     and so are groups of columns of a wide table.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    return _union([*_plain_passes(df, fields), *_double_passes(df, fields)])
+    doubles = floating(fields)
+    parts = _plain_passes(df, [f for f in fields if f not in doubles])
+    return _union([*parts, double_profiles(df, doubles)] if doubles else parts)
+
+
+def floating(fields: Sequence[T.StructField]) -> list[T.StructField]:
+    return [f for f in fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
 
 
-def _double_passes(df: DataFrame, fields: Sequence[T.StructField]) -> list[DataFrame]:
+def double_profiles(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Profiles of columns of doubles and floats."""
     kinds = [[f for f in fields if isinstance(f.dataType, kind)] for kind in (T.DoubleType, T.FloatType)]
-    return [_double_pass(df, kind) for kind in kinds if kind]
+    return _union([_double_pass(df, kind) for kind in kinds if kind])
 
 
-def _plain_passes(df: DataFrame, fields: Sequence[T.StructField]) -> list[DataFrame]:
-    rest = [f for f in fields if not isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+def _plain_passes(df: DataFrame, rest: Sequence[T.StructField]) -> list[DataFrame]:
     texts = [f for f in rest if isinstance(f.dataType, T.StringType)]
     others = [f for f in rest if not isinstance(f.dataType, T.StringType)]
     groups = [kind[i : i + PROFILE_GROUP] for kind in (others, texts) for i in range(0, len(kind), PROFILE_GROUP)]
     return [_profile_pass(df, group) for group in groups]
 
 
+PROFILE_TYPE = ("struct<column_name:string,value_count:bigint,null_count:bigint,nan_count:bigint,infinite_count:bigint,"
+                "min_value:string,max_value:string,avg_value:double>")
 PROFILE = ("value_count", "null_count", "nan_count", "infinite_count", "min_value", "max_value", "avg_value")
 
 
