@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +23,10 @@ _SIDES = {
 }
 
 
+# Spark's own errors, and those that arrive without being translated.
+_FAILURES = (PySparkException, Py4JJavaError)
+
+
 def _counts(records: DataFrame, source: VersionStore, target: VersionStore) -> DataFrame:
     """Row counts of both sides, each at the version on record."""
     out = records.select("migration_id", *[c for side in _SIDES.values() for c in side])
@@ -59,43 +67,53 @@ def run_validation(
     return states_count | tally
 
 
-def acceptance(
-    pairs: compare.Pairs, audit: DataFrame, execution_id: str, now: Column,
-    expected_types: DataFrame | None = None, actual_types: DataFrame | None = None,
+def acceptance_checks(
+    pairs: compare.Pairs, expected_types: DataFrame | None = None, actual_types: DataFrame | None = None,
     source_details: DataFrame | None = None, target_details: DataFrame | None = None,
     manifest: DataFrame | None = None, sample_percent: int = 100,
-) -> DataFrame:
-    """Results of the seven acceptance checks in stored shape.
+) -> dict[str, Callable[[], DataFrame]]:
+    """Per check that has its inputs, what builds its results (table_name, passed, detail).
 
-    Checks whose inputs are not given are left out. Details have table_name and
-    partition_columns, types table_name and table_type.
+    Details have table_name and partition_columns, types table_name and table_type.
     """
-    tables = next(iter(pairs.values()))[0].sparkSession.createDataFrame([(n,) for n in pairs], "table_name string")
-    schemas = [compare.schema_rows({n: p[i] for n, p in pairs.items()}) for i in range(2)]
-    results = [
-        ("row_count_parity", compare.row_count_parity(pairs)),
-        ("schema_match", compare.schema_verdicts(*schemas)),
-        ("audit_log_completeness", checks.audit_completeness(audit.where(F.col("execution_id") == execution_id))
-         .withColumn("table_name", F.concat(F.lit("execution_id="), F.col("execution_id")))),
-    ]
-    same_columns = {n: p for n, p in pairs.items() if set(p[0].columns) == set(p[1].columns)}
-    if same_columns:
-        results.append(("data_hash_integrity", compare.multiset_verdicts(same_columns, sample_percent)))
-    unlike = [(n, False, "columns differ: " + ", ".join(sorted({*s.columns} ^ {*t.columns})))
-              for n, (s, t) in pairs.items() if n not in same_columns]
-    if unlike:
-        rows = tables.sparkSession.createDataFrame(unlike, "table_name string, passed boolean, detail string")
-        results.append(("data_hash_integrity", rows))
+    def spark():
+        return next(iter(pairs.values()))[0].sparkSession
+
+    def schemas() -> DataFrame:
+        return compare.schema_verdicts(*[compare.schema_rows({n: p[i] for n, p in pairs.items()}) for i in range(2)])
+
+    def hashes() -> DataFrame:
+        unlike = {n: sorted({*s.columns} ^ {*t.columns}) for n, (s, t) in pairs.items()}
+        same = {n: p for n, p in pairs.items() if not unlike[n]}
+        rows = [(n, False, "columns differ: " + ", ".join(names)) for n, names in unlike.items() if names]
+        failed = spark().createDataFrame(rows, "table_name string, passed boolean, detail string")
+        return failed.unionByName(compare.multiset_verdicts(same, sample_percent).select(*failed.columns)) if same else failed
+
+    def history() -> DataFrame:
+        return compare.history_check(spark().createDataFrame([(n,) for n in pairs], "table_name string"), manifest)
+
+    out = {"row_count_parity": lambda: compare.row_count_parity(pairs), "schema_match": schemas, "data_hash_integrity": hashes}
     if expected_types is not None and actual_types is not None:
-        results.append(("table_type_preserved", compare.table_type_check(expected_types, actual_types)))
+        out["table_type_preserved"] = lambda: compare.table_type_check(expected_types, actual_types)
     if source_details is not None and target_details is not None:
-        results.append(("partition_columns_match", compare.partition_columns_check(source_details, target_details)))
+        out["partition_columns_match"] = lambda: compare.partition_columns_check(source_details, target_details)
     if manifest is not None:
-        results.append(("delta_table_valid", compare.history_check(tables, manifest)))
-    stored = [checks.check_rows(rows, name, execution_id, now) for name, rows in results]
-    out = stored[0]
-    for rows in stored[1:]:
-        out = out.unionByName(rows)
+        out["delta_table_valid"] = history
+    return out
+
+
+def audit_result(audit: DataFrame, execution_id: str, now: Column) -> DataFrame:
+    """The result of the check of the audit log, which belongs to no table."""
+    found = checks.audit_completeness(audit.where(F.col("execution_id") == execution_id)).withColumn(
+        "table_name", F.concat(F.lit("execution_id="), F.col("execution_id")))
+    return checks.check_rows(found, "audit_log_completeness", execution_id, now)
+
+
+def acceptance(pairs: compare.Pairs, audit: DataFrame, execution_id: str, now: Column, **inputs) -> DataFrame:
+    """Results of the seven acceptance checks in stored shape; checks whose inputs are not given are left out."""
+    out = audit_result(audit, execution_id, now)
+    for name, build in acceptance_checks(pairs, **inputs).items():
+        out = out.unionByName(checks.check_rows(build(), name, execution_id, now))
     return out
 
 
@@ -106,31 +124,37 @@ def run_acceptance(
     """Runs the acceptance checks, stores their results and returns the pass rates.
 
     Many tables are checked in several jobs, so that no plan grows with the
-    number of tables; each job appends its results when it is done.
+    number of tables; each job appends its results when it is done. Where a job
+    fails, its tables are checked one by one and check by check, and each check
+    that fails leaves a failed row of its own.
     """
     names = list(pairs)
+    ledger.append("check_results", audit_result(audit, execution_id, now))
 
-    def run(group: dict, with_audit: bool) -> None:
+    def built(group: dict) -> dict[str, Callable[[], DataFrame]]:
         # inputs that list every table are cut down to the tables of this job
         own = {
             k: v.where(F.col("table_name").isin(*group)) if isinstance(v, DataFrame) else v for k, v in inputs.items()
         }
-        results = acceptance(group, audit, execution_id, now, **own)
-        ledger.append("check_results", results if with_audit else results.where(F.col("check_name") != "audit_log_completeness"))
+        return acceptance_checks(group, **own)
+
+    def stored(check: str, rows: DataFrame) -> DataFrame:
+        return checks.check_rows(rows, check, execution_id, now)
 
     for start in range(0, len(names), tables_per_job):
         group = {n: pairs[n] for n in names[start : start + tables_per_job]}
         try:
-            run(group, start == 0)
-        except PySparkException:
-            # one table cannot be read: each has a job of its own, and that one a failed row
-            for i, name in enumerate(group):
-                try:
-                    run({name: group[name]}, start == 0 and i == 0)
-                except PySparkException as e:
-                    reason = f"Error: {str(e)[:ERROR_MESSAGE_CHARS]}"
-                    row = audit.sparkSession.createDataFrame([(name, False, reason)], "table_name string, passed boolean, detail string")
-                    ledger.append("check_results", checks.check_rows(row, "data_hash_integrity", execution_id, now))
+            results = [stored(check, build()) for check, build in built(group).items()]
+            ledger.append("check_results", reduce(DataFrame.unionByName, results))
+        except _FAILURES:
+            for name in group:
+                for check, build in built({name: group[name]}).items():
+                    try:
+                        ledger.append("check_results", stored(check, build()))
+                    except _FAILURES as e:
+                        reason = f"Error: {str(e)[:ERROR_MESSAGE_CHARS]}"
+                        row = audit.sparkSession.createDataFrame([(name, False, reason)], "table_name string, passed boolean, detail string")
+                        ledger.append("check_results", stored(check, row))
     return checks.acceptance_summary(latest_results(ledger.log("check_results")).where(F.col("execution_id") == execution_id))
 
 

@@ -231,6 +231,24 @@ def test_a_table_that_cannot_be_read_is_one_failed_row(spark, world):
     assert not failed.passed and failed.detail.startswith("Error: ") and "lost file" in failed.detail
 
 
+def test_every_check_of_a_lost_table_has_a_row_and_so_has_the_audit_log(spark, world, tmp_path):
+    import shutil
+
+    source, _, ledger = world
+    path = str(tmp_path / "gone")
+    spark.range(50).write.parquet(path)
+    lost, good = spark.read.parquet(path), source.read("prod.a.customers")
+    shutil.rmtree(path)
+    audit = spark.createDataFrame([("e3", "SUCCESS")], "execution_id string, status string")
+    types = spark.createDataFrame([("lost", "MANAGED"), ("good", "MANAGED")], "table_name string, table_type string")
+    summary = run_acceptance(ledger, {"lost": (lost, lost), "good": (good, good)}, audit, "e3", t(2), expected_types=types, actual_types=types)
+    assert {r.check_name: (r.checks, r.passed_checks) for r in summary.collect()} == {
+        "row_count_parity": (2, 1), "schema_match": (2, 2), "data_hash_integrity": (2, 1), "table_type_preserved": (2, 2), "audit_log_completeness": (1, 1)}
+    failed = ledger.log("check_results").where("execution_id = 'e3' AND NOT passed").collect()
+    assert {(r.table_name, r.check_name) for r in failed} == {("lost", "row_count_parity"), ("lost", "data_hash_integrity")}
+    assert all(r.detail.startswith("Error: ") for r in failed)
+
+
 def test_counts_of_tables_with_odd_names(spark, tmp_path):
     store = VersionStore(spark, str(tmp_path / "odd"))
     names = ["my table", "50% off", "a+b"]
