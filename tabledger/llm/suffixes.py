@@ -9,10 +9,10 @@ stands in another document as well: a first pass keeps those.
 Sampled splitters then range-partition the stretches by the leading bytes at
 their anchors. Each bucket sorts its suffixes (windows) by multikey quicksort,
 eight bytes at a time, and gives every suffix the earliest document among its
-equals. A gram that is too common for one bucket goes on in the next: the
-suffixes at both ends of a bucket are compared across its boundaries.
+equals. Leading bytes that are too common for one bucket go on in the next: their
+suffixes are compared across the boundaries as well.
 
-Texts travel in compressed slices of about one megabyte. Equal stretches of one
+Texts travel in compressed slices of about 256 KB. Equal stretches of one
 slice are sent once, for the earliest document, so that a group of copies sends
 one stretch per slice and not one per copy.
 """
@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from .common import columns_of, slices, utf8, written
 
 WIDTH, GRAM = 50, 16
-SLICE_BYTES = 1 << 20
-PART_BYTES = 64 << 20
-BUCKET_BYTES = 8 << 20
+SLICE_BYTES = 256 << 10
+PART_BYTES = 16 << 20
+BUCKET_BYTES = 16 << 20
+SAMPLE_SLICES = 64
+WINDOWS_AT_ONCE = 1 << 18
 LAST = np.iinfo(np.int64).max
 COLUMNS = (0, 8, 16, 24, 32, 40, 42)
 
@@ -130,7 +132,7 @@ def _sliced(rows: DataFrame) -> DataFrame:
         def one() -> pa.RecordBatch:
             batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             data, offsets = utf8(columns_of(batch, "text"))
-            packed = pa.compress(data.tobytes(), codec="zstd", asbytes=True)
+            packed = pa.Codec("zstd", compression_level=3).compress(data.tobytes(), asbytes=True)
             many = pa.array([0, batch.num_rows], pa.int32())
             return pa.record_batch(
                 [pa.array([number]), pa.ListArray.from_arrays(many, columns_of(batch, "doc_id")),
@@ -157,29 +159,50 @@ def _opened(batch: pa.RecordBatch, r: int) -> tuple[np.ndarray, np.ndarray, pa.A
     return np.frombuffer(raw, np.uint8), offsets, columns_of(batch, "ids")[r].values
 
 
+# Of the hash of a gram 40 bits are sent, and the part it falls into. Unequal grams of one code only mean some stretches more to compare.
+_CODE = np.uint64((1 << 40) - 1)
+
+
+def _codes(gram: np.ndarray, parts: int) -> np.ndarray:
+    """The code of each: the part (equal ranges of the upper half of the hash) above 40 bits of the hash."""
+    part = ((gram >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return (part << np.uint64(40)) | (gram & _CODE)
+
+
+def _packed(code: np.ndarray) -> bytes:
+    return np.ascontiguousarray(code.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _unpacked(raw, part: int) -> np.ndarray:
+    five = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(five), 8), np.uint8)
+    wide[:, :5] = five
+    return wide.view("<u8").ravel() | np.uint64(part << 40)
+
+
 def _shared(sliced: DataFrame, parts: int) -> DataFrame:
-    """``slice`` and ``grams``: hashes of its anchors that another slice has too, as lists of bytes."""
+    """``slice``, ``part`` and ``grams``: codes of its anchors that another slice has too, as a list of bytes."""
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 data, offsets, _ = _opened(batch, r)
-                h = np.unique(stretches(data, offsets)[3])
-                part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                cuts = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
-                lists = [x.tobytes() for x in np.split(h, cuts[1:])] if len(h) else []
-                yield pa.record_batch([pa.array(part[cuts].astype(np.int64)), pa.array(np.full(len(cuts), batch.column(0)[r].as_py(), np.int64)),
+                code = np.unique(_codes(stretches(data, offsets)[3], parts))
+                part = (code >> np.uint64(40)).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                lists = [_packed(x) for x in np.split(code, cuts[1:])] if len(code) else []
+                yield pa.record_batch([pa.array(part[cuts]), pa.array(np.full(len(cuts), batch.column(0)[r].as_py(), np.int64)),
                                        pa.array(lists, pa.binary())], names=["part", "slice", "grams"])
 
     def again(table: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["grams"]]
-        value, count = np.unique(np.concatenate(lists), return_counts=True)
-        value = value[count > 1]
-        kept = [x[_among(x, value)].tobytes() for x in lists]
-        return pa.table({"slice": table["slice"], "grams": pa.array(kept, pa.binary())})
+        lists = [_unpacked(x.as_buffer(), 0) for x in table["grams"]]
+        value = np.sort(np.concatenate(lists))
+        value = np.unique(value[1:][value[1:] == value[:-1]])
+        kept = [_packed(x[_among(x, value)]) for x in lists]
+        return pa.table({"slice": table["slice"], "part": table["part"], "grams": pa.array(kept, pa.binary())})
 
     found = sliced.select("slice", "ids", "sizes", "data").mapInArrow(hashes, "part long, slice long, grams binary")
-    return found.groupBy("part").applyInArrow(again, "slice long, grams binary").where(F.octet_length("grams") > 0)
+    return found.groupBy("part").applyInArrow(again, "slice long, part long, grams binary").where(F.octet_length("grams") > 0)
 
 
 def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -193,97 +216,156 @@ def _pairs(first: np.ndarray, last: np.ndarray) -> bytes:
     return np.stack([first, last], axis=1).astype(">i8").tobytes()
 
 
-def _entries(sliced: DataFrame, shared: DataFrame) -> DataFrame:
-    """The stretches to compare (``lead``, ``slice``, ``doc``, ``at``, ``bytes``), and with a null ``lead`` those that an
-    earlier document of their own slice has (``bytes`` are then pairs of a first and a last window)."""
+def _stretches_of(batch: pa.RecordBatch, r: int, parts: int):
+    """Of row ``r``: its bytes, and (first and last window, anchor, document) of the stretches whose gram another document has."""
+    data, offsets, ids = _opened(batch, r)
+    first, last, anchor, gram = stretches(data, offsets)
+    lists = [_unpacked(x["grams"], x["part"]) for x in columns_of(batch, "grams")[r].as_py() or []]
+    keep = _among(_codes(gram, parts), np.sort(np.concatenate(lists or [np.zeros(0, np.uint64)])))
+    own = ids.fill_null(LAST).to_numpy()[np.searchsorted(offsets, first, "right") - 1]
+    order = np.lexsort((own, gram))
+    g, d = gram[order], own[order]
+    run_of = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]).astype(np.int64)])) if len(g) else np.zeros(0, np.int64)
+    mixed = np.zeros(int(run_of[-1]) + 1 if len(g) else 0, bool)
+    mixed[run_of[1:][(g[1:] == g[:-1]) & (d[1:] != d[:-1])]] = True
+    keep[order] |= mixed[run_of]
+    return data, first[keep], last[keep], anchor[keep], own[keep]
+
+
+def _leads(data: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """The eight bytes at each anchor as a number; numbers are in the order of the bytes."""
+    return (eights(data, ">u8")[anchor].astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _splitters(asked: DataFrame, n: int, parts: int) -> np.ndarray:
+    """Leads that cut the stretches into buckets of about ``BUCKET_BYTES``, from a sample of about ``SAMPLE_SLICES`` of ``n`` slices.
+    A lead that would fill several buckets is there several times. The sample sets the sizes of buckets, never results."""
+    picked = asked.where(F.pmod(F.xxhash64("slice"), F.lit(max(1, n // SAMPLE_SLICES))) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                number = batch.column(0)[r].as_py()
-                data, offsets, ids = _opened(batch, r)
-                first, last, anchor, gram = stretches(data, offsets)
-                lists = columns_of(batch, "grams")[r].as_py() or []
-                elsewhere = _among(gram, np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in lists] or [np.zeros(0, np.uint64)])))
-                own = ids.fill_null(LAST).to_numpy()[np.searchsorted(offsets, first, "right") - 1]
-                order = np.lexsort((own, gram))
-                g, d = gram[order], own[order]
-                run_of = np.cumsum(np.concatenate([[0], (g[1:] != g[:-1]).astype(np.int64)])) if len(g) else np.zeros(0, np.int64)
-                mixed = np.zeros(int(run_of[-1]) + 1 if len(g) else 0, bool)
-                mixed[run_of[1:][(g[1:] == g[:-1]) & (d[1:] != d[:-1])]] = True
-                keep = elsewhere.copy()
-                keep[order] |= mixed[run_of]
-                first, last, anchor, own = first[keep], last[keep], anchor[keep], own[keep]
+                data, first, last, anchor, _ = _stretches_of(batch, r, parts)
+                yield pa.record_batch([pa.array([int((last - first).sum()) + len(first) * (WIDTH + 16)]), pa.array([_leads(data, anchor).tobytes()], pa.binary())],
+                                      names=["volume", "leads"])
+
+    got = picked.mapInArrow(run, "volume long, leads binary").collect()
+    leads = np.sort(np.concatenate([np.frombuffer(r.leads, np.int64) for r in got] or [np.zeros(0, np.int64)]))
+    volume = sum(r.volume for r in got) * n // max(1, len(got))
+    buckets = max(1, -(-volume // BUCKET_BYTES))
+    return leads[(np.arange(1, buckets) * len(leads)) // buckets] if len(leads) else leads
+
+
+def _entries(asked: DataFrame, parts: int, splitters: np.ndarray) -> DataFrame:
+    """Per slice and bucket the stretches to compare: ``doc``, ``at`` (first window), ``size`` and bytes end to end, compressed
+    together as ``packed``; and, as ``marks``, pairs of windows that an earlier document of the slice itself has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", compression_level=3)
+        for batch in batches:
+            for r in range(batch.num_rows):
+                number = columns_of(batch, "slice")[r].as_py()
+                data, first, last, anchor, own = _stretches_of(batch, r, parts)
                 spans = taken(data, first, last - first + WIDTH)
                 _, least = earliest(spans, own)
                 late = own > least
-                stay = np.flatnonzero(~late)
-                lead = (eights(data, ">u8")[anchor[stay]].astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
-                n = len(stay) + 1
-                yield pa.record_batch(
-                    [pa.array([*lead, None], pa.int64()), np.full(n, number), np.append(own[stay], 0), np.append(first[stay], 0),
-                     pa.concat_arrays([spans.take(pa.array(stay)).cast(pa.binary()), pa.array([_pairs(first[late], last[late])], pa.binary())])],
-                    names=["lead", "slice", "doc", "at", "bytes"])
-
-    asked = sliced.join(shared.groupBy("slice").agg(F.collect_list("grams").alias("grams")), "slice", "left")
-    return asked.select("slice", "ids", "sizes", "data", "grams").mapInArrow(run, "lead long, slice long, doc long, at long, bytes binary")
-
-
-def _compared(entries: DataFrame, buckets: int) -> DataFrame:
-    """``slice``, ``marks`` (pairs of windows that an earlier document has), and for suffixes at a bucket's ends, in place of
-    marks, ``window``, ``doc`` and ``at``."""
-
-    def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]  # a bucket has about BUCKET_BYTES
-        if not held:
-            return
-        table = pa.Table.from_batches(held).combine_chunks()
-        lead, number, doc, at = (table[c].to_numpy() for c in ("lead", "slice", "doc", "at"))
-        spans = table["bytes"].combine_chunks().cast(pa.large_binary())
-        cuts = np.frombuffer(spans.buffers()[1], np.int64)[spans.offset : spans.offset + len(spans) + 1]
-        data = np.frombuffer(spans.buffers()[2], np.uint8)
-        windows = np.diff(cuts) - WIDTH + 1
-        code, least = earliest(spans, doc)
-        late = doc > least
-        marked = [(number[late], at[late], at[late] + windows[late] - 1)]
-        # Leads that hold more than one document are worth sorting; those at the ends may go on in other buckets.
-        _, group = np.unique(lead, return_inverse=True)
-        low, high = np.full(group.max() + 1, LAST), np.full(group.max() + 1, np.iinfo(np.int64).min)
-        np.minimum.at(low, group[~late], doc[~late])
-        np.maximum.at(high, group[~late], doc[~late])
-        end = np.isin(group, [0, group.max()])
-        chosen = np.flatnonzero(~late & ((low < high)[group] | end))
-        chosen = chosen[np.argsort(group[chosen], kind="stable")]
-        size = windows[chosen]
-        which = np.repeat(chosen, size)
-        step = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+                marks = _pairs(first[late], last[late])
+                first, last, anchor, own = first[~late], last[~late], anchor[~late], own[~late]
+                lead = _leads(data, anchor)
+                low, high = np.searchsorted(splitters, lead, "left"), np.searchsorted(splitters, lead, "right")
+                # A lead on several splitters fills buckets: its stretches are spread over all between them.
+                spread = (_mixed(first.astype(np.uint64) + np.uint64(number)) >> np.uint64(8)).astype(np.int64) % (high - low + 1)
+                bucket = np.where(high - low > 1, low + spread, high)
+                order = np.lexsort((lead, bucket))
+                cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+                names, packed, sizes = [], [], []
+                for part in np.split(order, cuts[1:]) if len(order) else []:
+                    size = last[part] - first[part] + WIDTH
+                    raw = np.stack([own[part], first[part], size, lead[part]]).astype("<i8").T.tobytes() + taken(data, first[part], size).buffers()[2].to_pybytes()
+                    names.append(int(bucket[part[0]]))
+                    packed.append(codec.compress(raw, asbytes=True))
+                    sizes.append([len(part), len(raw)])
+                if marks:
+                    names, packed, sizes = [*names, number % (len(splitters) + 1)], [*packed, marks], [*sizes, [0, len(marks)]]
+                yield pa.record_batch([pa.array(names, pa.int64()), pa.array([number] * len(names), pa.int64()),
+                                       *(pa.array([x[k] for x in sizes], pa.int64()) for k in (0, 1)), pa.array(packed, pa.binary())],
+                                      names=["bucket", "slice", "n", "n_raw", "packed"])
+
+    return asked.mapInArrow(run, "bucket long, slice long, n long, n_raw long, packed binary")
+
+
+def _compared(entries: DataFrame, splitters: np.ndarray) -> DataFrame:
+    """``slice``, ``marks`` (pairs of windows that an earlier document has), and for suffixes of leads that reach over the boundary of
+    a bucket, in place of marks, ``window``, ``doc`` and ``at``."""
+    wide = np.unique(splitters[1:][splitters[1:] == splitters[:-1]])
+
+    def bucket(table: pa.Table) -> pa.Table:
+        heads, texts, numbers, own_marks = [], [], [], []
+        for number, n, size, packed in zip(*(table[c].to_pylist() for c in ("slice", "n", "n_raw", "packed")), strict=True):
+            if not n:
+                own_marks.append((number, packed))
+                continue
+            raw = np.frombuffer(pa.decompress(packed, size, codec="zstd"), np.uint8)
+            heads.append(raw[: 32 * n].view("<i8").reshape(n, 4))
+            texts.append(raw[32 * n :])
+            numbers.append(np.full(n, number))
+        found = [_FOUND.empty_table(), pa.table({"slice": pa.array([k for k, _ in own_marks], pa.int64()), "marks": pa.array([m for _, m in own_marks], pa.binary())})]
+        if heads:
+            (doc, at, size, lead), data, number = np.concatenate(heads).T.copy(), np.concatenate(texts), np.concatenate(numbers)
+            found += _bucket(number, doc, at, size, lead, data, wide)
+        return pa.concat_tables(found, promote_options="default").select(_FOUND.names).cast(_FOUND)
+
+    return entries.groupBy("bucket").applyInArrow(bucket, "slice long, marks binary, window binary, doc long, at long")
+
+
+_FOUND = pa.schema([("slice", pa.int64()), ("marks", pa.binary()), ("window", pa.binary()), ("doc", pa.int64()), ("at", pa.int64())])
+
+
+def _bucket(number, doc, at, size, lead, data, wide) -> list[pa.Table]:
+    """Marks of a bucket, and the suffixes without a mark of leads that other buckets have too (``wide``). Stretches have a
+    slice, a document, a first window, a size in bytes, a lead, and their bytes end to end."""
+    cuts = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    windows = size - WIDTH + 1
+    _, least = earliest(spans, doc)
+    late = doc > least
+    marked = [(number[late], at[late], at[late] + windows[late] - 1)]
+    # Leads that hold more than one document are worth sorting, and those that go on in other buckets.
+    _, group = np.unique(lead, return_inverse=True)
+    low, high = np.full(group.max() + 1, LAST), np.full(group.max() + 1, np.iinfo(np.int64).min)
+    np.minimum.at(low, group[~late], doc[~late])
+    np.maximum.at(high, group[~late], doc[~late])
+    end = np.isin(lead, wide)
+    chosen = np.flatnonzero(~late & ((low < high)[group] | end))
+    chosen = chosen[np.argsort(group[chosen], kind="stable")]
+    before = np.cumsum(windows[chosen]) - windows[chosen]
+    # Whole leads, some at a time, so that the arrays of a sort stay small.
+    opens = np.flatnonzero(np.diff(group[chosen], prepend=-1))
+    cuts_at = opens[np.diff(before[opens] // WINDOWS_AT_ONCE, prepend=0) > 0] if len(opens) else opens
+    edges = []
+    for part in np.split(chosen, cuts_at):
+        step = np.arange(int(windows[part].sum())) - np.repeat(np.cumsum(windows[part]) - windows[part], windows[part])
+        which = np.repeat(part, windows[part])
         order, equal = multikey_sort(data, cuts[which] + step)
         which, step = which[order], step[order]
         first_doc = np.full(int(equal[-1]) + 1 if len(equal) else 0, LAST)
         np.minimum.at(first_doc, equal, doc[which])
         later = doc[which] > first_doc[equal]
         marked.append((number[which[later]],) + (at[which[later]] + step[later],) * 2)
-        edge = np.flatnonzero(~later & end[which])
-        slice_, first, last = (np.concatenate(x) for x in zip(*marked, strict=True))
-        by = np.argsort(slice_, kind="stable")
-        names, starts = np.unique(slice_[by], return_index=True)
-        lists = [_pairs(first[g], last[g]) for g in np.split(by, starts[1:])] if len(by) else []
-        none = [None] * len(names)
-        yield pa.record_batch([names, pa.array(lists, pa.binary()), pa.array(none, pa.binary()), pa.array(none, pa.int64()), pa.array(none, pa.int64())],
-                              names=["slice", "marks", "window", "doc", "at"])
-        for lo in range(0, len(edge), 1 << 16):
-            e = edge[lo : lo + (1 << 16)]
-            text = taken(data, cuts[which[e]] + step[e], np.full(len(e), WIDTH)).cast(pa.binary())
-            yield pa.record_batch([number[which[e]], pa.array([None] * len(e), pa.binary()), text, doc[which[e]], at[which[e]] + step[e]],
-                                  names=["slice", "marks", "window", "doc", "at"])
-
-    # The hash lets a gram that fills more than a bucket be split; equal stretches then meet across the boundary.
-    dealt = entries.repartitionByRange(buckets, "lead", F.xxhash64("slice", "at"))
-    return dealt.mapInArrow(bucket, "slice long, marks binary, window binary, doc long, at long")
+        edge = ~later & end[which]
+        edges.append((which[edge], step[edge]))
+    slice_, first, last = (np.concatenate(x) for x in zip(*marked, strict=True))
+    by = np.argsort(slice_, kind="stable")
+    names, starts = np.unique(slice_[by], return_index=True)
+    lists = [_pairs(first[g], last[g]) for g in np.split(by, starts[1:])] if len(by) else []
+    which, step = (np.concatenate(x) for x in zip(*edges, strict=True))
+    texts = taken(data, cuts[which] + step, np.full(len(which), WIDTH)).cast(pa.binary())
+    return [pa.table({"slice": names, "marks": pa.array(lists, pa.binary())}),
+            pa.table({"slice": number[which], "window": texts, "doc": doc[which], "at": at[which] + step})]
 
 
 def _across(compared: DataFrame) -> DataFrame:
-    """Marks of suffixes at the ends of buckets that another bucket has from an earlier document."""
+    """Marks of suffixes near a boundary that another bucket has from an earlier document."""
     edges = compared.where("window IS NOT NULL")
     first = edges.groupBy("window").agg(F.min("doc").alias("least"))
     late = edges.join(first, "window").where("doc > least")
@@ -305,14 +387,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sliced = written(_sliced(rows), "slices")
-    total = sliced.agg(F.sum("n_bytes")).first()[0] or 0
-    shared = _shared(sliced, max(1, -(-total // PART_BYTES)))
-    entries = written(_entries(sliced, shared), "stretches")
-    open_ = entries.where("lead IS NOT NULL")
-    volume = open_.agg(F.sum(F.octet_length("bytes") + 40)).first()[0] or 0
-    compared = written(_compared(open_, max(1, -(-volume // BUCKET_BYTES))), "compared")
-    marks = entries.where("lead IS NULL").select("slice", F.col("bytes").alias("marks")).unionByName(
-        compared.where("marks IS NOT NULL").select("slice", "marks")).unionByName(_across(compared))
+    about = sliced.agg(F.count("*").alias("n"), F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("total")).first()
+    parts = max(1, -(-about["total"] // PART_BYTES))
+    shared = written(_shared(sliced, parts), "shared").groupBy("slice").agg(F.collect_list(F.struct("part", "grams")).alias("grams"))
+    asked = sliced.join(shared, "slice", "left").select("slice", "ids", "sizes", "data", "grams")
+    splitters = _splitters(asked, about["n"], parts)
+    compared = written(_compared(_entries(asked, parts, splitters), splitters), "compared")
+    marks = compared.where("marks IS NOT NULL").select("slice", "marks").unionByName(_across(compared))
     marks = marks.where(F.octet_length("marks") > 0).groupBy("slice").agg(F.collect_list("marks").alias("marks"))
     kind = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 

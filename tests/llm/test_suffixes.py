@@ -46,9 +46,9 @@ def corpus():
     return texts
 
 
-@pytest.mark.parametrize("sizes", [(1 << 20, 8 << 20, 64 << 20), (3000, 1500, 2000)])
+@pytest.mark.parametrize("sizes", [(256 << 10, 8 << 20, 16 << 20, 1 << 18), (3000, 1500, 2000, 50)])
 def test_against_brute_force(spark, monkeypatch, sizes):
-    for name, value in zip(("SLICE_BYTES", "BUCKET_BYTES", "PART_BYTES"), sizes, strict=True):
+    for name, value in zip(("SLICE_BYTES", "BUCKET_BYTES", "PART_BYTES", "WINDOWS_AT_ONCE"), sizes, strict=True):
         monkeypatch.setattr(suffixes, name, value)
     texts = corpus()
     rows = list(enumerate(texts)) + [(None, texts[0]), (None, prose(7, 30, 10**6)), (None, prose(7, 30, 10**6)), (2, texts[2]), (2, texts[5] + "!"), (-9, texts[9])]
@@ -66,6 +66,17 @@ def test_very_long_texts(spark):
     assert out[3].spans == [] and out[5].spans == [] and [tuple(s) for s in out[4].spans] == [(0, 500_000)]
 
 
+def test_leads_that_fill_many_buckets(spark, monkeypatch):
+    """One phrase before ever other words: its eight leading bytes are on most splitters, and equal suffixes fall into different buckets."""
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 600)
+    monkeypatch.setattr(suffixes, "SLICE_BYTES", 500)
+    r = random.Random(6)
+    ends = [prose(f"e{k}", 6, 9000) for k in range(12)]
+    rows = [(i, "the common beginning of all of these lines " + r.choice(ends) + f" {i}") for i in range(150)]
+    out = queries.removed_bytes(suffixes.without_repeats(table(spark, rows, 4))).collect()
+    assert sorted(map(tuple, out), key=repr) == brute(rows)
+
+
 def test_multikey_sort():
     r = random.Random(1)
     text = "".join(r.choice("ab") for _ in range(30)) * 40 + "".join(r.choice("ab") for _ in range(500))
