@@ -470,6 +470,24 @@ SELECT CASE WHEN source_row_count IS NULL OR target_row_count IS NULL THEN 'NOT
   WHEN source_row_count = target_row_count THEN 'MATCH' ELSE 'MISMATCH' END AS row_count_status, count(*) AS tables FROM control GROUP BY 1""")
 on_view("size_histogram", "control", report.size_histogram, f"""
 SELECT CAST(floor(size_in_bytes / {100 * GIB}.0::DOUBLE) AS BIGINT) * 100 AS from_gb, count(*) AS tables FROM control GROUP BY 1""")
+def _grouping(dataset: str, *keys: str, where: str = "TRUE") -> str:
+    key = "concat_ws('|', " + ", ".join(f"coalesce(CAST({k} AS VARCHAR), '(none)')" for k in keys) + ")" if keys else "''"
+    return (f"SELECT '{dataset}' AS dataset, {key} AS key, count(*) AS tables, count(*) FILTER (WHERE status IN {DONE}) AS done_tables, "
+            f"coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) AS total_bytes, coalesce(CAST(sum(duration_seconds) AS BIGINT), 0) AS total_seconds, "
+            f"count(duration_seconds) AS timed_tables FROM k WHERE {where} GROUP BY key")
+
+
+on_view("reporting_set", "control", report.reporting_set, f""",
+k AS (SELECT *, {_CLASS} AS workload_class, CASE WHEN source_row_count IS NULL OR target_row_count IS NULL THEN 'NOT CHECKED'
+  WHEN source_row_count = target_row_count THEN 'MATCH' ELSE 'MISMATCH' END AS row_count_status,
+  CAST(floor(size_in_bytes / {100 * GIB}.0::DOUBLE) AS BIGINT) * 100 AS from_gb, date_trunc('hour', completed_at) AS completed_hour FROM control)
+""" + " UNION ALL ".join([
+    _grouping("kpis").replace("GROUP BY key", "HAVING count(*) > 0"), _grouping("status_totals", "status"), _grouping("class_totals", "workload_class"),
+    _grouping("status_by_batch", "batch_id", "status"), _grouping("type_split", "clone_type"), _grouping("attempt_distribution", "attempt_number"),
+    _grouping("validation_split", "validation_status"), _grouping("count_outcomes", "row_count_status"), _grouping("size_histogram", "from_gb"),
+    _grouping("chunk_fanout", "batch_id", "chunk_id", where="chunk_id IS NOT NULL"), _grouping("batch_summary", "batch_id", "chunk_id", "status"),
+    _grouping("fail_codes", "error_code", where=f"status IN {FAILED}"),
+    _grouping("hourly_throughput", "completed_hour", where=f"status IN {DONE} AND completed_at IS NOT NULL")]))
 on_view("batch_summary", "control", report.batch_summary, f"""
 SELECT batch_id, chunk_id, status, count(*) AS tables, CAST(round(CAST(CAST(coalesce(CAST(sum(size_in_bytes) AS BIGINT), 0) / {GIB}.0::DOUBLE AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS total_gb,
   avg(duration_seconds) AS avg_duration_s FROM control GROUP BY 1, 2, 3""")

@@ -189,6 +189,56 @@ def size_histogram(control: DataFrame, width_gb: int = 100) -> DataFrame:
     return control.groupBy(bucket.cast("bigint").alias("from_gb")).agg(F.count("*").alias("tables"))
 
 
+# The datasets of the reporting set over the control table: what each is grouped by.
+REPORTING_SETS = {
+    "kpis": (),
+    "status_totals": ("status",),
+    "class_totals": ("workload_class",),
+    "status_by_batch": ("batch_id", "status"),
+    "type_split": ("clone_type",),
+    "attempt_distribution": ("attempt_number",),
+    "validation_split": ("validation_status",),
+    "count_outcomes": ("row_count_status",),
+    "size_histogram": ("from_gb",),
+    "chunk_fanout": ("batch_id", "chunk_id"),
+    "batch_summary": ("batch_id", "chunk_id", "status"),
+    "fail_codes": ("failed", "error_code"),
+    "hourly_throughput": ("done", "completed_hour"),
+}
+NO_KEY = "(none)"
+
+
+def reporting_set(control: DataFrame, width_gb: int = 100) -> DataFrame:
+    """All groupings of the reporting set from one scan: ``dataset``, ``key`` (its key values joined by |), and the measures
+    ``tables``, ``done_tables``, ``total_bytes``, ``total_seconds`` and ``timed_tables``.
+
+    Rows are folded in every task before anything is shuffled; what is shuffled
+    are groups, not tables. A key that is null reads (none). Failure codes are
+    those of failed tables, hours those of finished ones.
+    """
+    columns = sorted({c for keys in REPORTING_SETS.values() for c in keys})
+    rows = row_count_status(_with_class(control)).withColumns({
+        "from_gb": (F.floor(F.col("size_in_bytes") / F.lit(float(width_gb * GIB))) * F.lit(width_gb)).cast("bigint"),
+        "done": _status(*DONE), "failed": _status(*FAILED), "completed_hour": hour(F.col("completed_at")),
+    }).select(*columns, F.col("done").alias("_is_done"), "size_in_bytes", "duration_seconds")
+    grouped = rows.groupingSets([[F.col(c) for c in keys] for keys in REPORTING_SETS.values()], *columns).agg(
+        F.grouping_id().alias("_set"), F.count("*").alias("tables"), F.count_if(F.col("_is_done")).alias("done_tables"),
+        F.coalesce(F.sum("size_in_bytes"), F.lit(0)).alias("total_bytes"), F.coalesce(F.sum("duration_seconds"), F.lit(0)).alias("total_seconds"),
+        F.count("duration_seconds").alias("timed_tables"))
+    # a set's number has a one for every column that it leaves out, the last column lowest
+    number = {name: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys) for name, keys in REPORTING_SETS.items()}
+    named = F.create_map(*[x for name, n in number.items() for x in (F.lit(n).cast("bigint"), F.lit(name))])
+    shown = {name: [k for k in keys if k not in ("done", "failed")] for name, keys in REPORTING_SETS.items()}
+    text = F.lit("")
+    for name, keys in shown.items():
+        own = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit(NO_KEY)) for k in keys]) if keys else F.lit("")
+        text = F.when(F.col("dataset") == name, own).otherwise(text)
+    chosen = ((F.col("dataset") != "fail_codes") | F.col("failed")) & ((F.col("dataset") != "hourly_throughput") | (F.col("done") & F.col("completed_hour").isNotNull()))
+    chosen = chosen & ((F.col("dataset") != "chunk_fanout") | F.col("chunk_id").isNotNull())
+    return grouped.withColumn("dataset", F.element_at(named, F.col("_set").cast("bigint"))).where(chosen).select(
+        "dataset", text.alias("key"), "tables", "done_tables", "total_bytes", "total_seconds", "timed_tables")
+
+
 def batch_summary(control: DataFrame, batch_id: str = "") -> DataFrame:
     rows = control.where(F.col("batch_id") == batch_id) if batch_id else control
     keys = ["chunk_id", "status"] if batch_id else ["batch_id", "chunk_id", "status"]

@@ -33,6 +33,7 @@ REPORTS = {
     "count_outcomes": ("control", report.count_outcomes),
     "size_histogram": ("control", report.size_histogram),
     "exclusions_by_type": ("exclusion_log", report.exclusions_by_type),
+    "reporting_set": ("control", report.reporting_set),
 }
 
 
