@@ -8,9 +8,11 @@ positions exclude an answer.
 
 Answers are derived from those of similar sets: first every list is compared
 with one of its members only, and the components of these links are the answers
-known so far. Then only pairs of different components are still compared, so a
-group of n copies costs n comparisons and not n * n. Candidates are verified on
-their whole sets.
+known so far. Long lists are then compared with further members, one after the
+other, and only by sets that are still in other components; last, what is left of
+pairs of different components is compared. So a group of n copies costs a few
+times n comparisons, and not n * n, as long as one of these members is near
+enough to most. Candidates are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ SAMPLE_DOCS = 30_000
 SAMPLE_LEAST = 4
 COMMON_MOST = 1 << 20
 LIST_BLOCK = 2048
+# Members that a list is compared with, as shares of its length in the order of sizes; all but the first for lists of more than LONG_LIST.
+LEADS = (0.5, 0.25, 0.75, 0.125, 0.625)
+LONG_LIST = 64
+FAMILY_TASKS = 8
 STEP = 256
 PAIRS_HELD = 1 << 20
 FOLD = np.arange(256, dtype=np.uint8)
@@ -147,8 +153,10 @@ def index_lists(classes: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("many") / LIST_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sig", F.lit(3)), blocks.cast("long")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.concat_ws("-", F.least(o, own), F.greatest(o, own)))
-    part = F.when(F.col("many") <= LIST_BLOCK, F.array(F.lit(""))).otherwise(pairs)
-    return met.select("token", "lead", F.explode(part).alias("part"), "sig", "id", "n", "pos", "bitmap")
+    # The short lists of one family go to a few tasks, not to one.
+    family = F.pmod(F.xxhash64("token", F.lit(4)), F.lit(FAMILY_TASKS)).cast("string")
+    part = F.when(F.col("many") <= LIST_BLOCK, F.array(family)).otherwise(pairs)
+    return met.select("token", "lead", F.explode(part).alias("part"), "many", "sig", "id", "n", "pos", "bitmap")
 
 
 def _possible(n, pos, words, comp, i, j, num: int, den: int) -> np.ndarray:
@@ -163,15 +171,15 @@ def _possible(n, pos, words, comp, i, j, num: int, den: int) -> np.ndarray:
     return ok
 
 
-def _pairs(run: np.ndarray, n, pos, words, comp, star: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(run: np.ndarray, n, pos, words, comp, star: float | None, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Candidates among entries sorted by list (``run`` numbers the lists) and, within a list, by size."""
     left, right = [], []
     total = len(run)
     first = np.searchsorted(run, run)
     length = np.searchsorted(run, run, "right") - first
     at = np.arange(total)
-    if star:  # with the middle one by size
-        lead = first + length // 2
+    if star is not None:  # with one of each list
+        lead = first + (length * star).astype(np.int64)
         i, j = at[at != lead], lead[at != lead]
         ok = _possible(n, pos, words, comp, i, j, num, den)
         return i[ok], j[ok]
@@ -205,9 +213,10 @@ def _pairs(run: np.ndarray, n, pos, words, comp, star: bool, num: int, den: int)
     return np.concatenate(left + none), np.concatenate(right + none)
 
 
-def candidates(lists: DataFrame, star: bool, num: int = NUM, den: int = DEN) -> DataFrame:
+def candidates(lists: DataFrame, star: float | None = None, num: int = NUM, den: int = DEN) -> DataFrame:
     """Distinct pairs of classes (``a`` below ``b``, with their ids) that share a list and may be similar. ``lists`` has
-    a column ``comp``, of which no pair has the same."""
+    a column ``comp``, of which no pair has the same. With ``star`` one of each pair is the member of its list at this
+    share of its length."""
 
     def found(table: pa.Table) -> np.ndarray:
         col = {c: table.column(c).to_numpy() for c in ("run", "sig", "id", "n", "pos", "comp")}
@@ -282,6 +291,22 @@ def verified(pairs: DataFrame, docs: DataFrame, ends: tuple[str, str], gram: int
     return met.mapInArrow(check, ", ".join(f"{e} long" for e in ends)).distinct()
 
 
+def _labelled(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Lists with the component of each class; a class without a link is its own."""
+    return lists.join(groups.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
+        "comp", F.coalesce("component", "id")).drop("component")
+
+
+def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``node`` and ``component`` after links (``a_comp``, ``b_comp``) between components."""
+    wider = components(links, "a_comp", "b_comp").select(F.col("node").alias("component"), F.col("component").alias("group"))
+    # A node without a link of its own round is its own component.
+    inner = groups.join(wider, "component", "left").select("node", F.coalesce("group", "component").alias("component"))
+    outer = wider.join(groups, wider["component"] == groups["node"], "left_anti").select(
+        F.col("component").alias("node"), F.col("group").alias("component"))
+    return inner.unionByName(outer)
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
                 sample_docs: int = SAMPLE_DOCS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row: ``doc_id`` (long), ``n_shingles`` and ``component_id``, the smallest id that links lead to.
@@ -298,19 +323,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = real.groupBy("sig").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"))
     lists = written(index_lists(classes), "lists")
-    stars = written(candidates(lists.withColumn("comp", F.col("sig")), star=True, num=num, den=den), "stars")
-    known = written(components(verified(stars, rows, ("a_id", "b_id"), gram, num, den), "a_id", "b_id"), "known")
-    labelled = lists.join(known.select(F.col("node").alias("id"), "component"), "id", "left").withColumn(
-        "comp", F.coalesce("component", "id")).drop("component")
-    rest = candidates(labelled, star=False, num=num, den=den).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    limits = {"num": num, "den": den}
+    stars = written(candidates(lists.withColumn("comp", F.col("sig")), LEADS[0], **limits), "stars")
+    groups = written(components(verified(stars, rows, ("a_id", "b_id"), gram, num, den), "a_id", "b_id"), "known")
+    tried = stars.select("a", "b")
+    for lead in LEADS[1:]:
+        more = written(candidates(_labelled(lists.where(F.col("many") > LONG_LIST), groups), lead, **limits).join(tried, ["a", "b"], "left_anti"), "more")
+        if more.isEmpty():
+            break
+        groups = written(_joined(groups, verified(more, rows, ("a_comp", "b_comp"), gram, num, den)), "known")
+        tried = tried.unionByName(more.select("a", "b"))
+    rest = candidates(_labelled(lists, groups), **limits).join(tried, ["a", "b"], "left_anti")
     # What is left are links between components, each taken once, whatever the number of links behind it.
-    wider = components(verified(written(rest, "pairs"), rows, ("a_comp", "b_comp"), gram, num, den), "a_comp", "b_comp").select(
-        F.col("node").alias("component"), F.col("component").alias("group"))
-    # A node without a link of its own round is its own component.
-    inner = known.join(wider, "component", "left").select("node", F.coalesce("group", "component").alias("component"))
-    outer = wider.join(known, wider["component"] == known["node"], "left_anti").select(
-        F.col("component").alias("node"), F.col("group").alias("component"))
-    groups = inner.unionByName(outer)
+    groups = _joined(groups, verified(written(rest, "pairs"), rows, ("a_comp", "b_comp"), gram, num, den))
     # Every class has its smallest id, and a linked one the smallest of its component.
     least = real.groupBy("sig").agg(F.min("doc_id").alias("id")).join(groups, F.col("id") == F.col("node"), "left").select(
         "sig", F.coalesce("component", "id").alias("of"))

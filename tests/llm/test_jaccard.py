@@ -43,9 +43,10 @@ def copies(seed, n, length=60):
     return out
 
 
-@pytest.mark.parametrize("block", [2048, 8])
-def test_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,long", [(2048, 64), (8, 4)])
+def test_against_brute_force(spark, monkeypatch, block, long):
     monkeypatch.setattr(jaccard, "LIST_BLOCK", block)
+    monkeypatch.setattr(jaccard, "LONG_LIST", long)
     passage = prose(77, 40)
     texts = [t for s in range(4) for t in copies(s, 25)] + [prose(900 + i, 50) + " " + passage for i in range(30)]
     texts += [passage + f" {i}" for i in range(12)] + ["a b c", "A B C", "a b", "a b c d", "a\tb\nc"] + ODD + copies(50, 90, 30)
