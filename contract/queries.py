@@ -1242,6 +1242,61 @@ def _(spark, d):
     return out.select("check_name", "table_name", "passed", "detail")
 
 
+# Lines of a mapping file, one per part: some have a quoted cell with commas, some lack cells, some have one too many.
+_KIND = """CASE p_partkey % 6 WHEN 0 THEN ' Schema ' WHEN 1 THEN 'TABLE' WHEN 2 THEN 'catalog' WHEN 3 THEN '' WHEN 4 THEN 'view' ELSE 'table' END"""
+_CELLS = f"""
+  cells AS (SELECT p_partkey AS seq, {_KIND} AS kind, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE concat(' cat_', CAST(p_size AS VARCHAR(20))) END AS c,
+    CASE WHEN p_partkey % 7 = 0 THEN '' ELSE concat('s_', CAST(p_size % 9 AS VARCHAR(20))) END AS s, CASE WHEN p_partkey % 13 = 0 THEN '' ELSE concat('t_', CAST(p_partkey AS VARCHAR(20))) END AS t,
+    p_partkey % 17 = 0 AS long, p_partkey % 5 = 0 AS named FROM part)"""
+_HEADER = "clone_type,source_catalog, Source_Schema ,source_table,target_catalog,target_schema,target_table,exclude_schemas,exclude_tables"
+
+
+def mapping_input(spark: SparkSession, d: str):
+    from tabledger.sources.mapping import csv_lines, mapping_rules
+
+    base(spark, d, "part").createOrReplaceTempView("part")
+    line = F.concat_ws(",", "kind", "c", "s", "t", F.when(F.col("named"), "dr").otherwise(""), F.when(F.col("named"), F.concat("s", F.lit("_dr"))).otherwise(""),
+                       F.lit(""), F.lit("\"['hr', 'ops']\""), F.lit("\"['tmp_*','*,x']\""), F.when(F.col("long"), "stray"))
+    return mapping_rules(csv_lines(spark.sql(f"WITH {_CELLS.strip()} SELECT * FROM cells").select("seq", line.alias("line")), _HEADER))
+
+
+_JUDGED = _CELLS.strip() + """,
+  r AS (SELECT seq, CASE trim(lower(kind)) WHEN '' THEN 'table' ELSE trim(lower(kind)) END AS rule_type, trim(c) AS c, s, t, long, named FROM cells),
+  j AS (SELECT *, CASE WHEN long THEN 'more cells than headers' WHEN c = '' THEN 'missing source_catalog' WHEN rule_type = 'view' THEN 'unknown clone_type'
+    WHEN rule_type <> 'catalog' AND s = '' THEN 'missing source_schema' WHEN rule_type = 'table' AND t = '' THEN 'missing source_table' END AS reason FROM r)"""
+
+
+@query("mapping_rows", f"""WITH {_JUDGED}
+SELECT seq, rule_type, c AS source_catalog, s AS source_schema, t AS source_table, CASE WHEN named THEN 'dr' ELSE c END AS target_catalog,
+  CASE WHEN rule_type = 'catalog' THEN '' WHEN named THEN concat(s, '_dr') ELSE s END AS target_schema, CASE WHEN rule_type = 'table' THEN t ELSE '' END AS target_table,
+  CASE WHEN rule_type = 'catalog' THEN 'hr+ops' ELSE '' END AS exclude_schemas, CASE WHEN rule_type = 'table' THEN '' ELSE 'tmp_*+*,x' END AS exclude_tables
+FROM j WHERE reason IS NULL""")
+def _(spark, d):
+    rules = mapping_input(spark, d).rules
+    return rules.withColumns({c: F.array_join(c, "+") for c in ("exclude_schemas", "exclude_tables")})
+
+
+@query("mapping_rejects", f"WITH {_JUDGED} SELECT seq, rule_type, reason AS reject_reason FROM j WHERE reason IS NOT NULL")
+def _(spark, d):
+    return mapping_input(spark, d).rejects.select("seq", "rule_type", "reject_reason")
+
+
+@query("exclusion_cells", """WITH e AS (SELECT c_custkey AS seq, CASE c_custkey % 5 WHEN 0 THEN 'catalog' WHEN 1 THEN 'schema' WHEN 2 THEN 'table' WHEN 3 THEN 'row' ELSE 'table' END AS k,
+    CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('c', CAST(c_nationkey AS VARCHAR)) END AS c, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 's' END AS s, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 't*' END AS t FROM customer)
+SELECT seq, k AS exclude_type, c AS catalog, s AS schema_name, t AS table_name, CASE WHEN k = 'row' THEN 'unknown exclude_type' WHEN c = '' THEN 'missing catalog'
+  WHEN k <> 'catalog' AND s = '' THEN 'missing schema' WHEN k = 'table' AND t = '' THEN 'missing table' END AS reject_reason FROM e""")
+def _(spark, d):
+    from tabledger.sources.mapping import csv_lines, exclusion_rules
+
+    n = F.col("c_custkey")
+    kind = F.element_at(F.array(*[F.lit(k) for k in ("catalog", "Schema", "TABLE", "row", "table")]), (n % 5 + 1).cast("int"))
+    line = F.concat_ws(",", kind, F.when(n % 7 == 0, "").otherwise(F.concat(F.lit("c"), F.col("c_nationkey").cast("string"))),
+                       F.when(n % 3 == 0, " ").otherwise(" s"), F.when(n % 4 == 0, "").otherwise("t*"))
+    good, refused = exclusion_rules(csv_lines(base(spark, d, "customer").select(n.alias("seq"), line.alias("line")), "exclude_type,catalog,schema,table"))
+    names = ["seq", "exclude_type", "catalog", "schema_name", "table_name"]
+    return good.select(*names, F.lit(None).cast("string").alias("reject_reason")).unionByName(refused.select(*names, "reject_reason"))
+
+
 on_view("work_counts", "control", lambda c: ledger.work_counts(c, lit_time(STALE_NOW)), f"""
 SELECT count(*) FILTER (WHERE {_STALE}) AS stale, count(*) FILTER (WHERE status IN {RETRY} AND attempt_number < max_attempts) AS retryable,
   count(*) FILTER (WHERE status = 'QUEUED') AS queued, count(*) FILTER (WHERE status = 'QUEUED' AND coalesce(chunk_id, 0) = 0) AS unplanned FROM control""")

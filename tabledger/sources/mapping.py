@@ -28,14 +28,37 @@ class MappingInput:
     global_table_globs: list[str] = field(default_factory=list)
 
 
+# Cells beyond the last header, if any, and the line as it was read.
+_MORE, _LINE = "_more", "_line"
+_CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
+
+
+def _cells(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*names, _MORE, _LINE)])
+
+
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with trimmed lower-case headers and ``seq`` in file order.
 
-    Multi-line mode reads a file in one task, which keeps the order.
+    Multi-line mode reads a file in one task, which keeps the order. Nothing is
+    dropped: a short line has null cells, and what stands beyond the last header
+    is kept apart, with the line itself.
     """
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
-    names = [c.strip().lower() for c in raw.columns]
-    return raw.toDF(*names).withColumn("seq", F.monotonically_increasing_id())
+    names = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
+    places = [f"c{i}" for i in range(len(names))]  # headers may repeat
+    raw = spark.read.schema(_cells(places)).options(**_CSV).csv(path, header=True, multiLine=True)
+    # a line of exactly one cell too many is not kept by the reader: its cells are put together again
+    cells = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in (*places, _MORE)])
+    named = {p: c.strip().lower() for p, c in zip(places, names, strict=True)}
+    return raw.withColumn(_LINE, F.coalesce(_LINE, cells)).withColumnsRenamed(named).withColumn("seq", F.monotonically_increasing_id())
+
+
+def csv_lines(lines: DataFrame, header: str) -> DataFrame:
+    """Cells of lines held in a table (``seq, line``; one record each), as :func:`_read_csv` gives those of a file."""
+    names = [c.strip().lower() for c in header.split(",")]
+    ddl = ", ".join(f"`{f.name}` string" for f in _cells(names).fields)
+    parsed = lines.select("seq", "line", F.from_csv("line", ddl, _CSV).alias("_p"))
+    return parsed.select("seq", *[F.col(f"_p.`{c}`") for c in (*names, _MORE)], F.col("line").alias(_LINE))
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -43,18 +66,27 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 def _finish(rows: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
-    judged = rows.withColumn("reject_reason", reason)
+    whole = F.when(F.col(_MORE).isNotNull(), "more cells than headers") if _MORE in rows.columns else F.lit(None)
+    judged = rows.withColumn("reject_reason", F.coalesce(whole, reason))
     good = conform(judged.where(F.col("reject_reason").isNull()).drop("reject_reason"), RULES)
     return good.select(*RULES.fieldNames()), judged.where(F.col("reject_reason").isNotNull())
 
 
 def read_mapping_csv(spark: SparkSession, path: str) -> MappingInput:
-    """A mapping file in either layout, told apart by the ``clone_type`` header."""
-    raw = _read_csv(spark, path)
+    """A mapping file in either layout, told apart by the ``clone_type`` header.
+
+    A refused row keeps its cells, the line as it was read (``_line``) and the reason.
+    """
+    return mapping_rules(_read_csv(spark, path))
+
+
+def mapping_rules(raw: DataFrame) -> MappingInput:
+    """Rules and refused rows from the cells of a mapping file (:func:`csv_lines`), one row each."""
     typed = "clone_type" in raw.columns
     kind = first_filled(F.lower(_text(raw, "clone_type")), F.lit("table")) if typed else F.lit("table")
     rows = raw.select("seq", kind.alias("rule_type"), *[_text(raw, c).alias(c) for c in RULES.fieldNames()[2:8]],
-                      *[list_literal(_text(raw, c)).alias(c) for c in ("exclude_schemas", "exclude_tables")])
+                      *[list_literal(_text(raw, c)).alias(c) for c in ("exclude_schemas", "exclude_tables")],
+                      *[c for c in (_MORE, _LINE) if c in raw.columns])
     is_catalog, is_schema, is_table = (F.col("rule_type") == k for k in ("catalog", "schema", "table"))
 
     def blank(name: str) -> Column:
@@ -155,18 +187,27 @@ def read_exclusions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Exclusion rules in file order; invalid rows are dropped, a blank path means no rules."""
     if not path or not path.strip():
         return empty(spark, EXCLUSION_RULES)
-    raw = _read_csv(spark, path)
+    return exclusion_rules(_read_csv(spark, path))[0]
+
+
+def exclusion_rules(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exclusion rules, and the refused rows with the reason, from the cells of an exclusion file."""
     rows = raw.select(
         "seq", F.lower(_text(raw, "exclude_type")).alias("exclude_type"), _text(raw, "catalog").alias("catalog"),
         _text(raw, "schema").alias("schema_name"), _text(raw, "table").alias("table_name"),
+        *[c for c in (_MORE, _LINE) if c in raw.columns],
     )
     kind = F.col("exclude_type")
-    return rows.where(
-        kind.isin("catalog", "schema", "table")
-        & (F.col("catalog") != "")
-        & ((kind == "catalog") | (F.col("schema_name") != ""))
-        & ((kind != "table") | (F.col("table_name") != ""))
+    reason = (
+        F.when(F.col(_MORE).isNotNull(), "more cells than headers")
+        .when(~kind.isin("catalog", "schema", "table"), "unknown exclude_type")
+        .when(F.col("catalog") == "", "missing catalog")
+        .when((kind != "catalog") & (F.col("schema_name") == ""), "missing schema")
+        .when((kind == "table") & (F.col("table_name") == ""), "missing table")
     )
+    judged = rows.withColumn("reject_reason", reason)
+    good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason", _MORE, _LINE)
+    return good, judged.where(F.col("reject_reason").isNotNull())
 
 
 def name_list(spark: SparkSession, text: str) -> DataFrame:

@@ -79,6 +79,15 @@ def test_typed_layout(spark, tmp_path, listing):
     assert not any(s == "information_schema" for s, _ in rows)
 
 
+def test_refused_lines_are_kept_with_their_text_and_reason(spark, tmp_path, listing):
+    text = TYPED + "table,bulk,hr,one,,,,,\ntable,bulk,hr,two,,,,,,stray\nschema,bulk,hr\ntable,bulk,hr,\"a, b\",,,,,\nview,bulk,hr,x,,,,,\n"
+    m = read_mapping_csv(spark, write(tmp_path, "m.csv", text))
+    assert sorted((r.rule_type, r.source_table) for r in m.rules.collect()) == [("schema", ""), ("table", "a, b"), ("table", "one")]
+    refused = {r.reject_reason: r._line for r in m.rejects.collect()}
+    assert set(refused) == {"more cells than headers", "unknown clone_type"}
+    assert "two" in refused["more cells than headers"] and "stray" in refused["more cells than headers"]
+
+
 def test_explicit_layout(spark, tmp_path, listing):
     text = ("source_catalog,source_schema,source_table,target_catalog,target_schema,target_table\n"
             " a , b ,c,,,\na,b,d,x,y,z\na,,e,,,\na,b,c,second,,\n")
