@@ -26,28 +26,34 @@ _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
-    """Ids of a tokenizer file. A byte-level BPE whose ids follow its merges runs on tiktoken's engine, which gives
-    the same ids several times faster; any other file runs on the tokenizers library."""
+    """Ids that the tokenizers library gives without special tokens around them. A byte-level BPE whose ids follow its
+    merges runs on tiktoken's engine, which gives the same ids several times faster; texts that hold the literal of an
+    added token, and any other file, run on the tokenizers library itself."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
-        self.size = max(model["vocab"].values()) + 1 + len(spec.get("added_tokens") or [])
-        self.fast = None
+        added = spec.get("added_tokens") or []
+        self.size = max([*model["vocab"].values(), *(x["id"] for x in added)]) + 1
+        self.path, self.fast, self._slow = path, None, None
+        self.literals = [x["content"] for x in added]
         if (model["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                 and not pre.get("add_prefix_space") and not spec.get("normalizer")):
-            ranks = self._ranks(model, {x["content"] for x in spec.get("added_tokens") or []})
+            ranks = self._ranks(model, set(self.literals))
             if ranks:
                 import public_tokenizers
                 import tiktoken
 
                 self.fast = tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        if self.fast is None:
-            self.slow = Tokenizer.from_file(path)
-            self.slow.encode_special_tokens = True
+
+    @property
+    def slow(self):
+        if self._slow is None:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.path)
+        return self._slow
 
     @staticmethod
     def _ranks(model: dict, special: set[str]) -> dict[bytes, int] | None:
@@ -60,7 +66,7 @@ class Encoder:
         return ranks if ids == sorted(ids) and len(ranks) == len(ids) + 256 else None
 
     def __call__(self, text: str) -> list[int]:
-        if self.fast is not None:
+        if self.fast is not None and not any(x in text for x in self.literals):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
