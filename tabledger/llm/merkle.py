@@ -6,13 +6,14 @@ section ends at a blank line or after a paragraph whose hash says so. The
 fingerprint is written as ``root/section/section...``, a section as its
 paragraphs joined by ``-``, a paragraph as the 8 hex digits of each piece. The
 root is a hash over hashes of sections, these over hashes of paragraphs, these
-over 64-bit hashes of pieces: equal roots mean equal texts, and the branches
-that differ tell where an edit lies.
+over 64-bit digests (BLAKE2b) of the bytes of pieces: equal roots mean equal
+texts, and the branches that differ tell where an edit lies.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import SOLID_MASK, SpanHasher, columns_of, mixed, slices, utf8, word_bounds
 
 PART_BYTES = 16 << 20
+MOST_PARTS = 1 << 16
+SAMPLED_KEYS = 20
 SAME = np.arange(256, dtype=np.uint8)
 
 
@@ -31,8 +34,7 @@ def fingerprints(texts: pa.Array) -> list[str]:
     """One per text; null is empty."""
     data, offsets = utf8(texts)
     starts, ends, first = word_bounds(data, offsets, SOLID_MASK)
-    hashes = SpanHasher(data, SAME)
-    words = hashes(starts, ends)
+    words = SpanHasher(data, SAME)(starts, ends)  # these only say where pieces end
     lines = np.zeros(len(data) + 1, np.int64)
     np.cumsum(data == 10, out=lines[1:])
     line = lines[starts]
@@ -53,9 +55,10 @@ def fingerprints(texts: pa.Array) -> list[str]:
     stop = np.append(begin[1:], len(data)) if len(begin) else begin
     trailing = np.append(leading[1:], True) if len(begin) else leading
     stop = np.where(trailing, offsets[piece_doc + 1], stop)
-    pieces = hashes(begin, stop)
-    raw = pieces.astype(">u8").tobytes()
-    digits = (pieces >> np.uint64(32)).astype(">u4").tobytes().hex()
+    whole = data.tobytes()
+    leaves = [hashlib.blake2b(whole[a:b], digest_size=8).digest() for a, b in zip(begin.tolist(), stop.tolist(), strict=True)]
+    raw = b"".join(leaves)
+    digits = b"".join([x[:4] for x in leaves]).hex()
     opens_line = new_line[opens] if n else leading
     gap = np.zeros(len(opens), np.int64)
     if len(opens):
@@ -141,43 +144,58 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", name: str = "finge
     return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
+def _parts(rows: DataFrame, part_bytes: int) -> list[tuple]:
+    """Bounds between parts of about ``part_bytes`` in the order of (id, hash of the text), found on a sample of keys
+    (about 20 a part, at most 1.3 million, with their bytes). The sample decides sizes of parts, never results."""
+    seen = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("b"), F.count("*").alias("n")).first()
+    parts = int(min(MOST_PARTS, (seen["b"] or 0) // part_bytes + 1))
+    if parts == 1:
+        return []
+    share = min(1.0, SAMPLED_KEYS * parts / seen["n"])
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    drawn = drawn.select("doc_id", "tie", F.octet_length("text").alias("b")).collect()
+    keys = sorted((_key(r["doc_id"], r["tie"]), r["b"]) for r in drawn)
+    at = np.cumsum([b for _, b in keys])
+    cuts = np.searchsorted(at, [at[-1] * k / parts for k in range(1, parts)]) if keys else []
+    return [keys[k][0] for k in sorted({int(c) for c in cuts})]
+
+
+def _key(doc_id, tie: int) -> tuple:
+    return (doc_id is not None, 0 if doc_id is None else doc_id, tie)
+
+
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """Every document with the text that follows it in descending order of ids (ties by a hash of the text, null ids
     last), arranged so that a single pass over each partition meets both.
 
     Returns ``part``, ``halo``, ``doc_id``, ``text`` partitioned and sorted by part; each part ends with a halo row,
-    a copy of the first document of the next part (of the first part, after the last). One shuffle of the texts.
+    a copy of the first document of the next part (of the first part, after the last). One shuffle of the texts, in
+    which a part is a partition. Ids are of any type whose values have an order (numbers, texts, times); unlike texts
+    of one id, or without an id, may stand in several parts.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("b")).first()["b"] or 0
-    parts = int(min(1 << 16, total // part_bytes + 1))
-    cuts = None
-    if parts > 1:
-        cuts = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 20 * parts).alias("c")).first()["c"]
-    bounds = np.unique(np.array(cuts if cuts else [], dtype=np.float64))
-
-    @F.pandas_udf("int")
-    def part_of(ids):
-        import pandas as pd
+    bounds = _parts(rows, part_bytes)
 
-        at = np.searchsorted(bounds, ids.astype("float64").fillna(-np.inf).to_numpy(), "right")
-        return pd.Series(len(bounds) - at).astype("int32")
+    @F.arrow_udf("int")
+    def part_of(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        keys = map(_key, ids.to_pylist(), ties.to_pylist())
+        return pa.array([len(bounds) - bisect_right(bounds, k) for k in keys], pa.int32())
 
-    placed = rows.withColumn("part", part_of(F.col("doc_id")) if len(bounds) else F.lit(0))
+    placed = rows.withColumn("part", part_of("doc_id", "tie") if bounds else F.lit(0))
     heads = placed.groupBy("part").agg(F.max(F.struct("doc_id", "tie")).alias("head")).orderBy("part")
     first = [(r["part"], r["head"]["doc_id"], r["head"]["tie"]) for r in heads.collect()]
     before = [(p, i, t, first[k - 1][0]) for k, (p, i, t) in enumerate(first)]
     schema = rows.select(F.lit(0).alias("h_part"), F.col("doc_id").alias("h_id"), F.col("tie").alias("h_tie"),
                          F.lit(0).alias("to")).schema
-    halos = F.broadcast(docs.sparkSession.createDataFrame(before, schema))  # one row per part, at most 65,537
+    halos = F.broadcast(docs.sparkSession.createDataFrame(before, schema))  # one row per part, at most MOST_PARTS
     at_head = (F.col("part") == F.col("h_part")) & F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tie") == F.col("h_tie"))
     spots = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("halo")))
     more = F.array(F.struct(F.col("to").alias("part"), F.lit(True).alias("halo")))
     sent = placed.join(halos, at_head, "left").withColumn(
         "spot", F.explode(F.when(F.col("to").isNull(), spots).otherwise(F.concat(spots, more)))
     ).select("spot.part", "spot.halo", "doc_id", "tie", "text")
-    dealt = sent.repartition(max(1, len(first)), "part")
+    dealt = sent.repartitionById(len(bounds) + 1, F.col("part"))
     return dealt.sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), F.desc("tie")).drop("tie")
 
 
