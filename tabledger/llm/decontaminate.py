@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, folded, small
+from .common import WORD, folded, small, written
 
 WINDOW = 10
 GRAM = 4
@@ -150,6 +150,6 @@ def n_hit(spans: Column) -> Column:
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that share no window with the benchmark."""
     found = overlaps(docs, benchmark, id_col, text_col).where(F.size("spans") > 0)
-    marked = small(found.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct())
+    marked = small(written(found.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(), "leaks"))
     same = docs[id_col].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("_bad_hash"))
     return docs.join(marked, same, "left_anti")
