@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tabledger.functions import text
 from tabledger.functions.text import list_literal
-from tabledger.operators import checks, compare, inventory, ledger, pack, report, request_checks, requests, select
+from tabledger.operators import checks, compare, inventory, ledger, pack, partition_digests, report, request_checks, requests, select
 from tabledger.operators.ledger import lit_time
+from tabledger.sources.checkpoints import checkpointed, shared_folder
+from tabledger.sources.partitions import PartitionedTable
 
 from .views import base, view, with_views
 
@@ -183,6 +186,13 @@ def _(spark, d):
     return compare.checksum_verdicts(table_pairs(spark, d)).select("table_name", "src_rows", "tgt_rows", "passed")
 
 
+def scratch_table(spark: SparkSession, rows: DataFrame, by: list[str]) -> PartitionedTable:
+    """``rows`` as a table kept by partition, in a folder of its own below the shared one."""
+    table = PartitionedTable(spark, f"{shared_folder(spark)}/table-{uuid.uuid4().hex}", rows.schema, by)
+    table.overwrite(rows)
+    return table
+
+
 def _sql_text(columns: list[str]) -> str:
     parts = [f"CASE WHEN {c} IS NULL THEN 'N' ELSE concat(length(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)) END"
              for c in columns]
@@ -202,6 +212,41 @@ def _(spark, d):
     return compare.checksum_verdicts({"lineitem": line_pair(spark, d)}, {"lineitem": HASHED}, "SHA256")
 
 
+@query("checksum_refresh", f"""
+WITH y AS (SELECT {", ".join(HASHED)}, CAST(year(l_shipdate) AS INT) AS ship_year FROM lineitem),
+     t AS (SELECT * REPLACE (CASE WHEN ship_year % 3 = 0 AND l_partkey % 101 = 0 THEN 'X' ELSE l_returnflag END AS l_returnflag)
+           FROM y WHERE ship_year IS NULL OR ship_year % 3 <> 0 OR l_orderkey % 97 <> 0),
+     g AS (SELECT ship_year, count(*) AS row_count, {_SHA_SUMS} AS checksum FROM t GROUP BY 1)
+SELECT 'part' AS level, ship_year, row_count, checksum, coalesce(ship_year % 3 = 0, false) AS reread FROM g
+UNION ALL SELECT 'table', NULL, count(*), {_SHA_SUMS}, NULL FROM t""")
+def _(spark, d):
+    rows = base(spark, d, "lineitem").select(*HASHED, F.year("l_shipdate").alias("ship_year"))
+    kept = scratch_table(spark, rows, ["ship_year"])
+    stored = checkpointed(partition_digests.refreshed(kept, None, HASHED, "SHA256"))
+    flag = F.when(F.col("l_partkey") % 101 == 0, "X").otherwise(F.col("l_returnflag"))
+    kept.update(lambda r: r.where("l_orderkey % 97 <> 0").withColumn("l_returnflag", flag), stored.where("ship_year % 3 = 0"))
+    now = checkpointed(partition_digests.refreshed(kept, stored, HASHED, "SHA256"))
+    parts = now.select(F.lit("part").alias("level"), "ship_year", "row_count",
+                       partition_digests.checksum_text(F.col("sums")).alias("checksum"), "reread")
+    whole = partition_digests.merged(now, "SHA256").select(
+        F.lit("table").alias("level"), F.lit(None).cast("int").alias("ship_year"), "row_count", "checksum", F.lit(None).cast("boolean").alias("reread"))
+    return parts.unionByName(whole)
+
+
+@query("batch_update", """{control}
+SELECT batch_id, count(*) AS row_count, count(*) FILTER (WHERE status = 'ASSIGNED' OR (batch_id = 'batch-b' AND status = 'QUEUED')) AS assigned,
+  batch_id <> 'batch-b' AS files_kept FROM control GROUP BY batch_id""")
+def _(spark, d):
+    kept = scratch_table(spark, view(spark, d, "control").select("batch_id", "migration_id", "status", "chunk_id", "updated_at"), ["batch_id"])
+    before = checkpointed(kept.marks())
+    status = F.when(F.col("status") == "QUEUED", "ASSIGNED").otherwise(F.col("status"))
+    kept.update(lambda r: r.withColumn("status", status), before.where("batch_id = 'batch-b'"))
+    same = kept.marks().join(before.select("batch_id", F.col("mark").alias("old")), "batch_id").select(
+        "batch_id", (F.col("mark") == F.col("old")).alias("files_kept"))
+    counts = kept.read().groupBy("batch_id").agg(F.count("*").alias("row_count"), F.count_if(F.col("status") == "ASSIGNED").alias("assigned"))
+    return counts.join(same, "batch_id").select("batch_id", "row_count", "assigned", "files_kept")
+
+
 @query("row_hash_md5", f"SELECT md5({_sql_text(HASHED)}) AS row_hash, count(*) AS copies FROM lineitem GROUP BY 1")
 def _(spark, d):
     from tabledger.functions.hashing import row_md5

@@ -412,6 +412,7 @@ def attempt_rows(control: DataFrame, outcomes: DataFrame, run_id: str, cluster_i
             F.coalesce("c.size_in_bytes", F.lit(0)).alias("source_size_bytes"),
             (F.col("o.target_size_bytes") if "target_size_bytes" in extra else F.lit(0)).alias("target_size_bytes"),
             now.alias("created_at"),
+            *[f"o.{c}" for c in ("source_version", "rows_copied", "content_checksum") if c in extra],
         ),
         ATTEMPTS,
     )

@@ -16,7 +16,8 @@ from ..sources.versions import VersionStore, copy_table
 
 _OUTCOME = (
     "migration_id string, success boolean, duration_seconds bigint, target_num_files bigint, target_version bigint,"
-    "source_version bigint, target_size_bytes bigint, error_text string, error_message string"
+    "source_version bigint, target_size_bytes bigint, rows_copied bigint, content_checksum string,"
+    "error_text string, error_message string"
 )
 
 
@@ -55,10 +56,10 @@ def run_chunk(
             done = copy_table(source, target, row.source, row.target, now, location)
         except Exception as e:  # a failed table must not stop the others
             text = f"{type(e).__name__}: {e}"
-            return (row.migration_id, False, int(time.monotonic() - began), None, None, None, None, text, text[:500])
+            return (row.migration_id, False, int(time.monotonic() - began), *[None] * 6, text, text[:500])
         return (
             row.migration_id, True, int(time.monotonic() - began), done["target_num_files"], done["target_version"],
-            done["source_version"], done["target_size_bytes"], None, None,
+            done["source_version"], done["target_size_bytes"], done["rows_copied"], done["content_checksum"], None, None,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:

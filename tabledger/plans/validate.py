@@ -27,8 +27,22 @@ _SIDES = {
 _FAILURES = (PySparkException, Py4JJavaError)
 
 
-def _counts(records: DataFrame, source: VersionStore, target: VersionStore) -> DataFrame:
-    """Row counts of both sides, each at the version on record."""
+def copied_counts(attempts: DataFrame) -> DataFrame:
+    """What copies counted on their way, per table and source version: the last that succeeded (ties: the higher count)."""
+    done = attempts.where("status = 'SUCCESS' AND rows_copied IS NOT NULL")
+    last = F.max_by("rows_copied", F.struct("completed_at", "attempt_number", "rows_copied"))
+    return done.groupBy("migration_id", "source_version").agg(last.alias("rows_copied"))
+
+
+def _counts(records: DataFrame, source: VersionStore, target: VersionStore, copied: DataFrame | None = None) -> DataFrame:
+    """Row counts of both sides, each at the version on record; those in ``copied`` are not counted again."""
+    if copied is not None:
+        keys = ["migration_id", "source_version"]
+        known = checkpointed(records.join(copied, keys, "left"))
+        target_only = _counts(known.where("rows_copied IS NOT NULL").withColumn("source_version", F.lit(-1).cast("bigint")), source, target)
+        known_counts = target_only.drop("source_row_count").join(known.select("migration_id", "rows_copied"), "migration_id")
+        return known_counts.select("migration_id", F.col("rows_copied").alias("source_row_count"), "target_row_count").unionByName(
+            _counts(known.where("rows_copied IS NULL"), source, target))
     out = records.select("migration_id", *[c for side in _SIDES.values() for c in side])
     for side, store in (("source", source), ("target", target)):
         *name, version = _SIDES[side]
@@ -46,11 +60,15 @@ def _counts(records: DataFrame, source: VersionStore, target: VersionStore) -> D
 
 def run_validation(
     ledger: Ledger, source: VersionStore, target: VersionStore, now: Column, batch_id: str = "",
-    run_id: str = "", count_rows: bool = True,
+    run_id: str = "", count_rows: bool = True, copied_rows: bool = False,
 ) -> dict[str, int]:
-    """Checks every completed copy that is not validated yet; a failed check never fails the run."""
+    """Checks every completed copy that is not validated yet; a failed check never fails the run.
+
+    With ``copied_rows`` the source is not counted where its copy has counted the same version on its way.
+    """
     records = states.completed(ledger.table(), batch_id, unvalidated_only=True)
-    counts = _counts(records, source, target) if count_rows else None
+    copied = copied_counts(ledger.log("attempts")) if copied_rows else None
+    counts = _counts(records, source, target, copied) if count_rows else None
     verdicts = checkpointed(
         checks.validation_verdicts(
             records, source.details(), target.details(), counts, required_format=target.data_format.upper()

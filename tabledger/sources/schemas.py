@@ -43,7 +43,8 @@ CONTROL = _schema(
 ATTEMPTS = _schema(
     "run_id string, migration_id string, attempt_number int, cluster_id string, worker_id string,"
     "started_at timestamp, completed_at timestamp, status string, error_code string, error_message string,"
-    "duration_seconds bigint, source_size_bytes bigint, target_size_bytes bigint, created_at timestamp"
+    "duration_seconds bigint, source_size_bytes bigint, target_size_bytes bigint, created_at timestamp,"
+    "source_version bigint, rows_copied bigint, content_checksum string"
 )
 
 VALIDATION_HISTORY = _schema(

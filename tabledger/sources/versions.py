@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.observed import observed
+
 MANIFEST = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("version", T.LongType()),
@@ -230,17 +232,18 @@ class VersionStore:
 def copy_table(
     source: VersionStore, target: VersionStore, source_table: str, target_table: str, now: Column,
     location: str | None = None,
-) -> dict[str, int | None]:
+) -> dict[str, int | str | None]:
     """Copies the newest version of a table as the next version of the target.
 
     The files are read and written by the same tasks, without a shuffle, and
     keep the partition columns of the source. The version that was read is on
-    the manifest row of the copy.
+    the manifest row of the copy. ``rows_copied`` and ``content_checksum`` are
+    those of the rows that were read, gathered by the same tasks.
     """
     row = source.entry(source_table)
     if row is None:
         raise MissingTable(f"TABLE_OR_VIEW_NOT_FOUND: {source_table}")
-    data = source.read(source_table, row.version)
+    data, seen = observed(source.read(source_table, row.version))
     version = target.write(
         data, target_table, now, "CLONE", partition_by=row.partition_columns or (),
         source_version=row.version, location=location,
@@ -249,6 +252,7 @@ def copy_table(
     return {
         "source_version": done.source_version, "target_version": version,
         "target_num_files": done.num_files, "target_size_bytes": done.size_in_bytes,
+        "rows_copied": seen()["row_count"], "content_checksum": seen()["checksum"],
     }
 
 
