@@ -30,9 +30,7 @@ from .graph import components
 GRAM = 4
 NUM, DEN = 85, 100
 BITS = 512
-SAMPLE_DOCS = 30_000
-SAMPLE_LEAST = 4
-COMMON_MOST = 1 << 20
+BUCKET_BITS = 20
 LIST_BLOCK = 2048
 # Members that a list is compared with, as shares of its length in the order of sizes; all but the first for lists of more than LONG_LIST.
 LEADS = (0.5, 0.25, 0.75, 0.125, 0.625)
@@ -88,49 +86,42 @@ def set_keys(d: np.ndarray, h: np.ndarray, rows: int) -> tuple[np.ndarray, np.nd
     return bounds, sizes, mixed(sums[bounds[1:]] - sums[bounds[:-1]] + sizes.astype(np.uint64)).view(np.int64)
 
 
-def common_shingles(docs: DataFrame, gram: int = GRAM, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """Hashes of common shingles, the commonest last: those in at least 4 texts of a sample of about ``sample_docs``,
-    and no more than 2^20 of them. They only set the order of the index; links do not depend on it."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    picked = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
+def bucket_counts(docs: DataFrame, gram: int = GRAM) -> np.ndarray:
+    """In how many documents the shingles of each of 2^20 buckets of hashes stand, summed over its shingles, from every
+    row of ``docs``. The counts only set the order of the index; links do not depend on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in slices(batches, most=2 << 20):
             _, h = shingle_sets(columns_of(batch, "text"), gram)
-            u, c = np.unique(h, return_counts=True)
-            yield pa.record_batch([pa.array(u.view(np.int64)), pa.array(c)], names=["h", "c"])
-
-    counts = written(
-        picked.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-        .where(F.col("c") >= SAMPLE_LEAST), "common")
-    least = SAMPLE_LEAST
-    while counts.where(F.col("c") >= least).count() > COMMON_MOST:
-        least *= 2
-    got = counts.where(F.col("c") >= least).toArrow()
-    h, c = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy()
-    return h[np.lexsort((h, c))]
-
-
-def marked(docs: DataFrame, common: np.ndarray, gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Per document: ``doc_id``, ``n``, ``sig`` (the key of its set), ``bitmap`` and ``prefix`` (its rarest shingles, as many
-    as a similarity of ``num`` / ``den`` asks for)."""
-    order = np.argsort(common)
-    shared = docs.sparkSession.sparkContext.broadcast((common[order], order.astype(np.uint64)))  # at most 2^20 entries
+            np.add.at(sums, bucket_of(h), 1)
+        at = np.flatnonzero(sums)
+        yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["bucket", "n"])
+
+    got = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    counts[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+    return counts
+
+
+def bucket_of(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def marked(docs: DataFrame, counts: np.ndarray, gram: int = GRAM, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per document: ``doc_id``, ``n``, ``sig`` (the key of its set), ``bitmap`` and ``prefix`` (its rarest shingles by
+    ``counts`` of buckets, those of one count by hash; as many as a similarity of ``num`` / ``den`` asks for)."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 2^20 entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = shared.value
+        common = shared.value
         for batch in slices(batches, most=2 << 20):
             rows = batch.num_rows
             d, h = shingle_sets(columns_of(batch, "text"), gram)
             bounds, sizes, sig = set_keys(d, h, rows)
             bits = np.bincount(d * BITS + (h % np.uint64(BITS)).astype(np.int64), minlength=rows * BITS) & 1
             bitmap = np.packbits(bits.astype(np.uint8).reshape(rows, BITS), axis=1)
-            key = h >> np.uint64(1)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                is_common = known[at] == h
-                key[is_common] = (np.uint64(1) << np.uint64(63)) + rank[at[is_common]]
-            by = np.lexsort((key, d))
+            by = np.lexsort((common[bucket_of(h)], d))  # stable: by hash where counts are equal
             most = np.where(sizes > 0, sizes - -(-num * sizes // den) + 1, 0)
             keep = np.arange(len(h)) - bounds[d] < most[d]
             prefix = h[by][keep].view(np.int64)
@@ -307,8 +298,8 @@ def _joined(groups: DataFrame, links: DataFrame) -> DataFrame:
     return inner.unionByName(outer)
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-                sample_docs: int = SAMPLE_DOCS, num: int = NUM, den: int = DEN) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, num: int = NUM,
+                den: int = DEN) -> DataFrame:
     """Per row: ``doc_id`` (long), ``n_shingles`` and ``component_id``, the smallest id that links lead to.
 
     Two documents link when ``den`` (100) times the intersection of their sets of ``gram``-word shingles is at least
@@ -318,7 +309,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives no row; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = written(marked(rows, common_shingles(rows, gram, sample_docs), gram, num, den), "sets")
+    sets = written(marked(rows, bucket_counts(rows, gram), gram, num, den), "sets")
     real = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("sig").agg(
         F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"))

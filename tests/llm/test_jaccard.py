@@ -1,6 +1,8 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabledger.llm import graph, jaccard
@@ -88,3 +90,17 @@ def test_other_thresholds_against_brute_force(spark):
     out = {r.doc_id: r.component_id for r in jaccard.near_groups(table(spark, texts), gram=5, num=80, den=100).collect()}
     assert [out[2 * k] == out[2 * k + 1] for k in range(60)] == linked
     assert len({out[2 * k] for k in range(60)}) == 60
+
+
+def test_order_of_the_index_is_counted_on_all_documents(spark):
+    """A shingle of any two documents counts, in whatever part of the table these stand; those of one document come first."""
+    phrase = " ".join(f"p{i}" for i in range(10))
+    texts = [" ".join(f"d{i}w{j}" for j in range(20)) + " " + phrase for i in range(3)] + [f"x{i} y{i} z{i} v{i}" for i in range(500)] + ODD
+    rows = table(spark, texts, 7).select("doc_id", "text")
+    counts = jaccard.bucket_counts(rows)
+    hashes = jaccard.shingle_sets(pa.array(texts))[1]
+    assert counts.tolist() == np.bincount(jaccard.bucket_of(hashes), minlength=len(counts)).tolist()
+    common = set(jaccard.shingle_sets(pa.array([phrase]))[1].view(np.int64).tolist())
+    out = {r.doc_id: r for r in jaccard.marked(rows, counts).where("doc_id < 3").collect()}
+    assert all(len(r.prefix) >= 4 and not common & set(r.prefix) for r in out.values())
+    assert jaccard.bucket_counts(rows.limit(0)).sum() == 0
