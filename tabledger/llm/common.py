@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +15,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SLICE_BYTES = 2 << 20
 BROADCAST_ROWS = 1 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +50,15 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From now on the session sends rows to Python in batches of about ``most`` bytes, unless its limit is smaller yet.
+    Spark's own limit is 64 MB, which a task holds several times over on both sides; the rows are the same."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.match(r"(\d+)([kmgtp]?)", spark.conf.get(key).strip().lower()).groups()
+    if int(number) << 10 * " kmgtp".index(unit or " ") > most:
+        spark.conf.set(key, str(most))
+
+
 def folded(text) -> "F.Column":
     """A-Z in lower case and nothing else; a text of ASCII alone takes the short way."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

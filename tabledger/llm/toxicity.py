@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from .common import WORD_BYTES, WORD_MASK, SpanHasher, columns_of, slices, utf8, word_bounds
 
@@ -24,6 +25,9 @@ BUCKETS = 1 << 20
 SAMPLE_ROWS = 12_000
 TERMS = 4096
 FACTORS = 8
+# Hashing holds several 64-bit numbers for each byte of these.
+HASHED_BYTES = 1 << 19
+COUNTED_SETS = 512
 
 
 def term_buckets(batch: pa.RecordBatch, name: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -74,23 +78,25 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, terms: int = TERMS, factors:
     share = (ones + 0.5) / (len(labels) + 1)
     if not len(labels) or ones in (0, len(labels)):
         return Machine(float(np.log(share / (1 - share))), place, np.zeros(0), np.zeros((0, factors)))
-    bucket = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    one = np.bincount(bucket[labels[row] == 1], minlength=BUCKETS).astype(float)
-    every = np.bincount(bucket, minlength=BUCKETS).astype(float)
+    one, every = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for lo in range(0, len(sets), COUNTED_SETS):  # a few sets at a time: all of them as 64-bit numbers take much memory
+        some = slice(lo, lo + COUNTED_SETS)
+        bucket, label = np.concatenate(sets[some]), np.repeat(labels[some], [len(s) for s in sets[some]])
+        one += np.bincount(bucket[label == 1], minlength=BUCKETS)
+        every += np.bincount(bucket, minlength=BUCKETS)
     expected = every * ones / len(labels)
     chi = (one - expected) ** 2 / np.maximum(expected, 1e-9) / (1 - ones / len(labels))
     chi[every < 3] = 0
     chosen = np.argsort(-chi, kind="stable")[:terms]
     chosen = chosen[chi[chosen] > 10.8]  # one in a thousand by chance
     place[chosen] = np.arange(len(chosen))
-    at = place[bucket]
-    row, at = row[at >= 0], at[at >= 0]
+    kept = [at[at >= 0] for at in (place[s] for s in sets)]
+    at = np.concatenate(kept)
     rng = np.random.default_rng(seed)
     linear = np.zeros(len(chosen))
     latent = rng.normal(0, 0.02, (len(chosen), factors))
     bias = float(np.log(share / (1 - share)))
-    begin = np.searchsorted(row, np.arange(len(sets) + 1))
+    begin = np.cumsum([0, *map(len, kept)])
     seen = [np.full(len(chosen), 1e-6), np.full(latent.shape, 1e-6), 1e-6]
     for _ in range(passes):
         order = rng.permutation(len(sets))
@@ -128,7 +134,7 @@ def train(labelled: DataFrame, label_col: str = "label", text_col: str = "text",
         F.col(key_col).alias("key"), F.col(label_col).cast("int").alias("label"), F.col(text_col).cast("string").alias("text"))
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=HASHED_BYTES):
             row, bucket = term_buckets(batch)
             pairs = np.unique(row.astype(np.int64) * BUCKETS + bucket)
             cuts = np.searchsorted(pairs // BUCKETS, np.arange(batch.num_rows + 1))
@@ -158,17 +164,17 @@ def scores(docs: DataFrame, machine: Machine, text_col: str = "text", name: str
     """
     docs = docs.drop(name)
     kept_names = docs.columns
-    texts = docs.withColumn("_text", F.col(text_col).cast("string"))
+    # A text that is a string already travels once, in its own column.
+    own = (text_col, "string") in docs.dtypes
+    texts, read = (docs, text_col) if own else (docs.withColumn("_text", F.col(text_col).cast("string")), "_text")
 
     shared = docs.sparkSession.sparkContext.broadcast(astuple(machine))  # a few MB, whatever the corpus
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = Machine(*shared.value)
-        for batch in slices(batches, "_text"):
-            score = here.score(batch, "_text")
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*kept_names, name])
-
-    from pyspark.sql.types import DoubleType, StructType
+        for batch in slices(batches, read, HASHED_BYTES):
+            score = here.score(batch, read)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept_names)], pa.array(score)], names=[*kept_names, name])
 
     schema = StructType([*docs.schema.fields]).add(name, DoubleType())
     return texts.mapInArrow(run, schema)

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,27 @@ def test_run(spark):
     assert out.where(F.col("length") <= 0).count() == 0 and out.count() > 0
 
 
+def test_python_gets_small_batches(spark):
+    import corpus_pipeline as cp
+
+    def most(batches):
+        sizes = [0, *(b.nbytes for b in batches)]
+        yield pa.record_batch([pa.array([max(sizes)])], names=["n"])
+
+    key, texts = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(40).selectExpr("repeat('word ', 100000) AS text").coalesce(1)
+    docs = table(spark, ["one"])
+    try:
+        for name in ("toxicity", "near_duplicates", "packing"):
+            spark.conf.unset(key)
+            dict(cp.STAGES)[name](spark, docs, SF)
+            assert texts.mapInArrow(most, "n long").first().n < 8 << 20, name
+        spark.conf.set(key, "1m")
+        dict(cp.STAGES)["toxicity"](spark, docs, SF)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_near_duplicates_by_five_words_and_four_fifths(spark):
     import corpus_pipeline as cp
 

@@ -32,6 +32,28 @@ def test_odd_texts_and_columns(spark):
     assert toxicity.train(docs.withColumn("label", F.lit(None).cast("int"))).linear.size == 0
 
 
+def test_a_text_travels_once(spark):
+    docs = table(spark, ODD)
+    machine = toxicity.fit([], np.zeros(0, int))
+    plan = toxicity.scores(docs, machine)._jdf.queryExecution().analyzed().toString()
+    assert "AS _text" not in plan
+    other = toxicity.scores(docs.withColumn("text", F.col("text").cast("binary")), machine)
+    assert other.columns == [*docs.columns, "score"] and other.count() == len(ODD)
+
+
+def test_training_does_not_hold_all_terms_as_long_numbers():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(0, toxicity.BUCKETS, 500).astype(np.int32) for _ in range(24_000)]
+    labels = rng.integers(0, 2, len(sets))
+    tracemalloc.start()
+    toxicity.fit(sets, labels, passes=0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * sum(s.nbytes for s in sets)
+
+
 @pytest.mark.skipif(not has_tables, reason="no test tables")
 def test_query(spark):
     from tabledger.llm.queries import op1_toxicity
