@@ -74,23 +74,29 @@ def _spread(df: DataFrame, at: str, length: int, keep: tuple[str, ...], outer: b
 
 
 def _windows(items: DataFrame, length: int) -> DataFrame:
-    """Each window of ``length`` words as text, its hash, and the sorted ids of the items that hold it."""
+    """One row per window of ``length`` words: its hash, its text, and the sorted ids of the items that hold it."""
     hashed = kept(items) if length == WINDOW else grams(items, length).withColumnRenamed("grams", "kept")
     return (
         _spread(hashed, "kept", length, ("item_id",)).select("item_id", "hash", F.array_join("near", " ").alias("window"))
         .groupBy("hash", "window").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
-        .groupBy("hash").agg(F.collect_list(F.struct("window", "item_ids")).alias("windows"))
     )
 
 
-def _extended(df: DataFrame, length: int) -> DataFrame:
-    """Hits as (start, length, item ids): the windows among the words ``near`` a kept hash (the first is word ``i``) that
-    equal one of the benchmark's, word by word."""
+def _hits(df: DataFrame, index: DataFrame, length: int, names: tuple[str, ...], own: bool) -> DataFrame:
+    """Hits as rows of ``names``, ``span`` (start, length) and ``item_ids``: the windows among the words ``near`` a kept hash
+    (the first is word ``i``) that equal one of the benchmark's, word by word. Rows first meet the kept hashes alone, so
+    a hash of many windows does not widen them. ``own``: each document gives one row with ``own`` 1, hit or not."""
+    def first(at: str) -> Column:
+        return F.coalesce(F.col(at) == 0, F.lit(True)) if own else F.lit(False)
+
+    met = df.join(index.select("hash").distinct().withColumn("met", F.lit(True)), "hash", "left").where(F.col("met") | first("i"))
     steps = F.sequence(F.lit(0), F.greatest(F.size("near") - length, F.lit(0)))
-    hits = F.flatten(F.transform(steps, lambda s: F.transform(
-        F.filter("windows", lambda w: w["window"] == F.array_join(F.slice("near", s + 1, length), " ")),
-        lambda w: F.struct((F.col("i") + s).alias("start"), F.lit(length).alias("length"), w["item_ids"].alias("item_ids")))))
-    return df.withColumn("hits", F.when(F.col("windows").isNotNull(), hits))
+    tries = F.when(F.col("met"), F.transform(steps, lambda s: F.struct(
+        (F.col("i") + s).alias("start"), F.array_join(F.slice("near", s + 1, length), " ").alias("window"))))
+    tried = met.select(*names, F.explode_outer(tries).alias("at")).select(*names, "at.start", "at.window")
+    hit = F.col("item_ids").isNotNull()
+    return tried.join(index.select("window", "item_ids"), "window", "left").where(hit | first("start")).select(
+        *names, first("start").cast("long").alias("own"), F.when(hit, F.struct("start", F.lit(length).alias("length"))).alias("span"), "item_ids")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -111,31 +117,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     base = docs.select(
         F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), words_of(text).alias("words")
     )
-    found = "array<struct<start:int,length:int,item_ids:array<%s>>>" % items.schema["item_id"].dataType.simpleString()
     n_words = F.size("words").cast("long").alias("n_words")
     names = ("doc_id", "text_hash", "n_words")
     if WINDOW in lengths:
         index = small(_windows(items.where(F.size("words") >= WINDOW), WINDOW))
         wide = _spread(kept(base).withColumn("n_words", n_words), "kept", WINDOW + REACH, names, outer=True, changes=True)
-        own = F.coalesce(F.col("i") == 0, F.lit(True))
-        met = wide.join(index, "hash", "left").where(F.col("windows").isNotNull() | own)
-        rows = _extended(met.select(*names, own.cast("long").alias("own"), "i", "near", "windows"), WINDOW)
-        rows = rows.select(*names, "own", "hits")
+        rows = _hits(wide, index, WINDOW, names, own=True)
     else:
-        rows = base.select("doc_id", "text_hash", n_words, F.lit(1).cast("long").alias("own"), F.lit(None).cast(found).alias("hits"))
+        none = F.lit(None).cast("array<%s>" % items.schema["item_id"].dataType.simpleString())
+        rows = base.select("doc_id", "text_hash", n_words, F.lit(1).cast("long").alias("own"),
+                           F.lit(None).cast("struct<start:int,length:int>").alias("span"), none.alias("item_ids"))
     for length in (x for x in lengths if x < WINDOW):
         index = small(_windows(items.where(F.size("words") == length), length))
-        narrow = _spread(grams(base, length).withColumn("n_words", n_words), "grams", length, names).join(index, "hash")
-        narrow = _extended(narrow, length).where(F.size("hits") > 0)
-        rows = rows.unionByName(narrow.select(*names, F.lit(0).cast("long").alias("own"), "hits"))
-    flat = rows.select(
-        "doc_id", "text_hash", "n_words", "own",
-        F.transform("hits", lambda h: F.struct(h["start"], h["length"])).alias("spans"),
-        F.flatten(F.transform("hits", lambda h: h["item_ids"])).alias("item_ids"),
-    )
-    merged = flat.groupBy("doc_id", "text_hash", "n_words").agg(
+        narrow = _spread(grams(base, length).withColumn("n_words", n_words), "grams", length, names)
+        rows = rows.unionByName(_hits(narrow, index, length, names, own=False))
+    merged = rows.groupBy(*names).agg(
         F.sum("own").alias("copies"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"),
+        F.sort_array(F.collect_set("span")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
     )
     return merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("copy", "copies")

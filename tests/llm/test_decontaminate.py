@@ -63,3 +63,16 @@ def test_long_texts_beside_short_items(spark):
     assert got(table(spark, texts), bench) == brute(texts, items)
     short_only = [x for x in items if len(words(x[1])) < 10]
     assert got(table(spark, texts), spark.createDataFrame(short_only, bench.schema)) == brute(texts, short_only)
+
+
+def test_phrase_in_many_items(spark):
+    phrase = "as in the case"
+    items = [(i, f"{prose(i, 12, 10**6)} {phrase} {prose(10_000 + i, 12, 10**6)}") for i in range(300)]
+    texts = [(i, f"{prose(20_000 + i, 8, 10**6)} {phrase} " * 20) for i in range(30)] + [(100 + i, f"{items[i][1]} {phrase} {items[i + 1][1]}") for i in range(5)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert got(table(spark, texts), bench) == brute(texts, items)
+    worded = bench.select("item_id", decontaminate.words_of(bench.text).alias("words"))
+    # What a document's row meets has one window a row, not all of a hash: those that share the phrase would be hundreds.
+    windows = {tuple(words(t)[s : s + 10]) for _, t in items for s in range(len(words(t)) - 9)}
+    rows = decontaminate._windows(worded, 10).collect()
+    assert len(rows) == len(windows) and max(len(str(r.asDict())) for r in rows) < 500
